@@ -11,7 +11,7 @@ from pyspark.sql.types import DecimalType
 
 from tidemark import Shop, engagement_target, feature_matrix
 from tidemark.operators import asof, browsing, categories, engagement, purchases, recent
-from tidemark.operators.facts import order_facts
+from tidemark.operators.facts import as_of, order_facts
 from tidemark.operators.purchases import HISTORY, RECENT
 from tidemark.schema import ORDER_ITEMS, PRODUCTS
 from tidemark.sources import files, sinks
@@ -38,11 +38,11 @@ def _buyers(shop, cut):
 
 
 def _placed(shop, cut):
-    return asof.orders_of(shop.orders, _buyers(shop, cut), cut)
+    return asof.of_customers(asof.orders_before(shop.orders, cut), _buyers(shop, cut))
 
 
 def _visits(shop, cut):
-    return asof.sessions_of(shop.sessions, _buyers(shop, cut), cut)
+    return asof.of_customers(asof.sessions_before(shop.sessions, cut), _buyers(shop, cut))
 
 
 def _headers(shop, cut):
@@ -50,15 +50,15 @@ def _headers(shop, cut):
 
 
 def _facts(shop, cut):
-    return order_facts(_placed(shop, cut), shop.order_items, cut)
+    return as_of(order_facts(_placed(shop, cut), shop.order_items), cut)
 
 
-def _wide_facts(shop, cut):
-    return order_facts(_placed(shop, cut), shop.order_items, cut, shop.products)
+def _by_category(shop, cut):
+    return categories.by_category(_placed(shop, cut), shop.order_items, shop.products, cut)
 
 
 def _all_orders(shop, cut):
-    return asof.orders_of(shop.orders, _buyers(shop, cut))
+    return asof.of_customers(shop.orders, _buyers(shop, cut))
 
 
 def _raw_facts(shop, cut):
@@ -66,7 +66,7 @@ def _raw_facts(shop, cut):
 
 
 def _all_visits(shop, cut):
-    return asof.sessions_of(shop.sessions, _buyers(shop, cut))
+    return asof.of_customers(shop.sessions, _buyers(shop, cut))
 
 
 # --- sources and sinks --------------------------------------------------------
@@ -158,9 +158,9 @@ SHOP_QUERIES: dict[str, ShopQuery] = {
     "f_last3_orders_help": lambda s, shop, cut, last: recent.last_orders_losses(_facts(shop, cut)),
     "f_last3_orders_stats": lambda s, shop, cut, last: recent.last_orders_summary(_facts(shop, cut)),
     # categories
-    "f_category_counts": lambda s, shop, cut, last: categories.category_counts(_wide_facts(shop, cut)),
-    "f_category_returns": lambda s, shop, cut, last: categories.category_returns(_wide_facts(shop, cut)),
-    "f_discount_stats": lambda s, shop, cut, last: categories.discount_stats(_wide_facts(shop, cut)),
+    "f_category_counts": lambda s, shop, cut, last: categories.category_counts(_by_category(shop, cut)),
+    "f_category_returns": lambda s, shop, cut, last: categories.category_returns(_by_category(shop, cut)),
+    "f_discount_stats": lambda s, shop, cut, last: categories.discount_stats(_by_category(shop, cut)),
     # sessions
     "f_last_session": lambda s, shop, cut, last: browsing.last_session(_visits(shop, cut), cut),
     "f_last_session_stats": lambda s, shop, cut, last: browsing.last_session_stats(_visits(shop, cut), cut),

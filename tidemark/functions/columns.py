@@ -1,58 +1,69 @@
-"""Column expressions: money, means and date windows."""
+"""SQL expressions used by several operators.
+
+Aggregations here have dozens of columns. They are written as SQL texts,
+which Spark parses in one step each; conditions shared by many aggregates are
+computed once per row as flag columns.
+"""
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Mapping
+from datetime import date, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def line_cents(price: str = "price_at_purchase", quantity: str = "quantity") -> Column:
+def day_literal(day: date) -> str:
+    return f"DATE'{day.isoformat()}'"
+
+
+def days_before(day: date, days: int) -> str:
+    return day_literal(day - timedelta(days=days))
+
+
+def within_last(column: str, day: date, days: int, until: int = 0) -> str:
+    """``column`` lies in [day - days, day - until], both ends in."""
+    return f"{column} BETWEEN {days_before(day, days)} AND {days_before(day, until)}"
+
+
+def line_cents(price: str = "price_at_purchase", quantity: str = "quantity") -> str:
     """Value of an order line in whole cents.
 
     Sums over BIGINT cents are exact, independent of row order, and stay in
     fixed-width aggregation buffers, unlike DECIMAL(38, 2).
     """
-    return F.rint(F.col(price).cast("double") * 100).cast("bigint") * F.col(quantity)
+    return f"CAST(CAST({price} AS DECIMAL(18,2)) * 100 AS BIGINT) * {quantity}"
 
 
-def money(cents: str | Column) -> Column:
+def money(cents: str) -> str:
     """Whole cents as an amount (DOUBLE)."""
-    column = F.col(cents) if isinstance(cents, str) else cents
-    return column / F.lit(100)
+    return f"({cents}) / 100"
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio(numerator: str, denominator: str) -> str:
     """DOUBLE quotient, NULL where the denominator is 0."""
-    return numerator / F.nullif(denominator, F.lit(0).cast("bigint"))
-
-
-def days_before(day: date, days: int) -> Column:
-    return F.date_sub(F.lit(day), days)
+    return f"({numerator}) / nullif({denominator}, 0)"
 
 
-def within_last(column: str, day: date, days: int, until: int = 0) -> Column:
-    """``column`` lies in [day - days, day - until], both ends in."""
-    return F.col(column).between(days_before(day, days), days_before(day, until))
-
-
-def sum_if(condition: Column, value: str | Column = 1) -> Column:
+def sum_if(condition: str, value: str = "1") -> str:
     """Sum over the matching rows; NULL, not 0, if no row matches.
 
     A customer without any qualifying row thereby gets NULL, as from a left
     join to a filtered aggregate.
     """
-    if isinstance(value, str):
-        value = F.col(value)
-    elif not isinstance(value, Column):
-        value = F.lit(value)
-    return F.sum(F.when(condition, value.cast("bigint")))
-
-
-def sum_or_zero(condition: Column, value: str | Column = 1) -> Column:
-    if isinstance(value, str):
-        value = F.col(value)
-    elif not isinstance(value, Column):
-        value = F.lit(value)
-    return F.sum(F.when(condition, value.cast("bigint")).otherwise(0))
+    return f"sum(CASE WHEN {condition} THEN {value} END)"
+
+
+def sum_or_zero(condition: str, value: str = "1") -> str:
+    return f"sum(CASE WHEN {condition} THEN {value} ELSE 0 END)"
+
+
+def aggregate(df: DataFrame, keys: str | list[str], columns: Mapping[str, str]) -> DataFrame:
+    """Group by ``keys``; ``columns`` maps names to aggregate expressions."""
+    keys = [keys] if isinstance(keys, str) else keys
+    return df.groupBy(*keys).agg(*[F.expr(f"{sql} AS {name}") for name, sql in columns.items()])
+
+
+def add_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    return df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in columns.items()])

@@ -36,10 +36,9 @@ def expand_rows(
     return rows.drop("_block", "_copy", count)
 
 
-def day_counts(df: DataFrame, key: str, day: str, count: Column | None = None) -> DataFrame:
+def day_counts(df: DataFrame, key: str, day: str, count: str = "1") -> DataFrame:
     """One row per (key, day) with ``n``, the number of rows (or the sum of a count)."""
-    n = F.count(F.lit(1)) if count is None else F.sum(count)
-    return df.groupBy(key, day).agg(n.cast("bigint").alias("n"))
+    return df.groupBy(key, day).agg(F.expr(f"sum({count})").alias("n"))
 
 
 def gap_counts(days: DataFrame, key: str, day: str, gap: str = "interval_days") -> DataFrame:
@@ -85,19 +84,16 @@ def with_gap_ranks(days: DataFrame, key: str, day: str) -> DataFrame:
     return gapped.withColumn("gap_rank", F.row_number().over(by_gap) - 1)
 
 
-def gap_median() -> Column:
+def gap_median() -> str:
     """Aggregate: lower median of the days between consecutive rows of a key.
 
     Rows sharing a day are 0 days apart; those zeros sort before every gap
     between two days, so only their number matters.
     """
-    zeros = F.col("n_rows") - F.col("n_days")
-    middle = F.floor(F.col("n_rows") / 2)
-    return F.max(
-        F.when((F.col("n_rows") > 1) & (middle <= zeros), F.lit(0)).when(
-            F.col("gap_rank") == middle - zeros, F.col("gap")
-        )
-    )
+    zeros = "(n_rows - n_days)"
+    return f"""
+        max(CASE WHEN n_rows > 1 AND n_rows div 2 <= {zeros} THEN 0
+                 WHEN gap_rank = n_rows div 2 - {zeros} THEN gap END)"""
 
 
 def top_rows(df: DataFrame, key: str | list[str], order: list[Column], k: int) -> DataFrame:

@@ -4,29 +4,28 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from tidemark.functions.columns import day_literal
 from tidemark.schema import COMPLETED
 
 
 def customers_before(customers: DataFrame, cut: date) -> DataFrame:
     """Customers registered before the cut."""
-    return customers.where(F.col("registration_date") < F.lit(cut))
+    return customers.where(f"registration_date < {day_literal(cut)}")
 
 
-def orders_of(orders: DataFrame, customers: DataFrame, cut: date | None = None) -> DataFrame:
-    """Orders of the given customers, with a cut only those placed before it."""
-    if cut is not None:
-        orders = orders.where(F.col("order_date") < F.lit(cut))
-    return orders.join(customers.select("customer_id"), "customer_id", "left_semi")
+def orders_before(orders: DataFrame, cut: date) -> DataFrame:
+    return orders.where(f"order_date < {day_literal(cut)}")
 
 
-def sessions_of(sessions: DataFrame, customers: DataFrame, cut: date | None = None) -> DataFrame:
-    """Sessions of the given customers, with a cut only those held before it."""
-    if cut is not None:
-        sessions = sessions.where(F.col("session_date") < F.lit(cut))
-    return sessions.join(customers.select("customer_id"), "customer_id", "left_semi")
+def sessions_before(sessions: DataFrame, cut: date) -> DataFrame:
+    return sessions.where(f"session_date < {day_literal(cut)}")
+
+
+def of_customers(rows: DataFrame, customers: DataFrame) -> DataFrame:
+    """Orders or sessions of the given customers."""
+    return rows.join(customers.select("customer_id"), "customer_id", "left_semi")
 
 
 def items_of(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -34,40 +33,45 @@ def items_of(items: DataFrame, orders: DataFrame) -> DataFrame:
     return items.join(orders.select("order_id"), "order_id", "left_semi")
 
 
-def outcome_unknown(cut: date) -> Column:
+def outcome_unknown(cut: date) -> str:
     """The final status was set on the cut or later."""
-    return F.col("status_date") >= F.lit(cut)
+    return f"status_date >= {day_literal(cut)}"
 
 
-def returns_unknown(cut: date) -> Column:
+def returns_unknown(cut: date) -> str:
     """The return flags were set after the cut. Unlike the status they count
     as known on the cut itself."""
-    return F.col("status_date") > F.lit(cut)
+    return f"status_date > {day_literal(cut)}"
 
 
-def order_level(orders: DataFrame, cut: date) -> DataFrame:
-    """Order headers with status and status date as of the cut.
+def status_as_of(cut: date) -> str:
+    """An order whose outcome was not yet known counts as completed."""
+    return f"CASE WHEN {outcome_unknown(cut)} THEN '{COMPLETED}' ELSE status END"
+
 
-    An order whose outcome was not yet known counts as completed on its order date.
-    """
-    unknown = outcome_unknown(cut)
-    return orders.select(
+def status_date_as_of(cut: date) -> str:
+    return f"CASE WHEN {outcome_unknown(cut)} THEN order_date ELSE status_date END"
+
+
+def order_level(orders: DataFrame, cut: date) -> DataFrame:
+    """Order headers with status and status date as of the cut."""
+    return orders.selectExpr(
         "order_id",
         "customer_id",
         "order_date",
-        F.when(unknown, F.lit(COMPLETED)).otherwise(F.col("status")).alias("status"),
-        F.when(unknown, F.col("order_date")).otherwise(F.col("status_date")).alias("status_date"),
+        f"{status_as_of(cut)} AS status",
+        f"{status_date_as_of(cut)} AS status_date",
     )
 
 
 def item_level(orders: DataFrame, items: DataFrame, cut: date) -> DataFrame:
     """Lines of the given raw orders with the return flag as of the cut."""
-    flags = orders.select("order_id", returns_unknown(cut).alias("_unknown"))
-    return items.join(flags, "order_id").select(
+    unknown = orders.selectExpr("order_id", f"{returns_unknown(cut)} AS unknown")
+    return items.join(unknown, "order_id").selectExpr(
         "order_item_id",
         "product_id",
         "quantity",
         "price_at_purchase",
         "order_id",
-        F.when(F.col("_unknown"), F.lit(0)).otherwise(F.col("returned")).alias("returned"),
+        "CASE WHEN unknown THEN 0 ELSE returned END AS returned",
     )

@@ -8,54 +8,58 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import ratio, sum_if, within_last
+from tidemark.functions.columns import add_columns, aggregate, day_literal, ratio, sum_if, within_last
 from tidemark.functions.counted import expand_rows, top_rows
 from tidemark.operators.purchases import ACTIVE_DAYS, RECENT_DAYS, successful_orders_in
 from tidemark.schema import DESKTOP, MOBILE
 
 
-def aggregates(
-    cut: date, active_days: int = ACTIVE_DAYS, recent_days: int = RECENT_DAYS
-) -> list[Column]:
-    active = within_last("session_date", cut, active_days)
-    recent = within_last("session_date", cut, recent_days)
-    pages = F.col("pages_viewed")
-
-    def on(device):
-        """Sessions on a device; 0 if there are only others, NULL if there are none."""
-        return F.sum(F.when(active, F.coalesce((F.col("device") == device).cast("bigint"), F.lit(0))))
-
-    return [
-        F.max(F.when(active, F.col("session_date"))).alias("session_date"),
-        sum_if(active).alias("total_180days_sessions"),
-        F.avg(F.when(active, pages)).alias("avg_pages_viewed_180"),
-        F.min(F.when(active, pages)).alias("min_pages_viewed_180"),
-        on(MOBILE).alias("mobile_sessions_count_180"),
-        on(DESKTOP).alias("desktop_sessions_count_180"),
-        sum_if(recent).alias("sessions_90d"),
-        F.avg(F.when(recent, pages)).alias("avg_pages_90d"),
-        F.datediff(F.max("session_date"), F.min("session_date")).alias("_span"),
-        F.count("session_date").alias("_sessions"),
-    ]
-
-
-def profile(sessions: DataFrame, cut: date) -> DataFrame:
+def _on(device: str) -> str:
+    """Sessions on a device; 0 if there are only others, NULL if there are none."""
+    return sum_if("active", f"CASE WHEN device = '{device}' THEN 1 ELSE 0 END")
+
+
+AGGREGATES = {
+    "session_date": "max(CASE WHEN active THEN day END)",
+    "total_180days_sessions": sum_if("active"),
+    "avg_pages_viewed_180": "avg(CASE WHEN active THEN pages_viewed END)",
+    "min_pages_viewed_180": "min(CASE WHEN active THEN pages_viewed END)",
+    "mobile_sessions_count_180": _on(MOBILE),
+    "desktop_sessions_count_180": _on(DESKTOP),
+    "sessions_90d": sum_if("recent"),
+    "avg_pages_90d": "avg(CASE WHEN recent THEN pages_viewed END)",
+    "all_days": "datediff(max(day), min(day))",
+    "all_sessions": "count(day)",
+}
+
+
+def profile(
+    sessions: DataFrame, cut: date, active_days: int = ACTIVE_DAYS, recent_days: int = RECENT_DAYS
+) -> DataFrame:
     """All signals from counts of sessions before the cut, one row per customer."""
-    totals = sessions.groupBy("customer_id").agg(*aggregates(cut))
-    return totals.withColumn("avg_session_interval", ratio(F.col("_span"), F.col("_sessions") - 1))
+    flagged = sessions.selectExpr(
+        "customer_id",
+        "session_date AS day",
+        "device",
+        "pages_viewed",
+        f"{within_last('session_date', cut, active_days)} AS active",
+        f"{within_last('session_date', cut, recent_days)} AS recent",
+    )
+    totals = aggregate(flagged, "customer_id", AGGREGATES)
+    return add_columns(totals, {"avg_session_interval": ratio("all_days", "all_sessions - 1")})
 
 
 def last_session(sessions: DataFrame, cut: date) -> DataFrame:
     """Date of the last session in the last 180 days."""
-    rows = profile(sessions, cut).where(F.col("session_date").isNotNull())
+    rows = profile(sessions, cut).where("session_date IS NOT NULL")
     return rows.select("customer_id", "session_date")
 
 
 def sessions_180_stats(sessions: DataFrame, cut: date) -> DataFrame:
-    rows = profile(sessions, cut).where(F.col("total_180days_sessions").isNotNull())
+    rows = profile(sessions, cut).where("total_180days_sessions IS NOT NULL")
     return rows.select(
         "customer_id",
         "total_180days_sessions",
@@ -67,22 +71,22 @@ def sessions_180_stats(sessions: DataFrame, cut: date) -> DataFrame:
 
 
 def recent_sessions(sessions: DataFrame, cut: date) -> DataFrame:
-    rows = profile(sessions, cut).where(F.col("sessions_90d").isNotNull())
+    rows = profile(sessions, cut).where("sessions_90d IS NOT NULL")
     return rows.select("customer_id", "sessions_90d", "avg_pages_90d")
 
 
 def session_intervals(sessions: DataFrame, cut: date) -> DataFrame:
     """Mean days between sessions, for customers with at least two."""
-    rows = profile(sessions, cut).where(F.col("avg_session_interval").isNotNull())
+    rows = profile(sessions, cut).where("avg_session_interval IS NOT NULL")
     return rows.select("customer_id", "avg_session_interval")
 
 
 def sessions_orders_ratio(sessions: DataFrame, facts: DataFrame, cut: date) -> DataFrame:
     """Successful orders per session in the last 180 days, where there are both."""
     orders = successful_orders_in(facts, cut, ACTIVE_DAYS, "successful_orders_180")
-    per_session = ratio(F.col("successful_orders_180"), F.col("total_180days_sessions"))
-    return orders.join(sessions_180_stats(sessions, cut), "customer_id").select(
-        "customer_id", per_session.alias("sessions_to_succ_orders_180days")
+    per_session = ratio("successful_orders_180", "total_180days_sessions")
+    return orders.join(sessions_180_stats(sessions, cut), "customer_id").selectExpr(
+        "customer_id", f"{per_session} AS sessions_to_succ_orders_180days"
     )
 
 
@@ -102,10 +106,10 @@ def last_day_sessions(sessions: DataFrame, cut: date) -> DataFrame:
     return (
         counted.withColumn("_rank", F.rank().over(newest))
         .where(F.col("_rank") == 1)
-        .select(
+        .selectExpr(
             "customer_id",
-            F.datediff(F.lit(cut), "session_date").alias("days_from_last_session"),
-            F.col("pages_viewed").alias("last_session_pages_viewed"),
+            f"datediff({day_literal(cut)}, session_date) AS days_from_last_session",
+            "pages_viewed AS last_session_pages_viewed",
             "n",
         )
     )
@@ -115,11 +119,11 @@ def last_single_session(sessions: DataFrame, cut: date) -> DataFrame:
     """As ``last_day_sessions``, with only the highest session id of that day."""
     active = sessions.where(within_last("session_date", cut, ACTIVE_DAYS))
     newest = [F.col("session_date").desc(), F.col("session_id").desc()]
-    return top_rows(active, "customer_id", newest, 1).select(
+    return top_rows(active, "customer_id", newest, 1).selectExpr(
         "customer_id",
-        F.datediff(F.lit(cut), "session_date").alias("days_from_last_session"),
-        F.col("pages_viewed").alias("last_session_pages_viewed"),
-        F.lit(1).cast("bigint").alias("n"),
+        f"datediff({day_literal(cut)}, session_date) AS days_from_last_session",
+        "pages_viewed AS last_session_pages_viewed",
+        "1L AS n",
     )
 
 

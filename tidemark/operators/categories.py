@@ -1,19 +1,18 @@
 """Spending, returns and discounts by product category.
 
-The totals per order already hold one column per category, so the pivot is
-finished by summing them per customer. Only categories named in the parameter
-get columns.
+Lines are summed by (customer, category) first, which Spark begins map-side;
+the pivot into columns then reads at most one row per category of a customer.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tidemark.functions.columns import money, sum_if
-from tidemark.operators.facts import category_columns
+from tidemark.functions.columns import aggregate, line_cents, money, sum_or_zero
+from tidemark.operators import asof
 from tidemark.schema import CATEGORIES, COMPLETED, RETURNED
 
 
@@ -25,54 +24,100 @@ def returned_names(category: str) -> tuple[str, str]:
     return f"{category.lower()}_items_returned", f"{category.lower()}_returned_total"
 
 
-def aggregates(categories: Sequence[str] = CATEGORIES) -> list[Column]:
-    """Aggregates of order facts (with products) by customer; money in cents.
+def by_category(orders: DataFrame, items: DataFrame, products: DataFrame, cut: date) -> DataFrame:
+    """Totals per (customer, category) over lines of known products.
 
-    NULL unless the customer has a line of a known product in an order of the
-    right status, 0 where only the category is missing.
+    ``orders`` are raw headers placed before the cut. Bought lines are those of
+    completed and returned orders, returned ones are of returned orders only.
     """
-    known = F.col("known_lines") > 0
-    bought = known & F.col("status").isin(COMPLETED, RETURNED)
-    returned = known & (F.col("status") == RETURNED)
-    columns = [sum_if(bought, "discounted_lines").alias("discounted_items_total")]
+    headers = orders.selectExpr(
+        "order_id",
+        "customer_id",
+        f"{asof.status_as_of(cut)} AS status",
+        f"coalesce({asof.returns_unknown(cut)}, false) AS unknown",
+    ).where(f"status IN ('{COMPLETED}', '{RETURNED}')")
+    lines = items.selectExpr(
+        "order_id", "product_id", "quantity", "price_at_purchase", "returned", f"{line_cents()} AS cents"
+    ).join(products.select("product_id", "category", "base_price"), "product_id")
+    flagged = (
+        lines.selectExpr(
+            "order_id",
+            "category",
+            "quantity",
+            "cents",
+            "returned",
+            "price_at_purchase < base_price AS discounted",
+        )
+        .join(headers, "order_id")
+        .selectExpr(
+            "customer_id",
+            "category",
+            "quantity",
+            "cents",
+            "discounted",
+            f"status = '{RETURNED}' AS in_return",
+            "unknown OR returned = 0 AS kept",
+            f"status = '{RETURNED}' AND NOT unknown AND returned = 1 AS sent_back",
+        )
+    )
+    return aggregate(
+        flagged,
+        ["customer_id", "category"],
+        {
+            "return_lines": sum_or_zero("in_return"),
+            "kept_qty": sum_or_zero("kept", "quantity"),
+            "kept_cents": sum_or_zero("kept", "cents"),
+            "back_qty": sum_or_zero("sent_back", "quantity"),
+            "back_cents": sum_or_zero("sent_back", "cents"),
+            "discounted_lines": sum_or_zero("discounted"),
+        },
+    )
+
+
+def profile(totals: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+    """``by_category`` as one row per customer with four columns per category.
+
+    The columns of returns are NULL for a customer without a returned order.
+    Categories not in ``categories`` get no columns but their discounts count.
+    The narrow rows are repartitioned before they become wide ones.
+    """
+    columns = {
+        "return_lines": "sum(return_lines)",
+        "discounted_items_total": "sum(discounted_lines)",
+    }
+    output = ["customer_id", "discounted_items_total"]
     for category in categories:
-        qty, kept_qty, cents, kept_cents = category_columns(category)
+        here = f"category = '{category}'"
         items, spent = kept_names(category)
         back_items, back_total = returned_names(category)
-        columns += [
-            sum_if(bought, kept_qty).alias(items),
-            sum_if(bought, kept_cents).alias(spent),
-            sum_if(returned, F.col(qty) - F.col(kept_qty)).alias(back_items),
-            sum_if(returned, F.col(cents) - F.col(kept_cents)).alias(back_total),
+        columns |= {
+            items: sum_or_zero(here, "kept_qty"),
+            spent: sum_or_zero(here, "kept_cents"),
+            back_items: sum_or_zero(here, "back_qty"),
+            back_total: sum_or_zero(here, "back_cents"),
+        }
+        output += [
+            items,
+            f"{money(spent)} AS {spent}",
+            f"CASE WHEN return_lines > 0 THEN {back_items} END AS {back_items}",
+            f"CASE WHEN return_lines > 0 THEN {money(back_total)} END AS {back_total}",
         ]
-    return columns
-
-
-def derived(categories: Sequence[str] = CATEGORIES) -> dict[str, Column]:
-    """The money columns as amounts."""
-    amounts = [kept_names(c)[1] for c in categories] + [returned_names(c)[1] for c in categories]
-    return {name: money(name) for name in amounts}
-
-
-def _profile(facts: DataFrame, categories: Sequence[str]) -> DataFrame:
-    totals = facts.groupBy("customer_id").agg(*aggregates(categories))
-    return totals.withColumns(derived(categories))
+    return aggregate(totals.repartition("customer_id"), "customer_id", columns).selectExpr(*output)
 
 
-def category_counts(facts: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+def category_counts(totals: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
     """Kept items and spend per category over completed and returned orders."""
     names = [name for c in categories for name in kept_names(c)]
-    rows = _profile(facts, categories).where(F.col("discounted_items_total").isNotNull())
-    return rows.select("customer_id", *names)
+    return profile(totals, categories).select("customer_id", *names)
 
 
-def category_returns(facts: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+def category_returns(totals: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
     """Returned items and value per category over returned orders."""
     names = [name for c in categories for name in returned_names(c)]
-    return _profile(facts, categories).where(F.col(names[0]).isNotNull()).select("customer_id", *names)
+    returning = totals.where("return_lines > 0")
+    return profile(returning, categories).select("customer_id", *names)
 
 
-def discount_stats(facts: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+def discount_stats(totals: DataFrame) -> DataFrame:
     """Number of lines bought below the base price, kept or not."""
-    rows = _profile(facts, categories).where(F.col("discounted_items_total").isNotNull())
-    return rows.select("customer_id", "discounted_items_total")
+    return aggregate(totals, "customer_id", {"discounted_items_total": "sum(discounted_lines)"})

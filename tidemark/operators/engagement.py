@@ -8,10 +8,19 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import money, ratio, sum_if, sum_or_zero, within_last
+from tidemark.functions.columns import (
+    add_columns,
+    aggregate,
+    day_literal,
+    money,
+    ratio,
+    sum_if,
+    sum_or_zero,
+    within_last,
+)
 from tidemark.functions.counted import (
     day_counts,
     expand_rows,
@@ -36,18 +45,21 @@ def successful_orders_last(facts: DataFrame, last: date, days: int) -> DataFrame
     return successful_orders_in(facts, last, days, f"successful_orders_{days}")
 
 
+def _middle_orders(facts: DataFrame, last: date) -> DataFrame:
+    middle = within_last("order_date", last, MIDDLE_DAYS, SHORT_DAYS)
+    return facts.where(f"is_successful AND n_lines > 0 AND {middle}")
+
+
 def orders_30_60(facts: DataFrame, last: date) -> DataFrame:
     """Kept value of each successful order with lines, 30 to 60 days ago."""
-    middle = within_last("order_date", last, MIDDLE_DAYS, SHORT_DAYS)
-    return facts.where(F.col("is_successful") & (F.col("n_lines") > 0) & middle).select(
-        "customer_id", "order_id", money("kept_cents").alias("order_total")
+    return _middle_orders(facts, last).selectExpr(
+        "customer_id", "order_id", f"{money('kept_cents')} AS order_total"
     )
 
 
 def sum_orders_30_60(facts: DataFrame, last: date) -> DataFrame:
-    middle = within_last("order_date", last, MIDDLE_DAYS, SHORT_DAYS)
-    rows = facts.where(F.col("is_successful") & (F.col("n_lines") > 0) & middle)
-    return rows.groupBy("customer_id").agg(money(F.sum("kept_cents")).alias("total_30_60"))
+    total = {"total_30_60": money("sum(kept_cents)")}
+    return aggregate(_middle_orders(facts, last), "customer_id", total)
 
 
 def _last_successful(facts: DataFrame) -> DataFrame:
@@ -64,14 +76,14 @@ def last_successful_order(facts: DataFrame) -> DataFrame:
 
 def last_successful_total(facts: DataFrame) -> DataFrame:
     """Kept value of the latest successful order, if it has lines."""
-    rows = _last_successful(facts).where(F.col("n_lines") > 0)
-    return rows.select("customer_id", money("kept_cents").alias("last_suc_order_total"))
+    rows = _last_successful(facts).where("n_lines > 0")
+    return rows.selectExpr("customer_id", f"{money('kept_cents')} AS last_suc_order_total")
 
 
 def days_since_successful(facts: DataFrame, last: date) -> DataFrame:
-    days = F.datediff(F.lit(last), "last_suc_date")
-    return last_successful_order(facts).select(
-        "customer_id", days.alias("days_since_last_successful_order")
+    return last_successful_order(facts).selectExpr(
+        "customer_id",
+        f"datediff({day_literal(last)}, last_suc_date) AS days_since_last_successful_order",
     )
 
 
@@ -89,50 +101,55 @@ def orders_excluding_last(facts: DataFrame) -> DataFrame:
 
 def order_days(facts: DataFrame) -> DataFrame:
     """Successful orders by (customer, day), with what the label needs of them."""
-    lined = F.col("n_lines") > 0
-    return (
-        facts.where("is_successful")
-        .groupBy("customer_id", "order_date")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            sum_or_zero(lined).alias("n_lined"),
-            F.sum("kept_cents").alias("kept_cents"),
-            F.max_by(F.when(lined, F.col("kept_cents")), "order_id").alias("last_cents"),
-        )
+    return aggregate(
+        facts.where("is_successful"),
+        ["customer_id", "order_date"],
+        {
+            "n": "count(1)",
+            "n_lined": sum_or_zero("n_lines > 0"),
+            "kept_cents": "sum(kept_cents)",
+            "last_cents": "max_by(CASE WHEN n_lines > 0 THEN kept_cents END, order_id)",
+        },
     )
 
 
 def order_profile(facts: DataFrame, last: date) -> DataFrame:
     """All order signals of the label, one row per customer with a successful order."""
-    per_customer = Window.partitionBy("customer_id")
-    days = with_gap_ranks(order_days(facts), "customer_id", "order_date").withColumn(
-        "is_last", F.col("order_date") == F.max("order_date").over(per_customer)
-    )
-    earlier = ~F.col("is_last")
     middle = within_last("order_date", last, MIDDLE_DAYS, SHORT_DAYS)
-    totals = days.groupBy("customer_id").agg(
-        *[
-            sum_if(within_last("order_date", last, days_back), "n").alias(f"successful_orders_{days_back}")
-            for days_back in (SHORT_DAYS, MIDDLE_DAYS, LONG_DAYS)
-        ],
-        money(sum_if(middle & (F.col("n_lined") > 0), "kept_cents")).alias("total_30_60"),
-        money(F.max(F.when(F.col("is_last"), F.col("last_cents")))).alias("last_suc_order_total"),
-        F.max("order_date").alias("last_suc_date"),
-        money(sum_if(earlier, "kept_cents")).alias("_earlier_value"),
-        sum_if(earlier, "n_lined").alias("_earlier_orders"),
-        gap_median().alias("median_interval"),
+    days = with_gap_ranks(order_days(facts), "customer_id", "order_date").selectExpr(
+        "*",
+        "order_date = max(order_date) OVER (PARTITION BY customer_id) AS is_last",
+        f"n_lined > 0 AND {middle} AS is_middle",
+    )
+    counts = {
+        f"successful_orders_{n}": sum_if(within_last("order_date", last, n), "n")
+        for n in (SHORT_DAYS, MIDDLE_DAYS, LONG_DAYS)
+    }
+    totals = aggregate(
+        days,
+        "customer_id",
+        counts
+        | {
+            "total_30_60": money(sum_if("is_middle", "kept_cents")),
+            "last_suc_order_total": money("max(CASE WHEN is_last THEN last_cents END)"),
+            "last_suc_date": "max(order_date)",
+            "earlier_value": money(sum_if("NOT is_last", "kept_cents")),
+            "earlier_orders": sum_if("NOT is_last", "n_lined"),
+            "median_interval": gap_median(),
+        },
     )
-    return totals.withColumns(
+    return add_columns(
+        totals,
         {
-            "avg_order_value": ratio(F.col("_earlier_value"), F.col("_earlier_orders")),
-            "days_since_last_successful_order": F.datediff(F.lit(last), "last_suc_date"),
-        }
+            "avg_order_value": ratio("earlier_value", "earlier_orders"),
+            "days_since_last_successful_order": f"datediff({day_literal(last)}, last_suc_date)",
+        },
     )
 
 
 def average_excluding_last(facts: DataFrame, last: date) -> DataFrame:
     """Mean kept value of the earlier successful orders that have lines."""
-    rows = order_profile(facts, last).where(F.col("avg_order_value").isNotNull())
+    rows = order_profile(facts, last).where("avg_order_value IS NOT NULL")
     return rows.select("customer_id", "avg_order_value")
 
 
@@ -153,12 +170,12 @@ def interval_rows(gaps: DataFrame) -> DataFrame:
 
 
 def known_intervals(gaps: DataFrame) -> DataFrame:
-    return interval_rows(gaps.where(F.col("interval_days").isNotNull()))
+    return interval_rows(gaps.where("interval_days IS NOT NULL"))
 
 
 def ranked_intervals(gaps: DataFrame) -> DataFrame:
     """One row per interval with its position and the customer's number of them."""
-    known = gaps.where(F.col("interval_days").isNotNull())
+    known = gaps.where("interval_days IS NOT NULL")
     counts = known.groupBy("customer_id", "interval_days").agg(F.sum("n").alias("n"))
     ranked = rank_counts(counts, "customer_id", "interval_days")
     rows = expand_rows(ranked, "n", index="_copy_no")
@@ -168,42 +185,43 @@ def ranked_intervals(gaps: DataFrame) -> DataFrame:
 
 
 def median_order_interval(facts: DataFrame, last: date) -> DataFrame:
-    rows = order_profile(facts, last).where(F.col("median_interval").isNotNull())
+    rows = order_profile(facts, last).where("median_interval IS NOT NULL")
     return rows.select("customer_id", "median_interval")
 
 
 def session_profile(sessions: DataFrame, last: date) -> DataFrame:
     """All session signals of the label, one row per customer with a session."""
-    days = sessions.groupBy("customer_id", "session_date").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("pages_viewed").cast("bigint")).alias("pages")
-    )
-    recent = within_last("session_date", last, MIDDLE_DAYS)
-    totals = with_gap_ranks(days, "customer_id", "session_date").groupBy("customer_id").agg(
-        sum_if(recent, "pages").alias("pages_last_60"),
-        F.max("session_date").alias("last_session_date"),
-        gap_median().alias("median_session_interval"),
+    days = aggregate(
+        sessions, ["customer_id", "session_date"], {"n": "count(1)", "pages": "sum(pages_viewed)"}
     )
-    return totals.withColumn(
-        "days_since_last_session", F.datediff(F.lit(last), "last_session_date")
+    totals = aggregate(
+        with_gap_ranks(days, "customer_id", "session_date"),
+        "customer_id",
+        {
+            "pages_last_60": sum_if(within_last("session_date", last, MIDDLE_DAYS), "pages"),
+            "last_session_date": "max(session_date)",
+            "median_session_interval": gap_median(),
+        },
     )
+    since = f"datediff({day_literal(last)}, last_session_date)"
+    return add_columns(totals, {"days_since_last_session": since})
 
 
 def pages_last_60(sessions: DataFrame, last: date) -> DataFrame:
     recent = sessions.where(within_last("session_date", last, MIDDLE_DAYS))
-    return recent.groupBy("customer_id").agg(
-        F.sum(F.col("pages_viewed").cast("bigint")).alias("pages_last_60")
-    )
+    return aggregate(recent, "customer_id", {"pages_last_60": "sum(pages_viewed)"})
 
 
 def last_session(sessions: DataFrame) -> DataFrame:
-    return sessions.groupBy("customer_id").agg(F.max("session_date").alias("last_session_date"))
+    return aggregate(sessions, "customer_id", {"last_session_date": "max(session_date)"})
 
 
 def days_since_session(sessions: DataFrame, last: date) -> DataFrame:
-    days = F.datediff(F.lit(last), "last_session_date")
-    return last_session(sessions).select("customer_id", days.alias("days_since_last_session"))
+    return last_session(sessions).selectExpr(
+        "customer_id", f"datediff({day_literal(last)}, last_session_date) AS days_since_last_session"
+    )
 
 
 def median_session_interval(sessions: DataFrame, last: date) -> DataFrame:
-    rows = session_profile(sessions, last).where(F.col("median_session_interval").isNotNull())
+    rows = session_profile(sessions, last).where("median_session_interval IS NOT NULL")
     return rows.select("customer_id", "median_session_interval")

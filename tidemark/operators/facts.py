@@ -1,109 +1,74 @@
 """Order facts: one row per order with the totals of its lines.
 
-Every purchase signal is computed from this relation, so that lines are read
-and shuffled once. Lines are aggregated by order id *before* they meet the
-order headers: the aggregation starts map-side, which makes an order with very
-many lines as cheap as any other, and the join is then one row to one row.
-The as-of masking needs no lines either, because it treats all lines of an
-order alike.
+Every purchase signal except those by category is computed from this relation.
+Lines are aggregated by order id *before* they meet the order headers: the
+aggregation starts map-side, which makes an order with very many lines as
+cheap as any other, and the join is then one row to one row. The as-of masking
+needs no lines either, because it treats all lines of an order alike.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.functions.columns import line_cents, sum_or_zero
+from tidemark.functions.columns import add_columns, aggregate, line_cents, sum_or_zero
 from tidemark.operators import asof
-from tidemark.schema import CATEGORIES, COMPLETED, RETURNED
+from tidemark.schema import COMPLETED, RETURNED
 
+HEADER = ["order_id", "customer_id", "order_date", "status", "status_date"]
+# Totals over all lines, and the matching ones over kept (not returned) lines.
+TOTALS = {"n_lines": "kept_lines", "qty": "kept_qty", "cents": "kept_cents"}
 
-def category_columns(category: str) -> tuple[str, str, str, str]:
-    """Names of the per-category totals: items, kept items, cents, kept cents."""
-    name = category.lower()
-    return f"{name}_qty", f"{name}_kept_qty", f"{name}_cents", f"{name}_kept_cents"
+SUCCESSFUL = f"coalesce(status = '{COMPLETED}' OR (status = '{RETURNED}' AND kept_lines > 0), false)"
 
 
-def line_totals(
-    items: DataFrame,
-    products: DataFrame | None = None,
-    categories: Sequence[str] = CATEGORIES,
-) -> DataFrame:
-    """Totals per order id over all lines and over kept (not returned) lines.
-
-    With ``products`` also per category, the number of lines below the base
-    price and the number of lines whose product is known. Products are joined
-    from the left so that other totals keep lines of unknown products.
-    """
-    kept = F.col("returned") == 0
-    lines = items.select(
-        "order_id", "product_id", "quantity", "price_at_purchase", line_cents().alias("cents"), "returned"
+def line_totals(items: DataFrame) -> DataFrame:
+    """Number of lines, items and cents per order id, over all and over kept lines."""
+    lines = items.selectExpr(
+        "order_id", "quantity", f"{line_cents()} AS line_cents", "returned = 0 AS kept"
+    )
+    return aggregate(
+        lines,
+        "order_id",
+        {
+            "n_lines": "count(1)",
+            "kept_lines": sum_or_zero("kept"),
+            "qty": "sum(quantity)",
+            "kept_qty": sum_or_zero("kept", "quantity"),
+            "cents": "sum(line_cents)",
+            "kept_cents": sum_or_zero("kept", "line_cents"),
+        },
     )
-    totals = [
-        F.count(F.lit(1)).alias("n_lines"),
-        sum_or_zero(kept).alias("kept_lines"),
-        F.sum(F.col("quantity").cast("bigint")).alias("qty"),
-        sum_or_zero(kept, "quantity").alias("kept_qty"),
-        F.sum("cents").alias("cents"),
-        sum_or_zero(kept, "cents").alias("kept_cents"),
-    ]
-    if products is not None:
-        known = products.select("product_id", "category", "base_price", F.lit(True).alias("known"))
-        lines = lines.join(known, "product_id", "left")
-        totals += [
-            sum_or_zero(F.col("known")).alias("known_lines"),
-            sum_or_zero(F.col("price_at_purchase") < F.col("base_price")).alias("discounted_lines"),
-        ]
-        for category in categories:
-            here = F.col("category") == category
-            qty, kept_qty, cents, kept_cents = category_columns(category)
-            totals += [
-                sum_or_zero(here, "quantity").alias(qty),
-                sum_or_zero(here & kept, "quantity").alias(kept_qty),
-                sum_or_zero(here, "cents").alias(cents),
-                sum_or_zero(here & kept, "cents").alias(kept_cents),
-            ]
-    return lines.groupBy("order_id").agg(*totals)
 
 
-def order_facts(
-    orders: DataFrame,
-    items: DataFrame,
-    cut: date | None = None,
-    products: DataFrame | None = None,
-    categories: Sequence[str] = CATEGORIES,
-) -> DataFrame:
+def order_facts(orders: DataFrame, items: DataFrame) -> DataFrame:
     """One row per order: header, line totals and whether it was successful.
 
-    ``orders`` carry raw statuses. With a ``cut``, status, status date and
-    kept totals are as of the cut; without, as recorded. Orders without lines
+    Statuses and return flags are as recorded, so that one such relation, kept
+    as a table, serves every cut-off date and the label. Orders without lines
     stay, with ``n_lines`` 0. An order is successful if it is completed, or
     returned with at least one line kept.
     """
-    headers = orders.select("order_id", "customer_id", "order_date", "status", "status_date")
-    totals = line_totals(items, products, categories)
-    sums = [name for name in totals.columns if name != "order_id"]
-    joined = headers.join(totals, "order_id", "left").na.fill(0, subset=sums)
+    joined = orders.select(*HEADER).join(line_totals(items), "order_id", "left")
+    sums = [f"coalesce({name}, 0) AS {name}" for pair in TOTALS.items() for name in pair]
+    return add_columns(joined.selectExpr(*HEADER, *sums), {"is_successful": SUCCESSFUL})
 
-    if cut is not None:
-        whole = {"kept_lines": "n_lines", "kept_qty": "qty", "kept_cents": "cents"}
-        if products is not None:
-            for category in categories:
-                qty, kept_qty, cents, kept_cents = category_columns(category)
-                whole |= {kept_qty: qty, kept_cents: cents}
-        unknown = asof.returns_unknown(cut)
-        outcome = asof.outcome_unknown(cut)
-        masked = {
-            kept: F.when(unknown, F.col(total)).otherwise(F.col(kept))
-            for kept, total in whole.items()
-        }
-        masked["status"] = F.when(outcome, F.lit(COMPLETED)).otherwise(F.col("status"))
-        masked["status_date"] = F.when(outcome, F.col("order_date")).otherwise(F.col("status_date"))
-        joined = joined.withColumns(masked)
 
-    kept_any = (F.col("status") == RETURNED) & (F.col("kept_lines") > 0)
-    successful = F.coalesce((F.col("status") == COMPLETED) | kept_any, F.lit(False))
-    return joined.withColumn("is_successful", successful)
+def as_of(facts: DataFrame, cut: date) -> DataFrame:
+    """Facts of the orders placed before the cut, as known on the cut.
+
+    While the return flags of an order were unknown, all its lines count as kept.
+    """
+    unknown = asof.returns_unknown(cut)
+    masked = asof.orders_before(facts, cut).selectExpr(
+        "order_id",
+        "customer_id",
+        "order_date",
+        f"{asof.status_as_of(cut)} AS status",
+        f"{asof.status_date_as_of(cut)} AS status_date",
+        *TOTALS,
+        *[f"CASE WHEN {unknown} THEN {total} ELSE {kept} END AS {kept}" for total, kept in TOTALS.items()],
+    )
+    return add_columns(masked, {"is_successful": SUCCESSFUL})

@@ -9,10 +9,18 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import days_before, money, ratio, sum_if, within_last
+from tidemark.functions.columns import (
+    add_columns,
+    aggregate,
+    days_before,
+    money,
+    ratio,
+    sum_if,
+    within_last,
+)
 from tidemark.functions.counted import day_counts, expand_rows, gap_counts
 
 RECENT_DAYS = 90
@@ -22,19 +30,17 @@ HISTORY = ""
 RECENT = "_90d"
 
 
-def in_period(cut: date, period: str, recent_days: int = RECENT_DAYS) -> Column:
+def in_period(cut: date, period: str, recent_days: int = RECENT_DAYS) -> str:
     """Order date before the recent window (HISTORY) or inside it (RECENT)."""
-    start = days_before(cut, recent_days)
-    return F.col("order_date") < start if period == HISTORY else F.col("order_date") >= start
+    return f"order_date {'<' if period == HISTORY else '>='} {days_before(cut, recent_days)}"
 
 
 def successful_lines(
     facts: DataFrame, cut: date, period: str, recent_days: int = RECENT_DAYS
 ) -> DataFrame:
     """Successful orders of the period, counted once per line (``n_lines``)."""
-    return facts.where(
-        F.col("is_successful") & (F.col("n_lines") > 0) & in_period(cut, period, recent_days)
-    ).select("order_id", "customer_id", "order_date", "n_lines")
+    rows = facts.where(f"is_successful AND n_lines > 0 AND {in_period(cut, period, recent_days)}")
+    return rows.select("order_id", "customer_id", "order_date", "n_lines")
 
 
 def successful_line_rows(facts, cut, period, recent_days=RECENT_DAYS) -> DataFrame:
@@ -45,65 +51,68 @@ def successful_line_rows(facts, cut, period, recent_days=RECENT_DAYS) -> DataFra
 def line_intervals(facts, cut, period, recent_days=RECENT_DAYS) -> DataFrame:
     """Days from each successful line to the customer's previous one."""
     lines = successful_lines(facts, cut, period, recent_days)
-    days = day_counts(lines, "customer_id", "order_date", F.col("n_lines"))
+    days = day_counts(lines, "customer_id", "order_date", "n_lines")
     return expand_rows(gap_counts(days, "customer_id", "order_date"), "n")
 
 
-def aggregates(cut: date, recent_days: int = RECENT_DAYS, active_days: int = ACTIVE_DAYS) -> list[Column]:
-    """Aggregates of order facts by customer, for both periods."""
-    columns = []
+def flags(cut: date, recent_days: int = RECENT_DAYS, active_days: int = ACTIVE_DAYS) -> dict[str, str]:
+    """Conditions on order facts that ``aggregates`` uses."""
+    lined = {
+        f"lined{period}": f"n_lines > 0 AND {in_period(cut, period, recent_days)}"
+        for period in (HISTORY, RECENT)
+    }
+    good = {name.replace("lined", "good"): f"is_successful AND {sql}" for name, sql in lined.items()}
+    active = f"is_successful AND {within_last('order_date', cut, active_days)}"
+    return lined | good | {"good_active": active}
+
+
+def aggregates() -> dict[str, str]:
+    """Aggregates of flagged order facts by customer, for both periods."""
+    columns = {"successful_orders_180": sum_if("good_active")}
     for period in (HISTORY, RECENT):
-        lined = (F.col("n_lines") > 0) & in_period(cut, period, recent_days)
-        good = lined & F.col("is_successful")
-        columns += [
-            sum_if(lined).alias(f"orders_count{period}"),
-            sum_if(lined, "cents").alias(f"_value{period}"),
-            sum_if(lined, "qty").alias(f"total_items_per_customer{period}"),
-            sum_if(good).alias(f"succ_orders_count{period}"),
-            sum_if(good, "kept_cents").alias(f"_succ_value{period}"),
-            F.min(F.when(good, F.col("kept_cents"))).alias(f"_succ_min{period}"),
-            sum_if(good, "kept_qty").alias(f"total_succ_items_per_customer{period}"),
-            sum_if(good, "n_lines").alias(f"_succ_lines{period}"),
-            F.min(F.when(good, F.col("order_date"))).alias(f"_first{period}"),
-            F.max(F.when(good, F.col("order_date"))).alias(f"_last{period}"),
-        ]
-    active = F.col("is_successful") & within_last("order_date", cut, active_days)
-    columns.append(sum_if(active).alias("successful_orders_180"))
+        lined, good = f"lined{period}", f"good{period}"
+        columns |= {
+            f"orders_count{period}": sum_if(lined),
+            f"value{period}": sum_if(lined, "cents"),
+            f"total_items_per_customer{period}": sum_if(lined, "qty"),
+            f"succ_orders_count{period}": sum_if(good),
+            f"succ_value{period}": sum_if(good, "kept_cents"),
+            f"succ_min{period}": f"min(CASE WHEN {good} THEN kept_cents END)",
+            f"total_succ_items_per_customer{period}": sum_if(good, "kept_qty"),
+            f"succ_lines{period}": sum_if(good, "n_lines"),
+            f"first_date{period}": f"min(CASE WHEN {good} THEN order_date END)",
+            f"last_date{period}": f"max(CASE WHEN {good} THEN order_date END)",
+        }
     return columns
 
 
-def derived(period: str) -> dict[str, Column]:
-    """Signals of one period from the aggregated columns."""
-
-    def col(name):
-        return F.col(f"{name}{period}")
-
-    count = col("succ_orders_count")
-    return {
-        f"avg_interval{period}": ratio(
-            F.datediff(col("_last"), col("_first")), col("_succ_lines") - 1
-        ),
-        f"total_orders_value{period}": money(col("_value")),
-        f"total_succ_orders_value{period}": money(col("_succ_value")),
-        f"avg_order_value{period}": ratio(money(col("_succ_value")), count),
-        f"min_order_value{period}": money(col("_succ_min")),
-        f"avg_items_per_order{period}": ratio(col("total_succ_items_per_customer"), count),
-        f"return_cancel_orders_count{period}": col("orders_count") - count,
-        f"return_cancel_orders_values{period}": money(col("_value") - col("_succ_value")),
-        f"return_cancel_orders_items{period}": (
-            col("total_items_per_customer") - col("total_succ_items_per_customer")
-        ),
-    }
+def derived() -> dict[str, str]:
+    """Signals of both periods from the aggregated columns."""
+    columns = {}
+    for p in (HISTORY, RECENT):
+        count, items = f"succ_orders_count{p}", f"total_succ_items_per_customer{p}"
+        columns |= {
+            f"avg_interval{p}": ratio(f"datediff(last_date{p}, first_date{p})", f"succ_lines{p} - 1"),
+            f"total_orders_value{p}": money(f"value{p}"),
+            f"total_succ_orders_value{p}": money(f"succ_value{p}"),
+            f"avg_order_value{p}": ratio(money(f"succ_value{p}"), count),
+            f"min_order_value{p}": money(f"succ_min{p}"),
+            f"avg_items_per_order{p}": ratio(items, count),
+            f"return_cancel_orders_count{p}": f"orders_count{p} - {count}",
+            f"return_cancel_orders_values{p}": money(f"value{p} - succ_value{p}"),
+            f"return_cancel_orders_items{p}": f"total_items_per_customer{p} - {items}",
+        }
+    return columns
 
 
 def profile(facts: DataFrame, cut: date, recent_days: int = RECENT_DAYS) -> DataFrame:
     """All purchase signals, one row per customer with an order."""
-    totals = facts.groupBy("customer_id").agg(*aggregates(cut, recent_days))
-    return totals.withColumns(derived(HISTORY) | derived(RECENT))
+    flagged = add_columns(facts, flags(cut, recent_days))
+    return add_columns(aggregate(flagged, "customer_id", aggregates()), derived())
 
 
 def _present(facts, cut, period, recent_days, marker, names) -> DataFrame:
-    rows = profile(facts, cut, recent_days).where(F.col(f"{marker}{period}").isNotNull())
+    rows = profile(facts, cut, recent_days).where(f"{marker}{period} IS NOT NULL")
     return rows.select("customer_id", *[f"{name}{period}" for name in names])
 
 
@@ -143,7 +152,7 @@ def returns_and_cancels(facts, cut, period, recent_days=RECENT_DAYS) -> DataFram
 
 def successful_orders_in(facts: DataFrame, day: date, days: int, alias: str) -> DataFrame:
     """Number of successful orders in the last ``days`` days, with or without lines."""
-    recent = facts.where(F.col("is_successful") & within_last("order_date", day, days))
+    recent = facts.where(f"is_successful AND {within_last('order_date', day, days)}")
     return recent.groupBy("customer_id").agg(F.count(F.lit(1)).alias(alias))
 
 

@@ -12,42 +12,43 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import money, ratio, sum_if
+from tidemark.functions.columns import add_columns, aggregate, day_literal, money, ratio, sum_if
 from tidemark.functions.counted import top_rows
 from tidemark.schema import CANCELLED, RETURNED
 
 LAST_K = 3
 
+# Returned as of the cut, with lines, none of them kept.
+FULL_RETURN = f"status = '{RETURNED}' AND n_lines > 0 AND kept_lines = 0"
+CANCEL = f"status = '{CANCELLED}'"
+
 
 def _newest(day: str) -> list[Column]:
     return [F.col(day).desc_nulls_last(), F.col("order_id").desc()]
 
 
-def _days_since(cut: date, day: str) -> Column:
-    return F.datediff(F.lit(cut), day)
+def _days_since(cut: date, day: str) -> str:
+    return f"datediff({day_literal(cut)}, {day})"
 
 
-def _per_line(days: Column, per_line_days: bool) -> Column:
+def _counted_days(cut: date, day: str, per_line_days: bool) -> str:
     """Days counted once per order line, as the source signals do, or once."""
-    return days * F.col("n_lines") if per_line_days else days.cast("bigint")
+    days = _days_since(cut, day)
+    return f"{days} * n_lines" if per_line_days else f"CAST({days} AS BIGINT)"
 
 
-def is_full_return() -> Column:
-    """Returned as of the cut, with lines, none of them kept."""
-    return (F.col("status") == RETURNED) & (F.col("n_lines") > 0) & (F.col("kept_lines") == 0)
+def _lost(total: str, kept: str) -> str:
+    """Part of an order's total lost to a cancellation or to returned lines."""
+    return f"""
+        CASE status WHEN '{CANCELLED}' THEN {total} WHEN '{RETURNED}' THEN {total} - {kept} ELSE 0 END"""
 
 
-def is_cancelled() -> Column:
-    return F.col("status") == CANCELLED
+def _newest_successful(facts: DataFrame, k: int) -> DataFrame:
+    return top_rows(facts.where("is_successful"), "customer_id", _newest("order_date"), k)
 
 
-def lost(total: str, kept: str) -> Column:
-    """Part of an order's total lost to a cancellation or to returned lines."""
-    return (
-        F.when(is_cancelled(), F.col(total))
-        .when(F.col("status") == RETURNED, F.col(total) - F.col(kept))
-        .otherwise(0)
-    )
+def _newest_full_return(facts: DataFrame) -> DataFrame:
+    return top_rows(facts.where(FULL_RETURN), "customer_id", _newest("status_date"), 1)
 
 
 # --- one operator at a time -------------------------------------------------
@@ -55,75 +56,74 @@ def lost(total: str, kept: str) -> Column:
 
 def last_successful_order(facts: DataFrame, cut: date) -> DataFrame:
     """The latest successful order, with or without lines."""
-    newest = top_rows(facts.where("is_successful"), "customer_id", _newest("order_date"), 1)
-    return newest.select(
-        "customer_id", "order_id", _days_since(cut, "order_date").alias("last_successful_date")
+    days = _days_since(cut, "order_date")
+    return _newest_successful(facts, 1).selectExpr(
+        "customer_id", "order_id", f"{days} AS last_successful_date"
     )
 
 
 def last_successful_stats(facts: DataFrame, cut: date, per_line_days: bool = True) -> DataFrame:
     """Totals of the latest successful order, if it has lines."""
-    newest = top_rows(facts.where("is_successful"), "customer_id", _newest("order_date"), 1)
-    days = _per_line(_days_since(cut, "order_date"), per_line_days)
-    return newest.where(F.col("n_lines") > 0).select(
-        "customer_id",
-        days.alias("last_suc_order_interval"),
-        money("kept_cents").alias("last_succ_kept_order_total"),
-        F.col("kept_qty").alias("last_succ_kept_order_items"),
-        F.col("qty").alias("last_succ_order_items"),
-        money("cents").alias("last_succ_order_total"),
+    days = _counted_days(cut, "order_date", per_line_days)
+    return (
+        _newest_successful(facts, 1)
+        .where("n_lines > 0")
+        .selectExpr(
+            "customer_id",
+            f"{days} AS last_suc_order_interval",
+            f"{money('kept_cents')} AS last_succ_kept_order_total",
+            "kept_qty AS last_succ_kept_order_items",
+            "qty AS last_succ_order_items",
+            f"{money('cents')} AS last_succ_order_total",
+        )
     )
 
 
 def full_return_orders(facts: DataFrame) -> DataFrame:
-    return facts.where(is_full_return()).select(
-        "order_id", "customer_id", "status_date", money("cents").alias("full_return_total")
+    return facts.where(FULL_RETURN).selectExpr(
+        "order_id", "customer_id", "status_date", f"{money('cents')} AS full_return_total"
     )
 
 
-def _last_full_return(facts: DataFrame) -> DataFrame:
-    return top_rows(facts.where(is_full_return()), "customer_id", _newest("status_date"), 1)
-
-
 def last_return_date(facts: DataFrame) -> DataFrame:
-    return _last_full_return(facts).select(
-        "customer_id", "order_id", F.col("status_date").alias("return_date")
+    return _newest_full_return(facts).selectExpr(
+        "customer_id", "order_id", "status_date AS return_date"
     )
 
 
 def last_return_order(facts: DataFrame, cut: date) -> DataFrame:
-    return _last_full_return(facts).select(
+    return _newest_full_return(facts).selectExpr(
         "customer_id",
         "order_id",
-        _days_since(cut, "status_date").alias("days_from_last_return"),
-        money("cents").alias("full_return_total"),
+        f"{_days_since(cut, 'status_date')} AS days_from_last_return",
+        f"{money('cents')} AS full_return_total",
     )
 
 
 def last_return_stats(facts: DataFrame, cut: date, per_line_days: bool = True) -> DataFrame:
-    return _last_full_return(facts).select(
+    return _newest_full_return(facts).selectExpr(
         "customer_id",
-        _per_line(_days_since(cut, "status_date"), per_line_days).alias("days_from_last_return"),
-        money(F.col("cents") - F.col("kept_cents")).alias("last_return_total"),
-        (F.col("qty") - F.col("kept_qty")).alias("last_returned_items"),
+        f"{_counted_days(cut, 'status_date', per_line_days)} AS days_from_last_return",
+        f"{money('cents - kept_cents')} AS last_return_total",
+        "qty - kept_qty AS last_returned_items",
     )
 
 
 def last_cancel_order(orders: DataFrame, cut: date) -> DataFrame:
     """The latest cancelled order; needs order headers only."""
-    newest = top_rows(orders.where(is_cancelled()), "customer_id", _newest("status_date"), 1)
-    return newest.select(
-        "customer_id", "order_id", _days_since(cut, "status_date").alias("days_from_last_cancel")
+    newest = top_rows(orders.where(CANCEL), "customer_id", _newest("status_date"), 1)
+    return newest.selectExpr(
+        "customer_id", "order_id", f"{_days_since(cut, 'status_date')} AS days_from_last_cancel"
     )
 
 
 def last_cancel_stats(facts: DataFrame, cut: date, per_line_days: bool = True) -> DataFrame:
-    newest = top_rows(facts.where(is_cancelled()), "customer_id", _newest("status_date"), 1)
-    return newest.where(F.col("n_lines") > 0).select(
+    newest = top_rows(facts.where(CANCEL), "customer_id", _newest("status_date"), 1)
+    return newest.where("n_lines > 0").selectExpr(
         "customer_id",
-        _per_line(_days_since(cut, "status_date"), per_line_days).alias("days_from_last_cancel"),
-        F.col("qty").alias("last_cancel_items"),
-        money("cents").alias("last_cancel_total"),
+        f"{_counted_days(cut, 'status_date', per_line_days)} AS days_from_last_cancel",
+        "qty AS last_cancel_items",
+        f"{money('cents')} AS last_cancel_total",
     )
 
 
@@ -141,102 +141,94 @@ def last_successful_orders(facts: DataFrame, k: int = LAST_K) -> DataFrame:
 def last_successful_details(facts: DataFrame, k: int = LAST_K) -> DataFrame:
     """Totals of each of the last ``k`` successful orders that has lines, and
     the days since the one before among them."""
-    newest = top_rows(facts.where("is_successful"), "customer_id", _newest("order_date"), k)
-    in_order = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
-    gap = F.datediff("order_date", F.lag("order_date").over(in_order))
-    return newest.where(F.col("n_lines") > 0).select(
-        "customer_id",
-        "order_id",
-        money("kept_cents").alias("last3_succ_kept_total"),
-        F.col("kept_qty").alias("last3_succ_kept_items"),
-        money("cents").alias("total_value"),
-        F.col("qty").alias("total_items"),
-        gap.alias("interval_days"),
+    previous = "lag(order_date) OVER (PARTITION BY customer_id ORDER BY order_date, order_id)"
+    return (
+        _newest_successful(facts, k)
+        .where("n_lines > 0")
+        .selectExpr(
+            "customer_id",
+            "order_id",
+            f"{money('kept_cents')} AS last3_succ_kept_total",
+            "kept_qty AS last3_succ_kept_items",
+            f"{money('cents')} AS total_value",
+            "qty AS total_items",
+            f"datediff(order_date, {previous}) AS interval_days",
+        )
     )
 
 
-def _last3_successful(among: Column) -> list[Column]:
-    return [
-        F.min(F.when(among, F.col("order_date"))).alias("_last3_first"),
-        F.max(F.when(among, F.col("order_date"))).alias("_last3_last"),
-        sum_if(among).alias("_last3_n"),
-        sum_if(among, "kept_qty").alias("last3_succ_orders_kept_items_total"),
-        sum_if(among, "kept_cents").alias("last3_succ_orders_kept_total"),
-        sum_if(among, "cents").alias("last3_succ_orders_total"),
-        sum_if(among, "qty").alias("last3_succ_orders_items"),
-    ]
+def _successful_totals(among: str) -> dict[str, str]:
+    return {
+        "newest_span": f"""
+            datediff(max(CASE WHEN {among} THEN order_date END),
+                     min(CASE WHEN {among} THEN order_date END))""",
+        "newest_orders": sum_if(among),
+        "last3_succ_orders_kept_items_total": sum_if(among, "kept_qty"),
+        "newest_kept_cents": sum_if(among, "kept_cents"),
+        "newest_cents": sum_if(among, "cents"),
+        "last3_succ_orders_items": sum_if(among, "qty"),
+    }
 
 
-def _last3_successful_derived() -> dict[str, Column]:
-    span = F.datediff("_last3_last", "_last3_first")
-    amounts = ["last3_succ_orders_kept_total", "last3_succ_orders_total"]
-    return {"avg_last3_succ_interval": ratio(span, F.col("_last3_n") - 1)} | {
-        name: money(name) for name in amounts
-    }
+SUCCESSFUL_DERIVED = {
+    "avg_last3_succ_interval": ratio("newest_span", "newest_orders - 1"),
+    "last3_succ_orders_kept_total": money("newest_kept_cents"),
+    "last3_succ_orders_total": money("newest_cents"),
+}
 
 
 def last_successful_summary(facts: DataFrame, k: int = LAST_K) -> DataFrame:
     """Mean gap and totals over the last ``k`` successful orders that have lines."""
-    newest = top_rows(facts.where("is_successful"), "customer_id", _newest("order_date"), k)
-    totals = newest.where(F.col("n_lines") > 0).groupBy("customer_id")
-    return (
-        totals.agg(*_last3_successful(F.lit(True)))
-        .withColumns(_last3_successful_derived())
-        .select(
-            "customer_id",
-            "avg_last3_succ_interval",
-            "last3_succ_orders_kept_items_total",
-            "last3_succ_orders_kept_total",
-            "last3_succ_orders_total",
-            "last3_succ_orders_items",
-        )
+    newest = _newest_successful(facts, k).where("n_lines > 0")
+    totals = aggregate(newest, "customer_id", _successful_totals("true"))
+    return add_columns(totals, SUCCESSFUL_DERIVED).select(
+        "customer_id",
+        *SUCCESSFUL_DERIVED,
+        "last3_succ_orders_kept_items_total",
+        "last3_succ_orders_items",
     )
 
 
-def _last3_any(among: Column) -> list[Column]:
-    return [
-        sum_if(among, lost("cents", "kept_cents")).alias("_lost_cents"),
-        sum_if(among, "cents").alias("_all_cents"),
-        sum_if(among, lost("qty", "kept_qty")).alias("_lost_qty"),
-        sum_if(among, "qty").alias("_all_qty"),
-    ]
+def _any_totals(among: str) -> dict[str, str]:
+    return {
+        "lost_cents": sum_if(among, _lost("cents", "kept_cents")),
+        "all_cents": sum_if(among, "cents"),
+        "lost_qty": sum_if(among, _lost("qty", "kept_qty")),
+        "all_qty": sum_if(among, "qty"),
+    }
+
 
+ANY_DERIVED = {
+    "last3_return_cancel_order_total": money("lost_cents"),
+    "last3_kept_total": money("all_cents - lost_cents"),
+    "last3_cancels_returns_items": "lost_qty",
+    "last3_kept_items": "all_qty - lost_qty",
+}
 
-def _last_orders_totals(facts: DataFrame, k: int) -> DataFrame:
-    newest = top_rows(facts, "customer_id", _newest("order_date"), k).where(F.col("n_lines") > 0)
-    return newest.groupBy("customer_id").agg(*_last3_any(F.lit(True)))
+
+def _newest_totals(facts: DataFrame, k: int) -> DataFrame:
+    newest = top_rows(facts, "customer_id", _newest("order_date"), k).where("n_lines > 0")
+    return aggregate(newest, "customer_id", _any_totals("true"))
 
 
 def last_orders_losses(facts: DataFrame, k: int = LAST_K) -> DataFrame:
     """Lost and total value and items over the last ``k`` orders of any status."""
-    return _last_orders_totals(facts, k).select(
+    return _newest_totals(facts, k).selectExpr(
         "customer_id",
-        money("_lost_cents").alias("return_cancel_order_total"),
-        money("_all_cents").alias("last_3orders_total"),
-        F.col("_lost_qty").alias("return_cancel_order_items"),
-        F.col("_all_qty").alias("last_3orders_items"),
+        f"{money('lost_cents')} AS return_cancel_order_total",
+        f"{money('all_cents')} AS last_3orders_total",
+        "lost_qty AS return_cancel_order_items",
+        "all_qty AS last_3orders_items",
     )
 
 
-def _last3_any_derived() -> dict[str, Column]:
-    return {
-        "last3_return_cancel_order_total": money("_lost_cents"),
-        "last3_kept_total": money(F.col("_all_cents") - F.col("_lost_cents")),
-        "last3_cancels_returns_items": F.col("_lost_qty"),
-        "last3_kept_items": F.col("_all_qty") - F.col("_lost_qty"),
-    }
-
-
 def last_orders_summary(facts: DataFrame, k: int = LAST_K) -> DataFrame:
     """Lost and kept value and items over the last ``k`` orders of any status."""
-    derived = _last3_any_derived()
-    return _last_orders_totals(facts, k).withColumns(derived).select("customer_id", *derived)
+    return add_columns(_newest_totals(facts, k), ANY_DERIVED).select("customer_id", *ANY_DERIVED)
 
 
 # --- all of them in one pass ------------------------------------------------
 
-SUCCESS, OTHER, FULL_RETURN, CANCEL = "success", "other", "return", "cancel"
-
 
 def profile(facts: DataFrame, cut: date, k: int = LAST_K, per_line_days: bool = True) -> DataFrame:
     """All signals of this module, one row per customer with an order.
@@ -246,60 +238,53 @@ def profile(facts: DataFrame, cut: date, k: int = LAST_K, per_line_days: bool =
     One top-k over (customer, timeline) serves every signal: the last ``k``
     orders of any status are among the last ``k`` of the two first timelines.
     """
-    timelines = F.array(
-        F.struct(
-            F.when(F.col("is_successful"), SUCCESS).otherwise(OTHER).alias("timeline"),
-            F.col("order_date").alias("event_date"),
-        ),
-        F.struct(
-            F.when(is_full_return(), FULL_RETURN).when(is_cancelled(), CANCEL).alias("timeline"),
-            F.col("status_date").alias("event_date"),
-        ),
-    )
-    events = facts.select(
-        "customer_id",
-        "order_id",
-        "order_date",
-        "status",
-        *["n_lines", "qty", "kept_qty", "cents", "kept_cents"],
-        F.inline(timelines),
-    ).where(F.col("timeline").isNotNull())
+    timelines = f"""
+        inline(array(
+            struct(if(is_successful, 'success', 'other') AS timeline, order_date AS event_date),
+            struct(CASE WHEN {FULL_RETURN} THEN 'return' WHEN {CANCEL} THEN 'cancel' END AS timeline,
+                   status_date AS event_date)))"""
+    carried = ["customer_id", "order_id", "order_date", "status"]
+    carried += ["n_lines", "qty", "kept_qty", "cents", "kept_cents"]
+    events = facts.selectExpr(*carried, timelines).where("timeline IS NOT NULL")
     newest = top_rows(events, ["customer_id", "timeline"], _newest("event_date"), k)
 
-    placed = F.col("timeline").isin(SUCCESS, OTHER)
+    placed = F.col("timeline").isin("success", "other")
     overall = Window.partitionBy("customer_id").orderBy(placed.desc(), *_newest("event_date"))
     newest = newest.withColumn("overall", F.row_number().over(overall))
 
-    lined = F.col("n_lines") > 0
-    days = _per_line(_days_since(cut, "event_date"), per_line_days)
-
-    def last(timeline):
-        return lined & (F.col("timeline") == timeline) & (F.col("rn") == 1)
-
-    success, full_return, cancel = last(SUCCESS), last(FULL_RETURN), last(CANCEL)
-    totals = newest.groupBy("customer_id").agg(
-        sum_if(success, days).alias("last_suc_order_interval"),
-        sum_if(success, "kept_cents").alias("last_succ_kept_order_total"),
-        sum_if(success, "kept_qty").alias("last_succ_kept_order_items"),
-        sum_if(success, "qty").alias("last_succ_order_items"),
-        sum_if(success, "cents").alias("last_succ_order_total"),
-        sum_if(full_return, days).alias("days_from_last_return"),
-        sum_if(full_return, F.col("cents") - F.col("kept_cents")).alias("last_return_total"),
-        sum_if(full_return, F.col("qty") - F.col("kept_qty")).alias("last_returned_items"),
-        sum_if(cancel, days).alias("days_from_last_cancel"),
-        sum_if(cancel, "qty").alias("last_cancel_items"),
-        sum_if(cancel, "cents").alias("last_cancel_total"),
-        *_last3_successful(lined & (F.col("timeline") == SUCCESS)),
-        *_last3_any(lined & placed & (F.col("overall") <= k)),
+    days = _counted_days(cut, "event_date", per_line_days)
+    flagged = newest.selectExpr(
+        "*",
+        "n_lines > 0 AND timeline = 'success' AND rn = 1 AS last_success",
+        "n_lines > 0 AND timeline = 'return' AND rn = 1 AS last_return",
+        "n_lines > 0 AND timeline = 'cancel' AND rn = 1 AS last_cancel",
+        "n_lines > 0 AND timeline = 'success' AS newest_success",
+        f"n_lines > 0 AND timeline IN ('success', 'other') AND overall <= {k} AS newest_any",
+        f"{days} AS days",
     )
-    amounts = [
-        "last_succ_kept_order_total",
-        "last_succ_order_total",
-        "last_return_total",
-        "last_cancel_total",
-    ]
-    return totals.withColumns(
-        {name: money(name) for name in amounts}
-        | _last3_successful_derived()
-        | _last3_any_derived()
+    totals = aggregate(
+        flagged,
+        "customer_id",
+        {
+            "last_suc_order_interval": sum_if("last_success", "days"),
+            "last_success_kept_cents": sum_if("last_success", "kept_cents"),
+            "last_succ_kept_order_items": sum_if("last_success", "kept_qty"),
+            "last_succ_order_items": sum_if("last_success", "qty"),
+            "last_success_cents": sum_if("last_success", "cents"),
+            "days_from_last_return": sum_if("last_return", "days"),
+            "last_return_cents": sum_if("last_return", "cents - kept_cents"),
+            "last_returned_items": sum_if("last_return", "qty - kept_qty"),
+            "days_from_last_cancel": sum_if("last_cancel", "days"),
+            "last_cancel_items": sum_if("last_cancel", "qty"),
+            "last_cancel_cents": sum_if("last_cancel", "cents"),
+            **_successful_totals("newest_success"),
+            **_any_totals("newest_any"),
+        },
     )
+    amounts = {
+        "last_succ_kept_order_total": money("last_success_kept_cents"),
+        "last_succ_order_total": money("last_success_cents"),
+        "last_return_total": money("last_return_cents"),
+        "last_cancel_total": money("last_cancel_cents"),
+    }
+    return add_columns(totals, amounts | SUCCESSFUL_DERIVED | ANY_DERIVED)

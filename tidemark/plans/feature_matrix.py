@@ -6,12 +6,11 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.functions.columns import ratio
+from tidemark.functions.columns import day_literal, ratio
 from tidemark.functions.counted import expand_rows
 from tidemark.operators import asof, browsing, categories, purchases, recent
-from tidemark.operators.facts import order_facts
+from tidemark.operators.facts import as_of, order_facts
 from tidemark.schema import CATEGORIES
 from tidemark.shop import Shop
 
@@ -83,30 +82,33 @@ def feature_matrix(
     product_categories: Sequence[str] = CATEGORIES,
     per_line_days: bool = True,
     one_row_per_customer: bool = False,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """One row per customer registered before ``cut``, 98 columns by default.
 
     ``per_line_days``: count the days since the last order, return and
     cancellation once per line of that order. ``one_row_per_customer``: of
     several sessions on the last day keep the highest session id; otherwise
-    the customer gets a row for each.
+    the customer gets a row for each. ``facts``: order facts
+    kept as a table; without, lines are aggregated here.
 
     Customers' orders and sessions are not semi-joined to the customers first:
     the final left joins drop what belongs to nobody.
     """
     customers = asof.customers_before(shop.customers, cut)
-    orders = shop.orders.where(F.col("order_date") < F.lit(cut))
-    sessions = shop.sessions.where(F.col("session_date") < F.lit(cut))
+    sessions = asof.sessions_before(shop.sessions, cut)
+    if facts is None:
+        facts = order_facts(shop.orders, shop.order_items)
+    known = as_of(facts, cut)
 
-    # Wide facts feed one aggregation; the top-k needs the line totals only.
-    wide_facts = order_facts(orders, shop.order_items, cut, shop.products, product_categories)
-    totals = (
-        wide_facts.groupBy("customer_id")
-        .agg(*purchases.aggregates(cut), *categories.aggregates(product_categories))
-        .withColumns(purchases.derived(purchases.HISTORY) | purchases.derived(purchases.RECENT))
-        .withColumns(categories.derived(product_categories))
+    totals = purchases.profile(known, cut)
+    spending = categories.profile(
+        categories.by_category(
+            asof.orders_before(shop.orders, cut), shop.order_items, shop.products, cut
+        ),
+        product_categories,
     )
-    newest = recent.profile(order_facts(orders, shop.order_items, cut), cut, per_line_days=per_line_days)
+    newest = recent.profile(known, cut, per_line_days=per_line_days)
     visits = browsing.profile(sessions, cut)
     if one_row_per_customer:
         last_visits = browsing.last_single_session(sessions, cut)
@@ -114,22 +116,20 @@ def feature_matrix(
         last_visits = browsing.last_day_sessions(sessions, cut)
 
     joined = customers
-    for part in (totals, newest, visits, last_visits):
+    for part in (totals, spending, newest, visits, last_visits):
         joined = joined.join(part, "customer_id", "left")
-    matrix = joined.withColumns(
-        {
-            "account_age_days": F.datediff(F.lit(cut), "registration_date"),
-            "shopping_frequency": 1 / F.nullif("avg_interval", F.lit(0.0)),
-            "shopping_frequency_90d": 1 / F.nullif("avg_interval_90d", F.lit(0.0)),
-            "unsuccessful_orders_count": F.col("return_cancel_orders_count"),
-            "unsuccessful_orders_count_90d": F.col("return_cancel_orders_count_90d"),
-            "sessions_to_succ_orders_180days": ratio(
-                F.col("successful_orders_180"), F.col("total_180days_sessions")
-            ),
-        }
-    )
-    columns = feature_columns(product_categories)
+    computed = {
+        "account_age_days": f"datediff({day_literal(cut)}, registration_date)",
+        "shopping_frequency": "1 / nullif(avg_interval, 0)",
+        "shopping_frequency_90d": "1 / nullif(avg_interval_90d, 0)",
+        "unsuccessful_orders_count": "return_cancel_orders_count",
+        "unsuccessful_orders_count_90d": "return_cancel_orders_count_90d",
+        "sessions_to_succ_orders_180days": ratio("successful_orders_180", "total_180days_sessions"),
+    }
+    columns = [
+        f"{computed[name]} AS {name}" if name in computed else name
+        for name in feature_columns(product_categories)
+    ]
     if one_row_per_customer:
-        return matrix.select(*columns)
-    rows = F.coalesce(F.col("n"), F.lit(1).cast("bigint"))
-    return expand_rows(matrix.select(*columns, rows.alias("_rows")), "_rows")
+        return joined.selectExpr(*columns)
+    return expand_rows(joined.selectExpr(*columns, "coalesce(n, 1) AS n_rows"), "n_rows")

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tidemark.operators import asof, engagement
 from tidemark.operators.facts import order_facts
@@ -18,36 +17,36 @@ LARGE_ORDER = 5
 USUAL_DAYS = engagement.LONG_DAYS
 
 
-def label(low_pages: int = LOW_PAGES, large_order: int = LARGE_ORDER, usual_days: int = USUAL_DAYS) -> Column:
+def label(
+    low_pages: int = LOW_PAGES, large_order: int = LARGE_ORDER, usual_days: int = USUAL_DAYS
+) -> str:
     """First matching rule; a rule with a NULL operand does not match."""
-
-    def known(name):
-        return F.coalesce(F.col(name), F.lit(0))
-
-    large = large_order * F.col("avg_order_value")
-    browses = known("pages_last_60") >= low_pages
-    bought_30_60 = (known("successful_orders_60") > 0) & (known("successful_orders_30") == 0)
-    gone = (known("successful_orders_120") == 0) & ~browses
-    was_active = F.col("median_interval") < usual_days
-    on_rhythm = (F.col("days_since_last_successful_order") <= F.col("median_interval")) & (
-        F.col("days_since_last_session") <= F.col("median_session_interval")
-    )
-    return (
-        F.when(gone & was_active & (F.col("last_suc_order_total") < large), CHURNED)
-        .when(known("successful_orders_30") > 0, ACTIVE)
-        .when(bought_30_60 & (known("total_30_60") >= large), ACTIVE)
-        .when(bought_30_60 & browses, ACTIVE)
-        .when(on_rhythm, ACTIVE)
-        .otherwise(AT_RISK)
-    )
-
-
-def engagement_target(shop: Shop, cut: date, last: date) -> DataFrame:
-    """(customer_id, target) for customers registered before ``cut``, as of ``last``."""
+    gone = f"coalesce(successful_orders_120, 0) = 0 AND coalesce(pages_last_60, 0) < {low_pages}"
+    small_last_order = f"last_suc_order_total < {large_order} * avg_order_value"
+    large_recent_orders = f"coalesce(total_30_60, 0) >= {large_order} * avg_order_value"
+    bought_30_60 = "coalesce(successful_orders_60, 0) > 0 AND coalesce(successful_orders_30, 0) = 0"
+    return f"""
+        CASE WHEN {gone} AND median_interval < {usual_days} AND {small_last_order} THEN '{CHURNED}'
+             WHEN coalesce(successful_orders_30, 0) > 0 THEN '{ACTIVE}'
+             WHEN {bought_30_60} AND {large_recent_orders} THEN '{ACTIVE}'
+             WHEN {bought_30_60} AND coalesce(pages_last_60, 0) >= {low_pages} THEN '{ACTIVE}'
+             WHEN days_since_last_successful_order <= median_interval
+                  AND days_since_last_session <= median_session_interval THEN '{ACTIVE}'
+             ELSE '{AT_RISK}' END"""
+
+
+def engagement_target(
+    shop: Shop, cut: date, last: date, facts: DataFrame | None = None
+) -> DataFrame:
+    """(customer_id, target) for customers registered before ``cut``, as of ``last``.
+
+    ``facts``: order facts kept as a table; without, lines are aggregated here.
+    """
     customers = asof.customers_before(shop.customers, cut).select("customer_id")
-    facts = order_facts(shop.orders, shop.order_items)
+    if facts is None:
+        facts = order_facts(shop.orders, shop.order_items)
     return (
         customers.join(engagement.order_profile(facts, last), "customer_id", "left")
         .join(engagement.session_profile(shop.sessions, last), "customer_id", "left")
-        .select("customer_id", label().alias("target"))
+        .selectExpr("customer_id", f"{label()} AS target")
     )
