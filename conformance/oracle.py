@@ -346,7 +346,7 @@ QUERIES = {
         select * from mean join sums using (customer_id)""",
     "f_last3_orders_help": """
         with marked as (
-          select *, status = 'Cancelled' or (status = 'Returned' and returned = 1) as is_lost
+          select *, coalesce(status = 'Cancelled' or (status = 'Returned' and returned = 1), false) as is_lost
           from priced where order_id in (select order_id from newest3))
         select customer_id,
                cast(coalesce(sum(amount) filter (where is_lost), 0) as double) as return_cancel_order_total,
@@ -356,7 +356,7 @@ QUERIES = {
         from marked group by customer_id""",
     "f_last3_orders_stats": """
         with marked as (
-          select *, status = 'Cancelled' or (status = 'Returned' and returned = 1) as is_lost
+          select *, coalesce(status = 'Cancelled' or (status = 'Returned' and returned = 1), false) as is_lost
           from priced where order_id in (select order_id from newest3))
         select customer_id,
                cast(coalesce(sum(amount) filter (where is_lost), 0) as double) as last3_return_cancel_order_total,

@@ -1,0 +1,198 @@
+"""Hand-computed values and properties of the two results."""
+
+from collections import Counter, defaultdict
+from datetime import date
+from decimal import Decimal
+
+import pytest
+import shops
+from shops import CUT, LAST, before, edge_rows, random_rows
+
+from tidemark import engagement_target, feature_matrix
+from tidemark.operators.facts import as_of, order_facts
+from tidemark.plans.feature_matrix import feature_columns
+from tidemark.schema import CATEGORIES
+
+
+@pytest.fixture(scope="module")
+def matrix(spark):
+    rows = defaultdict(list)
+    for row in feature_matrix(edge_rows().to_shop(spark), CUT).collect():
+        rows[row.customer_id].append(row)
+    return rows
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    rows = engagement_target(edge_rows().to_shop(spark), CUT, LAST).collect()
+    assert len(rows) == len({row.customer_id for row in rows})
+    return {row.customer_id: row.target for row in rows}
+
+
+def only(matrix, customer_id):
+    (row,) = matrix[customer_id]
+    return row
+
+
+def test_late_return_counts_as_completed(matrix):
+    known = only(matrix, shops.RETURNED_DAY_BEFORE)
+    assert (known.min_order_value, known.automotive_items_returned) == (7.5, 2)
+    on_cut = only(matrix, shops.RETURNED_ON_CUT)
+    assert (on_cut.succ_orders_count, on_cut.min_order_value) == (1, 0.0)
+    assert on_cut.automotive_items_returned is None
+    after = only(matrix, shops.RETURNED_DAY_AFTER)
+    assert (after.succ_orders_count, after.min_order_value) == (1, 27.5)
+
+
+def test_period_boundaries(matrix):
+    row = only(matrix, shops.WINDOW_ENDS)
+    assert (row.succ_orders_count, row.succ_orders_count_90d) == (1, 2)
+    assert row.shopping_frequency is None
+    assert row.shopping_frequency_90d == 1 / 89
+
+
+def test_latest_order_without_lines_hides_the_others(matrix):
+    row = only(matrix, shops.LATEST_EMPTY)
+    assert row.last_suc_order_interval is None
+    assert row.last3_succ_orders_items == 1
+
+
+def test_full_and_partial_return(matrix):
+    row = only(matrix, shops.FULL_AND_PART_RETURN)
+    assert (row.days_from_last_return, row.last_return_total, row.last_returned_items) == (380, 27.5, 3)
+    assert (row.last_suc_order_interval, row.last_succ_kept_order_total) == (300, 7.5)
+    assert (row.last3_return_cancel_order_total, row.last3_kept_total) == (47.5, 7.5)
+
+
+def test_plain_days(spark):
+    result = feature_matrix(edge_rows().to_shop(spark), CUT, per_line_days=False)
+    (row,) = result.where(f"customer_id = {shops.FULL_AND_PART_RETURN}").collect()
+    assert (row.days_from_last_return, row.last_suc_order_interval) == (190, 150)
+
+
+def test_frequency_of_one_order(matrix):
+    assert only(matrix, shops.ONE_LINE).shopping_frequency is None
+    assert only(matrix, shops.ONE_ORDER_THREE_LINES).shopping_frequency is None
+
+
+def test_only_cancelled(matrix):
+    row = only(matrix, shops.ONLY_CANCELLED)
+    assert row.return_cancel_orders_count is None
+    assert (row.days_from_last_cancel, row.last_cancel_items, row.last_cancel_total) == (400, 4, 16.01)
+    assert row.discounted_items_total is None
+
+
+def test_sessions(matrix):
+    rows = matrix[shops.TWO_LAST_SESSIONS]
+    assert Counter(row.last_session_pages_viewed for row in rows) == Counter([4, 9])
+    assert {row.total_180days_sessions for row in rows} == {3}
+    assert {row.avg_session_interval for row in rows} == {1.5}
+    ends = only(matrix, shops.SESSION_WINDOW_ENDS)
+    assert (ends.total_180days_sessions, ends.days_from_last_session, ends.avg_session_interval) == (1, 180, 1.0)
+
+
+def test_one_row_per_customer(spark, matrix):
+    result = feature_matrix(edge_rows().to_shop(spark), CUT, one_row_per_customer=True)
+    counts = Counter(row.customer_id for row in result.select("customer_id").collect())
+    assert set(counts) == set(matrix) and set(counts.values()) == {1}
+    (row,) = result.where(f"customer_id = {shops.TWO_LAST_SESSIONS}").collect()
+    assert row.last_session_pages_viewed == 9
+
+
+def test_every_session_of_the_last_day_is_a_row(matrix):
+    expected = Counter()
+    sessions = [s for s in edge_rows().tables["sessions"] if s[1] == shops.HOT and s[2] < CUT]
+    newest = max(s[2] for s in sessions)
+    for session in sessions:
+        if session[2] == newest:
+            expected[session[4]] += 1
+    assert Counter(row.last_session_pages_viewed for row in matrix[shops.HOT]) == expected
+
+
+def test_no_activity(matrix):
+    row = only(matrix, shops.NOTHING).asDict()
+    filled = {name for name, value in row.items() if value is not None}
+    assert filled == {"customer_id", "account_age_days", "birth_date", "gender", "city", "country"}
+
+
+def test_customers_of_the_matrix(matrix):
+    assert shops.REGISTERED_ON_CUT not in matrix and shops.NOT_A_CUSTOMER not in matrix
+
+
+def test_labels(labels):
+    assert labels[shops.LABEL_30] == "ACTIVE"
+    assert labels[shops.LABEL_60_PAGES_2] == "AT-RISK"
+    assert labels[shops.LABEL_60_PAGES_3] == "ACTIVE"
+    assert labels[shops.LABEL_LARGE] == "ACTIVE"
+    assert labels[shops.LABEL_CHURNED] == "CHURNED"
+    assert labels[shops.LABEL_RHYTHM] == "ACTIVE"
+    assert labels[shops.NOTHING] == "AT-RISK"
+    assert set(labels) == set(range(1, 24)) - {shops.REGISTERED_ON_CUT, shops.NOT_A_CUSTOMER}
+
+
+def test_category_columns_add_up_to_kept_items(spark):
+    shop = random_rows(3).to_shop(spark)
+    names = [f"{c.lower()}_items" for c in CATEGORIES]
+    items = " + ".join(names)
+    result = feature_matrix(shop, CUT, one_row_per_customer=True)
+    got = {r.customer_id: r.n for r in result.selectExpr("customer_id", f"{items} AS n").collect()}
+    known = shop.order_items.where("product_id < 10")
+    facts = as_of(order_facts(shop.orders, known), CUT).where("status <> 'Cancelled' AND n_lines > 0")
+    want = {r.customer_id: r.n for r in facts.groupBy("customer_id").agg({"kept_qty": "sum"}).toDF("customer_id", "n").collect()}
+    customers = {r.customer_id for r in result.select("customer_id").collect()}
+    for customer_id in customers:
+        if customer_id in want:
+            assert got[customer_id] == want[customer_id]
+
+
+def test_last_three_orders_add_up(spark):
+    result = feature_matrix(random_rows(4).to_shop(spark), CUT, one_row_per_customer=True)
+    checked = result.where(
+        "last3_kept_items + last3_cancels_returns_items < last_succ_order_items"
+        " AND last3_succ_orders_items IS NOT NULL AND last_succ_order_items < 0"
+    )
+    assert checked.count() == 0
+    negative = result.where("last3_kept_total < 0 OR last3_return_cancel_order_total < 0")
+    assert negative.count() == 0
+
+
+def test_nothing_from_the_cut_on_leaks_into_the_features(spark):
+    rows = random_rows(5)
+    columns = feature_columns()
+    base = Counter(map(tuple, feature_matrix(rows.to_shop(spark), CUT).select(*columns).collect()))
+
+    later = rows.copy()
+    later.tables["orders"] = [
+        (o, c, day, "Cancelled" if when and when > CUT else status, before(LAST, -400) if when and when > CUT else when)
+        for o, c, day, status, when in later.tables["orders"]
+    ]
+    late = {o[0] for o in later.tables["orders"] if o[4] and o[4] > CUT}
+    later.tables["order_items"] = [
+        (*item[:5], 1 - item[5] if item[1] in late else item[5]) for item in later.tables["order_items"]
+    ]
+    for customer_id in (1, shops.NOTHING, 105):
+        later.order(customer_id, CUT, lines=[(5, "99.00", 0)], order_id=50_000 + customer_id)
+        later.order(customer_id, LAST, "Cancelled", lines=[(5, "99.00", 0)], order_id=60_000 + customer_id)
+        later.session(customer_id, CUT, pages=30)
+        later.session(customer_id, LAST, pages=30)
+    changed = Counter(map(tuple, feature_matrix(later.to_shop(spark), CUT).select(*columns).collect()))
+    assert changed == base
+
+
+def test_kept_facts_serve_several_dates(spark, tmp_path):
+    shop = random_rows(6).to_shop(spark)
+    path = str(tmp_path / "facts")
+    order_facts(shop.orders, shop.order_items).write.parquet(path)
+    kept = spark.read.parquet(path)
+    for cut in (CUT, date(2000, 9, 1)):
+        direct = Counter(map(tuple, feature_matrix(shop, cut).collect()))
+        assert Counter(map(tuple, feature_matrix(shop, cut, facts=kept).collect())) == direct
+    direct = Counter(map(tuple, engagement_target(shop, CUT, LAST).collect()))
+    assert Counter(map(tuple, engagement_target(shop, CUT, LAST, facts=kept).collect())) == direct
+
+
+def test_amounts_are_exact(spark):
+    rows = edge_rows()
+    rows.order(shops.NOTHING, before(CUT, 200), lines=[(1, "0.10", 0)] * 3 + [(1, "0.29", 0)])
+    result = feature_matrix(rows.to_shop(spark), CUT).where(f"customer_id = {shops.NOTHING}")
+    assert result.first().min_order_value == float(Decimal("0.59"))

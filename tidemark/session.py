@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     # A shuffled join whose build partitions all measure below this needs no sort.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * 1024 * 1024),
+    # The matrix has more generated stages than the default code cache holds.
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 

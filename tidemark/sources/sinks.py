@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,8 +21,9 @@ def append_table(df: DataFrame, path: str) -> Outcome:
     """Append to the Parquet table at ``path``; errors are reported, not raised."""
     try:
         df.write.mode("append").parquet(path)
-    except PySparkException as error:
-        return Outcome(False, f"Error at {path}: {error}")
+    except Exception as error:  # whatever the storage or the query raises
+        reason = str(error).splitlines()[0]
+        return Outcome(False, f"Error at {path}: {reason}")
     return Outcome(True, f"Appended to {path}")
 
 
