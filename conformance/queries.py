@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from tidemark import Shop, engagement_target, feature_matrix
+from tidemark.functions.counted import expand_rows
 from tidemark.operators import asof, browsing, categories, engagement, purchases, recent
 from tidemark.operators.facts import as_of, order_facts
 from tidemark.operators.purchases import HISTORY, RECENT
@@ -31,42 +32,43 @@ def _doubles(df: DataFrame) -> DataFrame:
 
 
 # --- inputs of the operators -------------------------------------------------
+#
+# Signals are aggregated for all customers and only then restricted to the
+# registered ones (``_mine``): a join by customer before the aggregation would
+# bring all rows of one customer into one task.
 
 
 def _buyers(shop, cut):
     return asof.customers_before(shop.customers, cut)
 
 
-def _placed(shop, cut):
-    return asof.of_customers(asof.orders_before(shop.orders, cut), _buyers(shop, cut))
+def _mine(rows, shop, cut):
+    return asof.of_customers(rows, _buyers(shop, cut))
 
 
-def _visits(shop, cut):
-    return asof.of_customers(asof.sessions_before(shop.sessions, cut), _buyers(shop, cut))
+def _placed(shop, cut):
+    return _mine(asof.orders_before(shop.orders, cut), shop, cut)
 
 
 def _headers(shop, cut):
-    return asof.order_level(_placed(shop, cut), cut)
-
-
-def _facts(shop, cut):
-    return as_of(order_facts(_placed(shop, cut), shop.order_items), cut)
+    return asof.order_level(asof.orders_before(shop.orders, cut), cut)
 
 
-def _by_category(shop, cut):
-    return categories.by_category(_placed(shop, cut), shop.order_items, shop.products, cut)
+def _visits(shop, cut):
+    return asof.sessions_before(shop.sessions, cut)
 
 
-def _all_orders(shop, cut):
-    return asof.of_customers(shop.orders, _buyers(shop, cut))
+def _raw_facts(shop):
+    return order_facts(shop.orders, shop.order_items)
 
 
-def _raw_facts(shop, cut):
-    return order_facts(_all_orders(shop, cut), shop.order_items)
+def _facts(shop, cut):
+    return as_of(_raw_facts(shop), cut)
 
 
-def _all_visits(shop, cut):
-    return asof.of_customers(shop.sessions, _buyers(shop, cut))
+def _by_category(shop, cut):
+    orders = asof.orders_before(shop.orders, cut)
+    return categories.by_category(orders, shop.order_items, shop.products, cut)
 
 
 # --- sources and sinks --------------------------------------------------------
@@ -113,117 +115,147 @@ def target_sink(spark, shop, cut, last):
     return files.read_csv(spark, path, labels.schema)
 
 
-def _period_queries() -> dict[str, ShopQuery]:
-    queries = {}
-    for period, lines in ((HISTORY, "f_succ_orders_hist"), (RECENT, "f_succ_orders_90d")):
-        operators = {
-            lines: purchases.successful_line_rows,
-            f"f_intervals{period}": purchases.line_intervals,
-            f"f_order_frequency{period}": purchases.order_frequency,
-            f"f_order_values{period}": purchases.order_values,
-            f"f_succ_order_values{period}": purchases.successful_order_values,
-            f"f_return_cancel{period}": purchases.returns_and_cancels,
-        }
-        for name, operator in operators.items():
-            queries[name] = lambda s, shop, cut, last, op=operator, p=period: op(_facts(shop, cut), cut, p)
-    return queries
+# --- operators ----------------------------------------------------------------
+
+
+def _on_facts(operator, *arguments) -> ShopQuery:
+    """An operator on order facts as of the cut."""
+    return lambda s, shop, cut, last: _mine(operator(_facts(shop, cut), *arguments), shop, cut)
+
+
+def _on_facts_at(operator, *arguments) -> ShopQuery:
+    return lambda s, shop, cut, last: _mine(operator(_facts(shop, cut), cut, *arguments), shop, cut)
+
+
+def _on_visits(operator) -> ShopQuery:
+    return lambda s, shop, cut, last: _mine(operator(_visits(shop, cut), cut), shop, cut)
+
+
+def _on_categories(operator) -> ShopQuery:
+    return lambda s, shop, cut, last: _mine(operator(_by_category(shop, cut)), shop, cut)
+
+
+def _on_raw_facts(operator) -> ShopQuery:
+    return lambda s, shop, cut, last: _mine(operator(_raw_facts(shop)), shop, cut)
+
+
+def _on_raw_facts_at(operator, *arguments) -> ShopQuery:
+    return lambda s, shop, cut, last: _mine(operator(_raw_facts(shop), last, *arguments), shop, cut)
+
+
+def _on_sessions(operator) -> ShopQuery:
+    return lambda s, shop, cut, last: _mine(operator(shop.sessions), shop, cut)
+
+
+def _on_sessions_at(operator) -> ShopQuery:
+    return lambda s, shop, cut, last: _mine(operator(shop.sessions, last), shop, cut)
+
+
+def _expanded(counted: ShopQuery, count: str = "n") -> ShopQuery:
+    """Counted rows of the registered customers, one row each."""
+    return lambda s, shop, cut, last: expand_rows(counted(s, shop, cut, last), count)
+
+
+_ORDER_GAPS = _on_raw_facts(engagement.order_gaps)
+_VISIT_GAPS = _on_sessions(engagement.session_gaps)
+
+
+def _known(gaps: ShopQuery) -> ShopQuery:
+    return _expanded(lambda *args: engagement.known_gaps(gaps(*args)))
+
+
+def _ranked(gaps: ShopQuery) -> ShopQuery:
+    return lambda *args: engagement.ranked_intervals(gaps(*args))
+
+
+def _period_queries(period: str, lines: str) -> dict[str, ShopQuery]:
+    return {
+        lines: _expanded(_on_facts_at(purchases.successful_lines, period), "n_lines"),
+        f"f_intervals{period}": _expanded(_on_facts_at(purchases.line_gaps, period)),
+        f"f_order_frequency{period}": _on_facts_at(purchases.order_frequency, period),
+        f"f_order_values{period}": _on_facts_at(purchases.order_values, period),
+        f"f_succ_order_values{period}": _on_facts_at(purchases.successful_order_values, period),
+        f"f_return_cancel{period}": _on_facts_at(purchases.returns_and_cancels, period),
+    }
 
 
 SHOP_QUERIES: dict[str, ShopQuery] = {
     # as-of views
     "f_customers_filtered": lambda s, shop, cut, last: _buyers(shop, cut),
     "f_orders_filtered": lambda s, shop, cut, last: _placed(shop, cut),
-    "f_sessions_filtered": lambda s, shop, cut, last: _visits(shop, cut),
-    "f_order_level": lambda s, shop, cut, last: _headers(shop, cut),
+    "f_sessions_filtered": lambda s, shop, cut, last: _mine(_visits(shop, cut), shop, cut),
+    "f_order_level": lambda s, shop, cut, last: _mine(_headers(shop, cut), shop, cut),
     "f_item_level": lambda s, shop, cut, last: _doubles(
         asof.item_level(_placed(shop, cut), shop.order_items, cut)
     ),
     # purchase history and last 90 days
-    **_period_queries(),
+    **_period_queries(HISTORY, "f_succ_orders_hist"),
+    **_period_queries(RECENT, "f_succ_orders_90d"),
     "f_account_age": lambda s, shop, cut, last: purchases.account_age(_buyers(shop, cut), cut),
     # last events
-    "f_last_successful_order": lambda s, shop, cut, last: recent.last_successful_order(_facts(shop, cut), cut),
-    "f_last_successful_stats": lambda s, shop, cut, last: recent.last_successful_stats(_facts(shop, cut), cut),
-    "f_full_return_orders": lambda s, shop, cut, last: recent.full_return_orders(_facts(shop, cut)),
-    "f_last_return_date": lambda s, shop, cut, last: recent.last_return_date(_facts(shop, cut)),
-    "f_last_return_order": lambda s, shop, cut, last: recent.last_return_order(_facts(shop, cut), cut),
-    "f_last_return_stats": lambda s, shop, cut, last: recent.last_return_stats(_facts(shop, cut), cut),
-    "f_last_cancel_order": lambda s, shop, cut, last: recent.last_cancel_order(_headers(shop, cut), cut),
-    "f_last_cancel_stats": lambda s, shop, cut, last: recent.last_cancel_stats(_facts(shop, cut), cut),
+    "f_last_successful_order": _on_facts_at(recent.last_successful_order),
+    "f_last_successful_stats": _on_facts_at(recent.last_successful_stats),
+    "f_full_return_orders": _on_facts(recent.full_return_orders),
+    "f_last_return_date": _on_facts(recent.last_return_date),
+    "f_last_return_order": _on_facts_at(recent.last_return_order),
+    "f_last_return_stats": _on_facts_at(recent.last_return_stats),
+    "f_last_cancel_order": lambda s, shop, cut, last: _mine(
+        recent.last_cancel_order(_headers(shop, cut), cut), shop, cut
+    ),
+    "f_last_cancel_stats": _on_facts_at(recent.last_cancel_stats),
     # last three orders
-    "f_last3_orders": lambda s, shop, cut, last: recent.last_orders(_headers(shop, cut)),
-    "f_last3_succ_orders": lambda s, shop, cut, last: recent.last_successful_orders(_facts(shop, cut)),
-    "f_last3_succ_help": lambda s, shop, cut, last: recent.last_successful_details(_facts(shop, cut)),
-    "f_last3_succ_stats": lambda s, shop, cut, last: recent.last_successful_summary(_facts(shop, cut)),
-    "f_last3_orders_help": lambda s, shop, cut, last: recent.last_orders_losses(_facts(shop, cut)),
-    "f_last3_orders_stats": lambda s, shop, cut, last: recent.last_orders_summary(_facts(shop, cut)),
+    "f_last3_orders": lambda s, shop, cut, last: _mine(recent.last_orders(_headers(shop, cut)), shop, cut),
+    "f_last3_succ_orders": _on_facts(recent.last_successful_orders),
+    "f_last3_succ_help": _on_facts(recent.last_successful_details),
+    "f_last3_succ_stats": _on_facts(recent.last_successful_summary),
+    "f_last3_orders_help": _on_facts(recent.last_orders_losses),
+    "f_last3_orders_stats": _on_facts(recent.last_orders_summary),
     # categories
-    "f_category_counts": lambda s, shop, cut, last: categories.category_counts(_by_category(shop, cut)),
-    "f_category_returns": lambda s, shop, cut, last: categories.category_returns(_by_category(shop, cut)),
-    "f_discount_stats": lambda s, shop, cut, last: categories.discount_stats(_by_category(shop, cut)),
+    "f_category_counts": _on_categories(categories.category_counts),
+    "f_category_returns": _on_categories(categories.category_returns),
+    "f_discount_stats": _on_categories(categories.discount_stats),
     # sessions
-    "f_last_session": lambda s, shop, cut, last: browsing.last_session(_visits(shop, cut), cut),
-    "f_last_session_stats": lambda s, shop, cut, last: browsing.last_session_stats(_visits(shop, cut), cut),
-    "f_successful_orders_180": lambda s, shop, cut, last: purchases.successful_orders_in(
-        _facts(shop, cut), cut, purchases.ACTIVE_DAYS, "successful_orders_180"
+    "f_last_session": _on_visits(browsing.last_session),
+    "f_last_session_stats": _expanded(_on_visits(browsing.last_day_sessions)),
+    "f_successful_orders_180": _on_facts_at(
+        purchases.successful_orders_in, purchases.ACTIVE_DAYS, "successful_orders_180"
     ),
-    "f_sessions_180_stats": lambda s, shop, cut, last: browsing.sessions_180_stats(_visits(shop, cut), cut),
-    "f_sessions_orders_ratio": lambda s, shop, cut, last: browsing.sessions_orders_ratio(
-        _visits(shop, cut), _facts(shop, cut), cut
+    "f_sessions_180_stats": _on_visits(browsing.sessions_180_stats),
+    "f_sessions_orders_ratio": lambda s, shop, cut, last: _mine(
+        browsing.sessions_orders_ratio(_visits(shop, cut), _facts(shop, cut), cut), shop, cut
     ),
-    "f_recent_sessions_90": lambda s, shop, cut, last: browsing.recent_sessions(_visits(shop, cut), cut),
-    "f_session_intervals": lambda s, shop, cut, last: browsing.session_intervals(_visits(shop, cut), cut),
+    "f_recent_sessions_90": _on_visits(browsing.recent_sessions),
+    "f_session_intervals": _on_visits(browsing.session_intervals),
     "feature_matrix": lambda s, shop, cut, last: feature_matrix(shop, cut),
     # label
     "t_customers_filtered": lambda s, shop, cut, last: _buyers(shop, cut),
-    "t_orders_filtered": lambda s, shop, cut, last: _all_orders(shop, cut),
+    "t_orders_filtered": lambda s, shop, cut, last: _mine(shop.orders, shop, cut),
     "t_items_filtered": lambda s, shop, cut, last: _doubles(
-        asof.items_of(shop.order_items, _all_orders(shop, cut))
-    ),
-    "t_sessions_filtered": lambda s, shop, cut, last: _all_visits(shop, cut),
-    "t_successful_orders": lambda s, shop, cut, last: engagement.successful_orders(_raw_facts(shop, cut)),
-    **{
-        f"t_successful_orders_{days}": lambda s, shop, cut, last, days=days: engagement.successful_orders_last(
-            _raw_facts(shop, cut), last, days
-        )
-        for days in (engagement.SHORT_DAYS, engagement.MIDDLE_DAYS, engagement.LONG_DAYS)
-    },
-    "t_orders_30_60": lambda s, shop, cut, last: engagement.orders_30_60(_raw_facts(shop, cut), last),
-    "t_sum_orders_30_60": lambda s, shop, cut, last: engagement.sum_orders_30_60(_raw_facts(shop, cut), last),
-    "t_last_successful_order": lambda s, shop, cut, last: engagement.last_successful_order(_raw_facts(shop, cut)),
-    "t_last_order_total": lambda s, shop, cut, last: engagement.last_successful_total(_raw_facts(shop, cut)),
-    "t_orders_excl_last": lambda s, shop, cut, last: engagement.orders_excluding_last(_raw_facts(shop, cut)),
-    "t_avg_value_excl_last": lambda s, shop, cut, last: engagement.average_excluding_last(
-        _raw_facts(shop, cut), last
-    ),
-    "t_order_intervals": lambda s, shop, cut, last: engagement.interval_rows(
-        engagement.order_gaps(_raw_facts(shop, cut))
-    ),
-    "t_clean_intervals": lambda s, shop, cut, last: engagement.known_intervals(
-        engagement.order_gaps(_raw_facts(shop, cut))
-    ),
-    "t_ranked_intervals": lambda s, shop, cut, last: engagement.ranked_intervals(
-        engagement.order_gaps(_raw_facts(shop, cut))
-    ),
-    "t_median_interval": lambda s, shop, cut, last: engagement.median_order_interval(_raw_facts(shop, cut), last),
-    "t_session_intervals": lambda s, shop, cut, last: engagement.interval_rows(
-        engagement.session_gaps(_all_visits(shop, cut))
-    ),
-    "t_clean_session_intervals": lambda s, shop, cut, last: engagement.known_intervals(
-        engagement.session_gaps(_all_visits(shop, cut))
-    ),
-    "t_ranked_session_intervals": lambda s, shop, cut, last: engagement.ranked_intervals(
-        engagement.session_gaps(_all_visits(shop, cut))
-    ),
-    "t_median_session_interval": lambda s, shop, cut, last: engagement.median_session_interval(
-        _all_visits(shop, cut), last
-    ),
-    "t_pages_last_60": lambda s, shop, cut, last: engagement.pages_last_60(_all_visits(shop, cut), last),
-    "t_last_session": lambda s, shop, cut, last: engagement.last_session(_all_visits(shop, cut)),
-    "t_days_since_session": lambda s, shop, cut, last: engagement.days_since_session(_all_visits(shop, cut), last),
-    "t_days_since_successful": lambda s, shop, cut, last: engagement.days_since_successful(
-        _raw_facts(shop, cut), last
+        asof.items_of(shop.order_items, _mine(shop.orders, shop, cut))
     ),
+    "t_sessions_filtered": lambda s, shop, cut, last: _mine(shop.sessions, shop, cut),
+    "t_successful_orders": _on_raw_facts(engagement.successful_orders),
+    "t_successful_orders_30": _on_raw_facts_at(engagement.successful_orders_last, engagement.SHORT_DAYS),
+    "t_successful_orders_60": _on_raw_facts_at(engagement.successful_orders_last, engagement.MIDDLE_DAYS),
+    "t_successful_orders_120": _on_raw_facts_at(engagement.successful_orders_last, engagement.LONG_DAYS),
+    "t_orders_30_60": _on_raw_facts_at(engagement.orders_30_60),
+    "t_sum_orders_30_60": _on_raw_facts_at(engagement.sum_orders_30_60),
+    "t_last_successful_order": _on_raw_facts(engagement.last_successful_order),
+    "t_last_order_total": _on_raw_facts(engagement.last_successful_total),
+    "t_orders_excl_last": _on_raw_facts(engagement.orders_excluding_last),
+    "t_avg_value_excl_last": _on_raw_facts_at(engagement.average_excluding_last),
+    "t_order_intervals": _expanded(_ORDER_GAPS),
+    "t_clean_intervals": _known(_ORDER_GAPS),
+    "t_ranked_intervals": _ranked(_ORDER_GAPS),
+    "t_median_interval": _on_raw_facts_at(engagement.median_order_interval),
+    "t_session_intervals": _expanded(_VISIT_GAPS),
+    "t_clean_session_intervals": _known(_VISIT_GAPS),
+    "t_ranked_session_intervals": _ranked(_VISIT_GAPS),
+    "t_median_session_interval": _on_sessions_at(engagement.median_session_interval),
+    "t_pages_last_60": _on_sessions_at(engagement.pages_last_60),
+    "t_last_session": _on_sessions(engagement.last_session),
+    "t_days_since_session": _on_sessions_at(engagement.days_since_session),
+    "t_days_since_successful": _on_raw_facts_at(engagement.days_since_successful),
     "target": lambda s, shop, cut, last: engagement_target(shop, cut, last),
     # sources and sinks
     "s_csv_roundtrip": csv_roundtrip,

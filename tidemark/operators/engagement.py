@@ -164,24 +164,16 @@ def session_gaps(sessions: DataFrame) -> DataFrame:
     return gap_counts(day_counts(sessions, "customer_id", "session_date"), "customer_id", "session_date")
 
 
-def interval_rows(gaps: DataFrame) -> DataFrame:
-    """One row per interval; NULL for the first of a customer."""
-    return expand_rows(gaps, "n")
-
-
-def known_intervals(gaps: DataFrame) -> DataFrame:
-    return interval_rows(gaps.where("interval_days IS NOT NULL"))
+def known_gaps(gaps: DataFrame) -> DataFrame:
+    """Counted gaps without the NULL of each customer's first row."""
+    return gaps.where("interval_days IS NOT NULL")
 
 
 def ranked_intervals(gaps: DataFrame) -> DataFrame:
-    """One row per interval with its position and the customer's number of them."""
-    known = gaps.where("interval_days IS NOT NULL")
-    counts = known.groupBy("customer_id", "interval_days").agg(F.sum("n").alias("n"))
-    ranked = rank_counts(counts, "customer_id", "interval_days")
-    rows = expand_rows(ranked, "n", index="_copy_no")
-    return rows.select(
-        "customer_id", "interval_days", (F.col("before") + F.col("_copy_no")).alias("rn"), "cnt"
-    )
+    """One row per known interval with its position and the customer's number of them."""
+    counts = aggregate(known_gaps(gaps), ["customer_id", "interval_days"], {"n": "sum(n)"})
+    rows = expand_rows(rank_counts(counts, "customer_id", "interval_days"), "n", index="copy")
+    return rows.selectExpr("customer_id", "interval_days", "before + copy AS rn", "cnt")
 
 
 def median_order_interval(facts: DataFrame, last: date) -> DataFrame:

@@ -21,7 +21,7 @@ from tidemark.functions.columns import (
     sum_if,
     within_last,
 )
-from tidemark.functions.counted import day_counts, expand_rows, gap_counts
+from tidemark.functions.counted import day_counts, gap_counts
 
 RECENT_DAYS = 90
 ACTIVE_DAYS = 180
@@ -38,21 +38,16 @@ def in_period(cut: date, period: str, recent_days: int = RECENT_DAYS) -> str:
 def successful_lines(
     facts: DataFrame, cut: date, period: str, recent_days: int = RECENT_DAYS
 ) -> DataFrame:
-    """Successful orders of the period, counted once per line (``n_lines``)."""
+    """Successful orders of the period, as rows counted once per line (``n_lines``)."""
     rows = facts.where(f"is_successful AND n_lines > 0 AND {in_period(cut, period, recent_days)}")
     return rows.select("order_id", "customer_id", "order_date", "n_lines")
 
 
-def successful_line_rows(facts, cut, period, recent_days=RECENT_DAYS) -> DataFrame:
-    """``successful_lines`` as one row per line."""
-    return expand_rows(successful_lines(facts, cut, period, recent_days), "n_lines")
-
-
-def line_intervals(facts, cut, period, recent_days=RECENT_DAYS) -> DataFrame:
-    """Days from each successful line to the customer's previous one."""
+def line_gaps(facts: DataFrame, cut: date, period: str, recent_days: int = RECENT_DAYS) -> DataFrame:
+    """Days from each successful line to the customer's previous one, as counted rows."""
     lines = successful_lines(facts, cut, period, recent_days)
     days = day_counts(lines, "customer_id", "order_date", "n_lines")
-    return expand_rows(gap_counts(days, "customer_id", "order_date"), "n")
+    return gap_counts(days, "customer_id", "order_date")
 
 
 def flags(cut: date, recent_days: int = RECENT_DAYS, active_days: int = ACTIVE_DAYS) -> dict[str, str]:

@@ -6,10 +6,12 @@ from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
-    # Runtime re-planning: partition coalescing, skewed joins split by size.
+    # Runtime re-planning: partition coalescing; skewed joins are split by size,
+    # also where the next step then needs a shuffle of its own.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Only a side Spark itself has sized below this is broadcast (products);
     # larger ones go through a shuffled join.
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
