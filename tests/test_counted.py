@@ -17,10 +17,10 @@ from tidemark.functions.counted import (
 )
 
 
-@pytest.mark.parametrize("block", [1, 3, 100])
-def test_expand_rows(spark, block):
+@pytest.mark.parametrize("parts", [(1,), (4, 2), (6, 4), (100, 10)])
+def test_expand_rows(spark, parts):
     df = spark.createDataFrame([("a", 7), ("b", 1), ("c", 0), ("d", 3)], "k string, n bigint")
-    rows = expand_rows(df, "n", index="i", block=block).collect()
+    rows = expand_rows(df, "n", index="i", parts=parts).collect()
     expected = [(k, i) for k, n in (("a", 7), ("b", 1), ("d", 3)) for i in range(1, n + 1)]
     assert sorted((r.k, r.i) for r in rows) == sorted(expected)
 

@@ -8,32 +8,33 @@ rows the customer has. ``expand_rows`` turns counts back into rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 100_000
+# A count is split into parts of these sizes, the smallest being what one row
+# is expanded to after the shuffle.
+PARTS = (1_000_000, 1_000)
 
 
 def expand_rows(
-    df: DataFrame, count: str, index: str | None = None, block: int = BLOCK
+    df: DataFrame, count: str, index: str | None = None, parts: Sequence[int] = PARTS
 ) -> DataFrame:
     """Repeat each row ``count`` times; ``index`` names a 1-based copy number.
 
-    A large count is cut into blocks which are spread over the cluster before
+    A large count is cut into parts, which are spread over the cluster before
     the copies are made, so neither one task nor one array holds all of them.
     """
-    n = F.col(count)
-    blocks = (
-        df.where(n > 0)
-        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / block))))
-        .hint("rebalance")
-    )
-    start = F.col("_block") * block
-    copies = F.sequence(start + 1, F.least(n, start + block))
-    rows = blocks.withColumn("_copy", F.explode(copies))
-    if index is not None:
-        rows = rows.withColumn(index, F.col("_copy"))
-    return rows.drop("_block", "_copy", count)
+    first, stop = "0L", count
+    rows, helpers = df.where(f"{count} > 0"), [count]
+    for size in parts:
+        helpers += [f"_first_{size}", f"_stop_{size}"]
+        rows = rows.selectExpr("*", f"explode(sequence({first}, {stop} - 1, {size}L)) AS _first_{size}")
+        rows = rows.selectExpr("*", f"least({stop}, _first_{size} + {size}) AS _stop_{size}")
+        first, stop = f"_first_{size}", f"_stop_{size}"
+    copies = f"explode(sequence({first} + 1, {stop})) AS {index or '_copy'}"
+    return rows.hint("rebalance").selectExpr("*", copies).drop(*helpers, "_copy")
 
 
 def day_counts(df: DataFrame, key: str, day: str, count: str = "1") -> DataFrame:
