@@ -20,17 +20,17 @@ from conformance.queries import star_queries  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
 HEADLINE = [
-    "feature_matrix",
-    "target",
+    "f_session_intervals",
+    "f_last_session_stats",
     "f_succ_order_values",
     "f_intervals",
     "f_last3_orders_stats",
     "f_category_counts",
-    "f_session_intervals",
-    "f_last_session_stats",
     "t_avg_value_excl_last",
     "t_median_interval",
     "t_ranked_session_intervals",
+    "target",
+    "feature_matrix",
 ]
 RUNS = 4
 

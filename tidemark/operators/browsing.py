@@ -52,15 +52,18 @@ def profile(
     return add_columns(totals, {"avg_session_interval": ratio("all_days", "all_sessions - 1")})
 
 
+def _profile_of_last(sessions: DataFrame, cut: date, days: int) -> DataFrame:
+    """``profile`` over the sessions of the last ``days`` days only."""
+    return profile(sessions.where(within_last("session_date", cut, days)), cut)
+
+
 def last_session(sessions: DataFrame, cut: date) -> DataFrame:
     """Date of the last session in the last 180 days."""
-    rows = profile(sessions, cut).where("session_date IS NOT NULL")
-    return rows.select("customer_id", "session_date")
+    return _profile_of_last(sessions, cut, ACTIVE_DAYS).select("customer_id", "session_date")
 
 
 def sessions_180_stats(sessions: DataFrame, cut: date) -> DataFrame:
-    rows = profile(sessions, cut).where("total_180days_sessions IS NOT NULL")
-    return rows.select(
+    return _profile_of_last(sessions, cut, ACTIVE_DAYS).select(
         "customer_id",
         "total_180days_sessions",
         "avg_pages_viewed_180",
@@ -71,8 +74,9 @@ def sessions_180_stats(sessions: DataFrame, cut: date) -> DataFrame:
 
 
 def recent_sessions(sessions: DataFrame, cut: date) -> DataFrame:
-    rows = profile(sessions, cut).where("sessions_90d IS NOT NULL")
-    return rows.select("customer_id", "sessions_90d", "avg_pages_90d")
+    return _profile_of_last(sessions, cut, RECENT_DAYS).select(
+        "customer_id", "sessions_90d", "avg_pages_90d"
+    )
 
 
 def session_intervals(sessions: DataFrame, cut: date) -> DataFrame:

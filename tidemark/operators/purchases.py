@@ -107,7 +107,9 @@ def profile(facts: DataFrame, cut: date, recent_days: int = RECENT_DAYS) -> Data
 
 
 def _present(facts, cut, period, recent_days, marker, names) -> DataFrame:
-    rows = profile(facts, cut, recent_days).where(f"{marker}{period} IS NOT NULL")
+    """Columns of one period, from its orders only; ``marker`` tells who has a row."""
+    placed = facts.where(in_period(cut, period, recent_days))
+    rows = profile(placed, cut, recent_days).where(f"{marker}{period} IS NOT NULL")
     return rows.select("customer_id", *[f"{name}{period}" for name in names])
 
 

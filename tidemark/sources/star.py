@@ -50,7 +50,9 @@ def read_star(spark: SparkSession, root: str) -> Shop:
         )
     )
 
+    # Whole cents as DECIMAL(14, 0) times 0.01 stay within 18 digits.
     cents = F.floor(F.expr("l_extendedprice * 100 * (1 - l_discount) / l_quantity"))
+    price = cents.cast("decimal(14,0)") * F.lit("0.01").cast("decimal(3,2)")
     sent_back = (F.col("status") == RETURNED) & F.col("l_returnflag").isin("R", "A")
     order_items = (
         scan("lineitem")
@@ -60,7 +62,7 @@ def read_star(spark: SparkSession, root: str) -> Shop:
             "order_id",
             F.col("l_partkey").alias("product_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
-            (cents.cast("decimal(18,2)") * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY).alias("price_at_purchase"),
+            price.cast(MONEY).alias("price_at_purchase"),
             F.when(sent_back, 1).otherwise(0).alias("returned"),
         )
     )
