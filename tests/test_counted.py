@@ -8,12 +8,11 @@ import pytest
 
 from tidemark.functions.columns import aggregate
 from tidemark.functions.counted import (
+    add_gap_median,
     day_counts,
     expand_rows,
     gap_counts,
-    gap_median,
     rank_counts,
-    with_gap_ranks,
 )
 
 
@@ -63,7 +62,7 @@ def test_gaps_ranks_and_medians(spark, seed):
         assert row.cnt == len(gaps[row.k])
         assert row.before == sum(1 for g in gaps[row.k] if g < row.gap)
 
-    medians = aggregate(with_gap_ranks(days, "k", "day"), "k", {"median": gap_median()})
-    for row in medians.collect():
+    sets = aggregate(days, "k", {"days": "collect_set(day)", "total": "sum(n)"})
+    for row in add_gap_median(sets, "days", "total", "median").collect():
         values = sorted(gaps[row.k])
         assert row.median == (values[(len(values) + 1) // 2 - 1] if values else None)

@@ -61,12 +61,18 @@ def test_top_k_is_cut_before_the_shuffle(spark, shop, shuffled):
     assert "Partial" in plan and plan.count("WindowGroupLimit") == 2
 
 
-def test_windows_of_the_label_read_days_not_rows(spark, shop, shuffled):
-    lines = plan_of(engagement_target(shop, CUT, LAST)).splitlines()
-    for i, line in enumerate(lines):
-        if "Window [lag" in line:
-            below = " ".join(lines[i + 1 : i + 5])
-            assert below.index("Exchange") < below.index("HashAggregate")
+def test_label_needs_no_window(spark, shop, shuffled):
+    plan = plan_of(engagement_target(shop, CUT, LAST))
+    assert "Window" not in plan
+    sessions = next(line for line in plan.splitlines() if "partial_collect_set" in line)
+    assert "partial_count" in sessions
+
+
+def test_windows_over_gaps_read_days_not_rows(spark, shop, shuffled):
+    lines = plan_of(SHOP_QUERIES["t_session_intervals"](spark, shop, CUT, LAST)).splitlines()
+    (at,) = [i for i, line in enumerate(lines) if "Window [lag" in line]
+    below = " ".join(lines[at + 1 : at + 5])
+    assert below.index("Exchange") < below.index("HashAggregate")
 
 
 def scan_of(spark, df, column) -> str:

@@ -1,9 +1,9 @@
 """Counted rows: relations that hold equal rows once, with a count.
 
 Ordering all rows of one customer in a window puts that customer into one
-task. The helpers here aggregate to (customer, day) first, which Spark does
-map-side, so that a window sees at most one row per calendar day however many
-rows the customer has. ``expand_rows`` turns counts back into rows.
+task. The helpers here reduce rows to distinct days first, which Spark does
+map-side, so that a window or an array has at most one entry per calendar day
+however many rows the customer has. ``expand_rows`` turns counts back into rows.
 """
 
 from __future__ import annotations
@@ -68,33 +68,26 @@ def rank_counts(counts: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def with_gap_ranks(days: DataFrame, key: str, day: str) -> DataFrame:
-    """Add to (key, day, n) what ``gap_median`` needs.
+def add_gap_median(df: DataFrame, days: str, rows: str, name: str) -> DataFrame:
+    """Add the lower median of the days between consecutive rows of a key.
 
-    ``gap``: days since the previous day. ``gap_rank``: its position among the
-    key's gaps, the first day's NULL having position 0. ``n_rows``, ``n_days``:
-    totals of the key. All windows share one partitioning by key.
+    ``days`` is an array of the key's distinct days, at most one per calendar
+    day; ``rows`` its number of rows. Rows sharing a day are 0 days apart;
+    those zeros sort before every gap between two days, so only their number
+    matters.
     """
-    per_key = Window.partitionBy(key)
-    gapped = (
-        days.withColumn("gap", F.datediff(day, F.lag(day).over(per_key.orderBy(day))))
-        .withColumn("n_rows", F.sum("n").over(per_key))
-        .withColumn("n_days", F.count(F.lit(1)).over(per_key))
+    gaps = "sort_array(transform(slice(_days, 2, size(_days) - 1), (day, i) -> datediff(day, _days[i])))"
+    zeros, middle = f"({rows} - size(_days))", f"({rows} div 2)"
+    return (
+        df.selectExpr("*", f"sort_array({days}) AS _days")
+        .selectExpr("*", f"{gaps} AS _gaps")
+        .selectExpr(
+            "*",
+            f"""CASE WHEN {rows} > 1 AND {middle} <= {zeros} THEN 0
+                     WHEN {rows} > 1 THEN _gaps[CAST({middle} - {zeros} - 1 AS INT)] END AS {name}""",
+        )
+        .drop("_days", "_gaps")
     )
-    by_gap = per_key.orderBy(F.col("gap").asc_nulls_first())
-    return gapped.withColumn("gap_rank", F.row_number().over(by_gap) - 1)
-
-
-def gap_median() -> str:
-    """Aggregate: lower median of the days between consecutive rows of a key.
-
-    Rows sharing a day are 0 days apart; those zeros sort before every gap
-    between two days, so only their number matters.
-    """
-    zeros = "(n_rows - n_days)"
-    return f"""
-        max(CASE WHEN n_rows > 1 AND n_rows div 2 <= {zeros} THEN 0
-                 WHEN gap_rank = n_rows div 2 - {zeros} THEN gap END)"""
 
 
 def top_rows(df: DataFrame, key: str | list[str], order: list[Column], k: int) -> DataFrame:

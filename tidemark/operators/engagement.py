@@ -22,13 +22,12 @@ from tidemark.functions.columns import (
     within_last,
 )
 from tidemark.functions.counted import (
+    add_gap_median,
     day_counts,
     expand_rows,
     gap_counts,
-    gap_median,
     rank_counts,
     top_rows,
-    with_gap_ranks,
 )
 from tidemark.operators.purchases import successful_orders_in
 
@@ -116,35 +115,32 @@ def order_days(facts: DataFrame) -> DataFrame:
 def order_profile(facts: DataFrame, last: date) -> DataFrame:
     """All order signals of the label, one row per customer with a successful order."""
     middle = within_last("order_date", last, MIDDLE_DAYS, SHORT_DAYS)
-    days = with_gap_ranks(order_days(facts), "customer_id", "order_date").selectExpr(
-        "*",
-        "order_date = max(order_date) OVER (PARTITION BY customer_id) AS is_last",
-        f"n_lined > 0 AND {middle} AS is_middle",
-    )
     counts = {
         f"successful_orders_{n}": sum_if(within_last("order_date", last, n), "n")
         for n in (SHORT_DAYS, MIDDLE_DAYS, LONG_DAYS)
     }
     totals = aggregate(
-        days,
+        order_days(facts),
         "customer_id",
         counts
         | {
-            "total_30_60": money(sum_if("is_middle", "kept_cents")),
-            "last_suc_order_total": money("max(CASE WHEN is_last THEN last_cents END)"),
+            "total_30_60": money(sum_if(f"n_lined > 0 AND {middle}", "kept_cents")),
+            "last_suc_order_total": money("max_by(last_cents, order_date)"),
             "last_suc_date": "max(order_date)",
-            "earlier_value": money(sum_if("NOT is_last", "kept_cents")),
-            "earlier_orders": sum_if("NOT is_last", "n_lined"),
-            "median_interval": gap_median(),
+            "earlier_value": money("sum(kept_cents) - max_by(kept_cents, order_date)"),
+            "earlier_orders": "sum(n_lined) - max_by(n_lined, order_date)",
+            "orders": "sum(n)",
+            "days": "collect_list(order_date)",
         },
     )
-    return add_columns(
+    signals = add_columns(
         totals,
         {
             "avg_order_value": ratio("earlier_value", "earlier_orders"),
             "days_since_last_successful_order": f"datediff({day_literal(last)}, last_suc_date)",
         },
     )
+    return add_gap_median(signals, "days", "orders", "median_interval").drop("days", "orders")
 
 
 def average_excluding_last(facts: DataFrame, last: date) -> DataFrame:
@@ -182,21 +178,25 @@ def median_order_interval(facts: DataFrame, last: date) -> DataFrame:
 
 
 def session_profile(sessions: DataFrame, last: date) -> DataFrame:
-    """All session signals of the label, one row per customer with a session."""
-    days = aggregate(
-        sessions, ["customer_id", "session_date"], {"n": "count(1)", "pages": "sum(pages_viewed)"}
-    )
+    """All session signals of the label, one row per customer with a session.
+
+    The set of days is built map-side, so one shuffle of sets suffices.
+    """
     totals = aggregate(
-        with_gap_ranks(days, "customer_id", "session_date"),
+        sessions,
         "customer_id",
         {
-            "pages_last_60": sum_if(within_last("session_date", last, MIDDLE_DAYS), "pages"),
+            "pages_last_60": sum_if(within_last("session_date", last, MIDDLE_DAYS), "pages_viewed"),
             "last_session_date": "max(session_date)",
-            "median_session_interval": gap_median(),
+            "n_sessions": "count(1)",
+            "days": "collect_set(session_date)",
         },
     )
     since = f"datediff({day_literal(last)}, last_session_date)"
-    return add_columns(totals, {"days_since_last_session": since})
+    signals = add_columns(totals, {"days_since_last_session": since})
+    return add_gap_median(signals, "days", "n_sessions", "median_session_interval").drop(
+        "days", "n_sessions"
+    )
 
 
 def pages_last_60(sessions: DataFrame, last: date) -> DataFrame:
