@@ -30,12 +30,19 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
 
 def read_shop(spark: SparkSession, root: str) -> Shop:
     """The five tables as Parquet below ``root``, one file or folder each."""
-    return Shop(**{name: spark.read.schema(schema).parquet(f"{root}/{name}.parquet") for name, schema in TABLES.items()})
+    tables = {
+        name: spark.read.schema(schema).parquet(f"{root}/{name}.parquet")
+        for name, schema in TABLES.items()
+    }
+    return Shop(**tables)
 
 
 def read_shop_csv(spark: SparkSession, root: str) -> Shop:
     """The five tables as CSV below ``root``."""
-    return Shop(**{name: read_csv(spark, f"{root}/{name}.csv", schema) for name, schema in TABLES.items()})
+    tables = {
+        name: read_csv(spark, f"{root}/{name}.csv", schema) for name, schema in TABLES.items()
+    }
+    return Shop(**tables)
 
 
 def run_sql(spark: SparkSession, shop: Shop, text: str, **parameters) -> DataFrame:
