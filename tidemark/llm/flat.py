@@ -76,8 +76,13 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words, and the first word of each row (one entry more than rows)."""
+    return runs_of(~WHITE, data, offsets)
+
+
+def runs_of(kind: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like word_bounds, for runs of the bytes that ``kind`` (a table of 256) holds."""
     inside = np.zeros(len(data) + 1, bool)
-    inside[:-1] = ~WHITE[data]
+    inside[:-1] = kind[data]
     begins = np.zeros(len(data) + 1, bool)
     begins[offsets] = True
     starts = np.flatnonzero(inside[:-1] & (begins[:-1] | ~np.concatenate([[False], inside[:-2]])))

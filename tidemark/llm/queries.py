@@ -4,16 +4,63 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import ngram_join
+from tidemark.llm import decontaminate, ngram_join, pii, quality_classifier, quality_rules, secrets, toxicity
 from tidemark.llm.tables import table
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Rows whose labels no model may learn from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.judged(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "good_chance"
+    )
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_classifier.fit(docs, quality_classifier.graded(labels.where(~held_out())))
+    return quality_classifier.score(docs, model).withColumn("held_out", held_out())
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~held_out()))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source is an owner, its texts of one language are a repository."""
+    docs = table(spark, sf_dir, "documents")
+    return secrets.digest(secrets.scan(docs, repository=F.struct("source", "lang"), owner=F.col("source")))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_toxicity": op4_toxicity,
     "op5_ngram_join": op5_ngram_join,
+    "op9_secrets": op9_secrets,
+    "op10_pii": op10_pii,
 }
