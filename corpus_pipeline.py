@@ -1,20 +1,52 @@
-"""A corpus pipeline of the operators for training data."""
+"""A corpus pipeline of the operators for training data.
+
+Toxic documents go, one document of each group of near copies stays, documents
+that hold a benchmark item go, personal data in the texts is replaced, and what
+is left is packed into sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ngram_join
+from tidemark.llm import decontaminate, ngram_join, packing, pii, toxicity
+from tidemark.llm.queries import held_out
 from tidemark.llm.tables import table, written
 
+#: Near copies: five-word shingles and a similarity of 0.8 or more.
+COPIES = {"words": 5, "link": (80, 100)}
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    return toxicity.without_toxic(docs, model)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_of_each(docs, **COPIES)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_passages(docs, table(spark, sf_dir, "benchmark"))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.sanitised(docs)
+
 
-def _one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs
+def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(docs)
 
 
-STAGES = [("n-gram Jaccard join", _one_of_each_group)]
+STAGES = [
+    ("toxicity", without_toxic),
+    ("n-gram Jaccard join", without_copies),
+    ("benchmark decontamination", without_benchmark),
+    ("PII", without_personal_data),
+    ("best-fit packing", into_sequences),
+]
 
-#: SQL can't express trained scores and fingerprints; see tests/llm/test_pipeline.py.
+#: SQL can't express trained scores and fingerprints; tests/llm/test_pipeline.py has the stages row by row.
 ORACLE_SQL = None
 
 

@@ -46,8 +46,6 @@ MOST_MATCHES = 8
 #: Cost of verifying a pair, in lookups for each shingle of the document.
 VERIFY_COST = 0.1
 
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
 
 def least_overlap(n: int | np.ndarray, link: tuple[int, int]):
     """The overlap a set of n needs with any partner it links with."""
@@ -172,6 +170,35 @@ def similar_documents(
 
     ``component_id`` is the smallest id reachable by links, the row's own included.
     """
+    members = _components(docs, id_column, text_column, words, link)
+    least = members.where("root is not null").groupBy("root").agg(F.min("id").alias("component_id"))
+    alone = members.where("root is null").select("id", "n", F.col("id").alias("component_id"))
+    rows = members.join(least, "root").select("id", "n", "component_id").union(alone)
+    return rows.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, link: tuple[int, int] = LINK
+) -> DataFrame:
+    """The rows of ``docs`` with all their columns, one of each component: the one with the smallest id.
+
+    Texts without words link with nothing and all stay.
+    """
+    members = _components(docs, id_column, text_column, words, link).where("root is not null")
+    first = members.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "key")).alias("first"))
+    first = first.select(F.col("first.id").alias("first_id"), F.col("first.key").alias("first_key"))
+    names = docs.columns
+    plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    number, text = (F.col(f"c{names.index(c)}") for c in (id_column, text_column))
+    worded = F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    same = number.cast("long").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key"))
+    kept = plain.where(worded).withColumn("key", F.xxhash64(text)).join(first, same, "left_semi")
+    kept = kept.dropDuplicates([f"c{names.index(id_column)}", "key"]).drop("key")
+    return kept.union(plain.where(~worded)).toDF(*names)
+
+
+def _components(docs: DataFrame, id_column: str, text_column: str, words: int, link: tuple[int, int]) -> DataFrame:
+    """(id, key, n, root) for each row; ``key`` is a hash of the text, ``root`` names the component (null: no words)."""
     spark = docs.sparkSession
     plain = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     plain = plain.withColumn("key", F.xxhash64("text"))
@@ -211,7 +238,9 @@ def similar_documents(
     )
     rest = _links(written(_open_pairs(joined, link)), texts, words, link)
     roots = components(written(links.union(rest)))
-    return _labelled(members, roots).select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id")
+    return members.join(roots, F.col("cls") == F.col("node"), "left").select(
+        "id", "key", "n", F.when(F.col("n") > 0, F.coalesce("root", "cls")).alias("root")
+    )
 
 
 def _open_pairs(rows: DataFrame, link: tuple[int, int]) -> DataFrame:
@@ -237,13 +266,3 @@ def _open_pairs(rows: DataFrame, link: tuple[int, int]) -> DataFrame:
         .where("found >= need")
         .select("a", "b")
     )
-
-
-def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members with the smallest id of their component; texts without shingles stand alone."""
-    least = members.where("n > 0").groupBy("cls").agg(F.min("id").alias("least"))
-    rooted = least.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "least", F.coalesce("root", "cls").alias("root"))
-    component = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    of_class = rooted.join(component, "root").select("cls", "component")
-    alone = members.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
-    return members.where("n > 0").join(of_class, "cls").select("id", "n", F.col("component").alias("component_id")).union(alone)

@@ -123,17 +123,18 @@ def digest(found: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
 def sanitised(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` with all their columns; in the text entities and disclosing terms are replaced."""
+    names = docs.columns
     found = find(docs, id_column, text_column)
-    spans = found.where((F.size("base") > 0) | (F.size("more") > 0)).groupBy(F.col(id_column).alias("found_id"), F.col("key").alias("found_key")).agg(
-        F.first("base").alias("found_base"), F.first("more").alias("found_more")
-    )
-    base = F.transform("found_base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("new")))
+    spans = found.where((F.size("base") > 0) | (F.size("more") > 0)).groupBy(id_column, "key").agg(F.first("base").alias("base"), F.first("more").alias("more"))
+    spans = spans.toDF("found_id", "key", "base", "more")
+    base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("new")))
     more = F.transform(
-        "found_more",
+        "more",
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["share"] >= REVEALS, "").otherwise("[TERM]").alias("new")),
     )
-    text = F.col(text_column)
-    same = F.col(id_column).eqNullSafe(F.col("found_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("found_key"))
-    new = F.when(F.col("found_key").isNull(), text).otherwise(replaced(text, F.concat(base, more)))
-    joined = docs.join(spans, same, "left")
-    return joined.select(*[new.alias(c) if c == text_column else F.col(c) for c in docs.columns])
+    plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    number, text = (F.col(f"c{names.index(c)}") for c in (id_column, text_column))
+    same = number.eqNullSafe(F.col("found_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("key"))
+    new = F.when(F.col("key").isNull(), text).otherwise(replaced(text, F.concat(base, more)))
+    joined = plain.join(spans, same, "left")
+    return joined.select(*[(new if c == text_column else F.col(f"c{k}")).alias(c) for k, c in enumerate(names)])

@@ -253,7 +253,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     return rows.mapInArrow(work, "id long, score double").select(F.col("id").alias(id_column), "score")
 
 
-def flagged(docs: DataFrame, model: Model, threshold: float = 0.5, text_column: str = "text") -> DataFrame:
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` with all their columns, without those scored ``threshold`` or more."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
