@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, ngram_join, packing, pii, quality_classifier, quality_rules, secrets, toxicity
+from tidemark.llm import decontaminate, html_extract, ngram_join, packing, pii, quality_classifier, quality_rules, secrets, toxicity
 from tidemark.llm.tables import table
 
 
@@ -45,6 +45,11 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extract.extracted(table(spark, sf_dir, "pages"))
+    return pages.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_toxicity": op4_toxicity,
     "op5_ngram_join": op5_ngram_join,
+    "op6_html_extract": op6_html_extract,
     "op7_packing": op7_packing,
     "op9_secrets": op9_secrets,
     "op10_pii": op10_pii,
