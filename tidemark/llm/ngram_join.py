@@ -15,7 +15,8 @@ Texts with equal sets form one class, which is compared once. Components don't
 need every pair of a large group of near copies: first each class is verified
 against the leader (smallest class) of the prefix shingles it shares. Then
 every candidate pair whose classes are still in different components is
-verified, so that no link between components is lost.
+verified, so that no link between components is lost. Shingles that very many
+classes still share are left to a blockwise comparison of these classes.
 
 Defined cases: null or empty texts and texts without words have an empty set
 and link with nothing; a text with fewer words than a shingle is one shingle;
@@ -46,6 +47,11 @@ MOST_MATCHES = 8
 #: Cost of verifying a pair, in lookups for each shingle of the document.
 VERIFY_COST = 0.1
 
+#: Pairs up to which the classes of a shingle's group are paired one by one.
+MOST_PAIRS = 4096
+#: Bytes of text in a block of a hot cluster.
+BLOCK_BYTES = 1 << 21
+
 
 def least_overlap(n: int | np.ndarray, link: tuple[int, int]):
     """The overlap a set of n needs with any partner it links with."""
@@ -236,33 +242,95 @@ def _components(docs: DataFrame, id_column: str, text_column: str, words: int, l
     joined = shared.join(components(links), F.col("cls") == F.col("node"), "left").select(
         "token", "cls", "n", "level", "matches", F.coalesce("root", "cls").alias("comp")
     )
-    rest = _links(written(_open_pairs(joined, link)), texts, words, link)
+    rest = _remaining(joined, texts, words, link)
     roots = components(written(links.union(rest)))
     return members.join(roots, F.col("cls") == F.col("node"), "left").select(
         "id", "key", "n", F.when(F.col("n") > 0, F.coalesce("root", "cls")).alias("root")
     )
 
 
-def _open_pairs(rows: DataFrame, link: tuple[int, int]) -> DataFrame:
-    """Candidate pairs of classes in different components.
+def _remaining(rows: DataFrame, texts: DataFrame, words: int, link: tuple[int, int]) -> DataFrame:
+    """The links (a, b) between classes in different components, or enough of them to connect the same.
 
     In each shingle's group the largest component is set apart: pairs are made
-    of the other classes with each other and with it, never within it.
+    of the other classes with each other and with it, never within it. Groups
+    that would still make many pairs are compared blockwise instead.
     """
     sizes = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("size"))
     major = sizes.groupBy("token").agg(
-        F.max_by("comp", F.struct("size", "comp")).alias("major"), F.count(F.lit(1)).alias("comps")
-    ).where("comps > 1")
-    tagged = rows.join(major, "token")
-    left = tagged.where("comp <> major")
-    right = tagged.select("token", *[F.col(c).alias(f"{c}_b") for c in ("cls", "n", "level", "matches", "comp")])
-    both = left.join(right, "token").where("comp <> comp_b").where("comp_b = major or cls < cls_b")
+        F.max_by("comp", F.struct("size", "comp")).alias("major"), F.count(F.lit(1)).alias("comps"), F.sum("size").alias("all"), F.max("size").alias("most")
+    ).where("comps > 1")
+    hot = (F.col("all") - F.col("most")) * F.col("all") > MOST_PAIRS
+    tagged = written(rows.join(major.select("token", "major", hot.alias("hot")), "token"))
+    # Matches on hot shingles aren't counted for a pair; it has at most as many as either class.
+    uncounted = tagged.where("hot").groupBy("cls").agg(F.count(F.lit(1)).alias("uncounted"))
+    plain = tagged.where("not hot").join(uncounted, "cls", "left").fillna(0, ["uncounted"])
+    names = ("cls", "n", "level", "matches", "comp", "uncounted")
+    both = plain.where("comp <> major").join(plain.select("token", *[F.col(c).alias(f"{c}_b") for c in names]), "token")
     need = F.least("matches", "matches_b")
-    return (
-        both.where(_fits("n", "n_b", link))
+    pairs = (
+        both.where("comp <> comp_b").where("comp_b = major or cls < cls_b")
+        .where(_fits("n", "n_b", link))
         .where(F.greatest("level", "level_b") <= need)
         .groupBy(F.least("cls", "cls_b").alias("a"), F.greatest("cls", "cls_b").alias("b"))
-        .agg(F.count(F.lit(1)).alias("found"), F.max(need).alias("need"))
-        .where("found >= need")
+        .agg(F.count(F.lit(1)).alias("found"), F.max(need).alias("need"), F.max(F.least("uncounted", "uncounted_b")).alias("uncounted"))
+        .where("found + uncounted >= need")
         .select("a", "b")
-    )
+    )
+    found = _links(written(pairs), texts, words, link)
+    groups = tagged.where("hot").select("token", "cls").distinct()
+    return found if groups.isEmpty() else found.union(_blockwise(groups, texts, words, link))
+
+
+def _blockwise(groups: DataFrame, texts: DataFrame, words: int, link: tuple[int, int]) -> DataFrame:
+    """Links that connect what all links among the classes of hot groups (token, cls) connect.
+
+    Groups that share classes form a cluster. A cluster's texts are dealt into
+    blocks of bounded size, and every two blocks of it meet in a task of their
+    own, which compares their sets as matrices and gives a spanning forest.
+    """
+    star = groups.join(groups.groupBy("token").agg(F.min("cls").alias("b")), "token").select(F.col("cls").alias("a"), "b")
+    clusters = components(star).select(F.col("node").alias("cls"), F.col("root").alias("cluster"))
+    members = clusters.join(texts, "cls")
+    blocks = members.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES).cast("int").alias("blocks"))
+    dealt = members.join(blocks.withColumn("blocks", F.greatest("blocks", F.lit(1))), "cluster").withColumn("own", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keyed = dealt.select("cluster", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "cls", "text")
+    return keyed.groupBy("cluster", "low", "high").applyInArrow(_forest(words, link), "a long, b long")
+
+
+def _forest(words: int, link: tuple[int, int]):
+    def work(table: pa.Table) -> pa.Table:
+        batch = table.combine_chunks()
+        classes = batch.column("cls").to_numpy()
+        sets = [s for run in flat.runs(iter(batch.to_batches())) for s in flat.shingle_sets(run.column("text"), words)]
+        sizes = np.array([len(s) for s in sets])
+        values, counts = np.unique(np.concatenate(sets), return_counts=True)
+        values = values[counts > 1]  # others add nothing to an intersection
+        row, column = [], []
+        for i, s in enumerate(sets):
+            at = np.searchsorted(values, s)
+            at = at[(at < len(values)) & (values[np.minimum(at, max(len(values) - 1, 0))] == s)] if len(values) else at[:0]
+            row.append(np.full(len(at), i))
+            column.append(at)
+        row, column = np.concatenate(row), np.concatenate(column)
+        both = np.zeros((len(sets), len(sets)), np.float32)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for first in range(0, len(values), 2048):
+            a, b = np.searchsorted(column, [first, first + 2048])
+            part = np.zeros((len(sets), 2048), np.float32)
+            part[row[a:b], column[a:b] - first] = 1
+            both += part @ part.T
+        linked = link[1] * both >= link[0] * (sizes[:, None] + sizes[None, :] - both)
+        label = np.arange(len(sets))
+        while True:
+            least = np.where(linked, label[None, :], len(sets)).min(axis=1)
+            least = np.minimum(label, least)
+            if (least == label).all():
+                break
+            label = least[least]
+        apart = np.flatnonzero(label != np.arange(len(sets)))
+        return pa.table({"a": classes[apart], "b": classes[label[apart]]})
+
+    return work

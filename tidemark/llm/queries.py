@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_extract, ngram_join, packing, pii, quality_classifier, quality_rules, secrets, toxicity
+from tidemark.llm import decontaminate, html_extract, ngram_join, packing, pii, quality_classifier, quality_rules, repeats, secrets, toxicity
 from tidemark.llm.tables import table
 
 
@@ -54,6 +54,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each source is an owner, its texts of one language are a repository."""
     docs = table(spark, sf_dir, "documents")
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_join": op5_ngram_join,
     "op6_html_extract": op6_html_extract,
     "op7_packing": op7_packing,
+    "op8_repeats": op8_repeats,
     "op9_secrets": op9_secrets,
     "op10_pii": op10_pii,
 }
