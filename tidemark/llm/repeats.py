@@ -233,8 +233,10 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     kind = "anchor long, context long, low long, high long"
     some = open_.join(hot, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_ordered, kind)
     windows = open_.join(hot, "anchor", "left_semi").mapInArrow(_windows, "hash long, anchor long, context long, low long")
-    twice = windows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    rest = windows.join(twice, "hash", "left_semi").groupBy("anchor", "context").agg(F.min("low").alias("low"), (F.max("low") + LENGTH).alias("high"))
+    # By anchor and place too: a window is met again around each anchor that it contains.
+    same = ["hash", "anchor", "low"]
+    twice = windows.groupBy(same).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(same)
+    rest = windows.join(twice, same, "left_semi").groupBy("anchor", "context").agg(F.min("low").alias("low"), (F.max("low") + LENGTH).alias("high"))
     covered = whole.union(some).union(rest).groupBy("anchor", "context").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
     spans = occurrences.join(covered, ["anchor", "context"]).select("key", F.struct((F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high")).alias("span"))
