@@ -7,12 +7,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
-SENTENCE = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen".split()
-
-
 def text(seed: int, n: int = 60) -> str:
     """Invented words, the same for the same seed."""
-    return " ".join(f"w{(seed * 7919 + k * 104729) % 99991}x" for k in range(n))
+    return " ".join(f"w{seed}x{k * 7919 % 9973}" for k in range(n))
 
 
 def odd_texts() -> list[tuple]:
