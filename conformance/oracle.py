@@ -135,15 +135,15 @@ SHARED = {
     "t_earlier": """
         select g.customer_id, g.order_id, g.order_date
         from t_good g join t_last l on l.customer_id = g.customer_id
-        where g.order_date <> l.last_suc_date""",
+        where (g.order_date = l.last_suc_date) is not true""",
     "t_gaps": """
         select customer_id,
-               datediff('day', lag(order_date) over (partition by customer_id order by order_date), order_date)
+               datediff('day', lag(order_date) over (partition by customer_id order by order_date nulls first), order_date)
                  as interval_days
         from t_good""",
     "t_visit_gaps": """
         select customer_id,
-               datediff('day', lag(session_date) over (partition by customer_id order by session_date), session_date)
+               datediff('day', lag(session_date) over (partition by customer_id order by session_date nulls first), session_date)
                  as interval_days
         from t_visits""",
 }
@@ -154,7 +154,7 @@ def _frequency(period: str, suffix: str) -> tuple[str, str, str]:
     lines = f"select order_id, customer_id, order_date from good_priced where order_date {period} $cut - 90"
     gaps = f"""
         select customer_id,
-               cast(datediff('day', lag(order_date) over (partition by customer_id order by order_date), order_date)
+               cast(datediff('day', lag(order_date) over (partition by customer_id order by order_date nulls first), order_date)
                     as int) as interval_days
         from ({lines})"""
     frequency = f"""
@@ -313,7 +313,7 @@ QUERIES = {
     "f_last3_succ_orders": "select customer_id, order_id, order_date, status, cast(rn as int) as rn from newest3_good",
     "f_last3_succ_help": """
         select customer_id, order_id, last3_succ_kept_total, last3_succ_kept_items, total_value, total_items,
-               cast(datediff('day', lag(order_date) over (partition by customer_id order by order_date, order_id),
+               cast(datediff('day', lag(order_date) over (partition by customer_id order by order_date nulls first, order_id),
                              order_date) as int) as interval_days
         from (select n.customer_id, n.order_id, n.order_date,
                      cast(coalesce(sum(p.amount) filter (where p.returned = 0), 0) as double) as last3_succ_kept_total,
@@ -329,7 +329,7 @@ QUERIES = {
           from priced where order_id in (select order_id from newest3_good) group by all),
         gaps as (
           select customer_id,
-                 datediff('day', lag(order_date) over (partition by customer_id order by order_date, order_id),
+                 datediff('day', lag(order_date) over (partition by customer_id order by order_date nulls first, order_id),
                           order_date) as gap
           from dated),
         mean as (
@@ -402,7 +402,7 @@ QUERIES = {
     "f_session_intervals": """
         select customer_id, cast(sum(gap) as double) / count(gap) as avg_session_interval
         from (select customer_id,
-                     datediff('day', lag(session_date) over (partition by customer_id order by session_date),
+                     datediff('day', lag(session_date) over (partition by customer_id order by session_date nulls first),
                               session_date) as gap
               from visits)
         where gap is not null group by customer_id""",

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import tempfile
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +17,7 @@ from tidemark.functions.counted import expand_rows
 from tidemark.operators import asof, browsing, categories, engagement, purchases, recent
 from tidemark.operators.facts import as_of, order_facts
 from tidemark.operators.purchases import HISTORY, RECENT
-from tidemark.schema import ORDER_ITEMS, PRODUCTS
+from tidemark.schema import ORDER_ITEMS
 from tidemark.sources import files, sinks
 from tidemark.sources.star import read_star
 
@@ -58,12 +61,13 @@ def _visits(shop, cut):
     return asof.sessions_before(shop.sessions, cut)
 
 
-def _raw_facts(shop):
-    return order_facts(shop.orders, shop.order_items)
+def _raw_facts(shop, since=None):
+    return order_facts(shop.orders, shop.order_items, since)
 
 
-def _facts(shop, cut):
-    return as_of(_raw_facts(shop), cut)
+def _facts(shop, cut, days=None):
+    """Order facts as of the cut, of the last ``days`` days before it if given."""
+    return as_of(_raw_facts(shop, days and cut - timedelta(days=days)), cut)
 
 
 def _by_category(shop, cut):
@@ -74,24 +78,44 @@ def _by_category(shop, cut):
 # --- sources and sinks --------------------------------------------------------
 
 
+def _folder(spark: SparkSession) -> str:
+    """A folder for a table that a query writes and reads again; it goes when the process ends.
+
+    Where the session names no shared folder, as in tests, a temporary one is given.
+    """
+    own = None if spark.conf.get("spark.checkpoint.dir", None) else tempfile.mkdtemp(prefix="tidemark-")
+    path = sinks.shared_folder(spark, own)
+
+    def remove() -> None:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            sinks.remove_folder(spark, path)
+
+    atexit.register(remove)
+    return path
+
+
 def csv_roundtrip(spark, shop, cut, last):
-    path = sinks.shared_folder(spark)
+    path = _folder(spark)
     sinks.write_csv(shop.order_items, path)
     return _doubles(files.read_csv(spark, path, ORDER_ITEMS))
 
 
 def lowercase(spark, shop, cut, last):
     shouted = shop.products.toDF(*[name.upper() for name in shop.products.columns])
-    return _doubles(files.lowercase_columns(shouted).select(*PRODUCTS.names))
+    return _doubles(files.lowercase_columns(shouted))
 
 
 def append_twice(spark, shop, cut, last):
-    path = sinks.shared_folder(spark)
+    path = _folder(spark)
     for _ in range(2):
         outcome = sinks.append_table(shop.order_items, path)
         if not outcome.ok:
             raise RuntimeError(outcome.message)
-    return _doubles(spark.read.schema(ORDER_ITEMS).parquet(path))
+    # Another table is refused, and the rows stay as they were.
+    for other in (shop.products, shop.order_items.withColumn("quantity", F.col("quantity").cast("string"))):
+        if sinks.append_table(other, path).ok:
+            raise RuntimeError("appended a table with other columns")
+    return _doubles(files.read_table(spark, path, ORDER_ITEMS))
 
 
 def parameter_query(spark, shop, cut, last):
@@ -103,14 +127,14 @@ def parameter_query(spark, shop, cut, last):
 
 def feature_sink(spark, shop, cut, last):
     matrix = feature_matrix(shop, cut)
-    path = sinks.shared_folder(spark)
+    path = _folder(spark)
     sinks.write_csv(matrix, path)
     return files.read_csv(spark, path, matrix.schema)
 
 
 def target_sink(spark, shop, cut, last):
     labels = engagement_target(shop, cut, last)
-    path = sinks.shared_folder(spark)
+    path = _folder(spark)
     sinks.write_csv(labels, path)
     return files.read_csv(spark, path, labels.schema)
 
@@ -123,8 +147,8 @@ def _on_facts(operator, *arguments) -> ShopQuery:
     return lambda s, shop, cut, last: _mine(operator(_facts(shop, cut), *arguments), shop, cut)
 
 
-def _on_facts_at(operator, *arguments) -> ShopQuery:
-    return lambda s, shop, cut, last: _mine(operator(_facts(shop, cut), cut, *arguments), shop, cut)
+def _on_facts_at(operator, *arguments, days: int | None = None) -> ShopQuery:
+    return lambda s, shop, cut, last: _mine(operator(_facts(shop, cut, days), cut, *arguments), shop, cut)
 
 
 def _on_visits(operator) -> ShopQuery:
@@ -139,8 +163,13 @@ def _on_raw_facts(operator) -> ShopQuery:
     return lambda s, shop, cut, last: _mine(operator(_raw_facts(shop)), shop, cut)
 
 
-def _on_raw_facts_at(operator, *arguments) -> ShopQuery:
-    return lambda s, shop, cut, last: _mine(operator(_raw_facts(shop), last, *arguments), shop, cut)
+def _on_raw_facts_at(operator, *arguments, days: int | None = None) -> ShopQuery:
+    since = lambda last: days and last - timedelta(days=days)
+    return lambda s, shop, cut, last: _mine(operator(_raw_facts(shop, since(last)), last, *arguments), shop, cut)
+
+
+def _orders_last(days: int) -> ShopQuery:
+    return _on_raw_facts_at(engagement.successful_orders_last, days, days=days)
 
 
 def _on_sessions(operator) -> ShopQuery:
@@ -169,13 +198,14 @@ def _ranked(gaps: ShopQuery) -> ShopQuery:
 
 
 def _period_queries(period: str, lines: str) -> dict[str, ShopQuery]:
+    days = purchases.RECENT_DAYS if period == RECENT else None
     return {
-        lines: _expanded(_on_facts_at(purchases.successful_lines, period), "n_lines"),
-        f"f_intervals{period}": _expanded(_on_facts_at(purchases.line_gaps, period)),
-        f"f_order_frequency{period}": _on_facts_at(purchases.order_frequency, period),
-        f"f_order_values{period}": _on_facts_at(purchases.order_values, period),
-        f"f_succ_order_values{period}": _on_facts_at(purchases.successful_order_values, period),
-        f"f_return_cancel{period}": _on_facts_at(purchases.returns_and_cancels, period),
+        lines: _expanded(_on_facts_at(purchases.successful_lines, period, days=days), "n_lines"),
+        f"f_intervals{period}": _expanded(_on_facts_at(purchases.line_gaps, period, days=days)),
+        f"f_order_frequency{period}": _on_facts_at(purchases.order_frequency, period, days=days),
+        f"f_order_values{period}": _on_facts_at(purchases.order_values, period, days=days),
+        f"f_succ_order_values{period}": _on_facts_at(purchases.successful_order_values, period, days=days),
+        f"f_return_cancel{period}": _on_facts_at(purchases.returns_and_cancels, period, days=days),
     }
 
 
@@ -218,11 +248,11 @@ SHOP_QUERIES: dict[str, ShopQuery] = {
     "f_last_session": _on_visits(browsing.last_session),
     "f_last_session_stats": _expanded(_on_visits(browsing.last_day_sessions)),
     "f_successful_orders_180": _on_facts_at(
-        purchases.successful_orders_in, purchases.ACTIVE_DAYS, "successful_orders_180"
+        purchases.successful_orders_in, purchases.ACTIVE_DAYS, "successful_orders_180", days=purchases.ACTIVE_DAYS
     ),
     "f_sessions_180_stats": _on_visits(browsing.sessions_180_stats),
     "f_sessions_orders_ratio": lambda s, shop, cut, last: _mine(
-        browsing.sessions_orders_ratio(_visits(shop, cut), _facts(shop, cut), cut), shop, cut
+        browsing.sessions_orders_ratio(_visits(shop, cut), _facts(shop, cut, purchases.ACTIVE_DAYS), cut), shop, cut
     ),
     "f_recent_sessions_90": _on_visits(browsing.recent_sessions),
     "f_session_intervals": _on_visits(browsing.session_intervals),
@@ -235,11 +265,11 @@ SHOP_QUERIES: dict[str, ShopQuery] = {
     ),
     "t_sessions_filtered": lambda s, shop, cut, last: _mine(shop.sessions, shop, cut),
     "t_successful_orders": _on_raw_facts(engagement.successful_orders),
-    "t_successful_orders_30": _on_raw_facts_at(engagement.successful_orders_last, engagement.SHORT_DAYS),
-    "t_successful_orders_60": _on_raw_facts_at(engagement.successful_orders_last, engagement.MIDDLE_DAYS),
-    "t_successful_orders_120": _on_raw_facts_at(engagement.successful_orders_last, engagement.LONG_DAYS),
-    "t_orders_30_60": _on_raw_facts_at(engagement.orders_30_60),
-    "t_sum_orders_30_60": _on_raw_facts_at(engagement.sum_orders_30_60),
+    "t_successful_orders_30": _orders_last(engagement.SHORT_DAYS),
+    "t_successful_orders_60": _orders_last(engagement.MIDDLE_DAYS),
+    "t_successful_orders_120": _orders_last(engagement.LONG_DAYS),
+    "t_orders_30_60": _on_raw_facts_at(engagement.orders_30_60, days=engagement.MIDDLE_DAYS),
+    "t_sum_orders_30_60": _on_raw_facts_at(engagement.sum_orders_30_60, days=engagement.MIDDLE_DAYS),
     "t_last_successful_order": _on_raw_facts(engagement.last_successful_order),
     "t_last_order_total": _on_raw_facts(engagement.last_successful_total),
     "t_orders_excl_last": _on_raw_facts(engagement.orders_excluding_last),

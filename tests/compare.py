@@ -7,11 +7,12 @@ from collections import Counter
 
 
 def _plain(value):
-    if value is None or (isinstance(value, float) and math.isnan(value)):
-        return None
+    """Values with their kind; NaN equals NaN but not NULL."""
     if isinstance(value, float):
-        return float(f"{value:.12g}")
-    return value
+        return "float", "nan" if math.isnan(value) else float(f"{value:.12g}")
+    if isinstance(value, int) and not isinstance(value, bool):
+        return "int", value
+    return type(value).__name__, value
 
 
 def rows_of(columns, rows) -> Counter:

@@ -76,11 +76,12 @@ ONE_LINE, ONE_ORDER_THREE_LINES, TIE_ON_LAST_DAY, ONLY_CANCELLED = 7, 8, 9, 10
 TWO_LAST_SESSIONS, SESSION_WINDOW_ENDS = 11, 12
 LABEL_30, LABEL_60_PAGES_2, LABEL_60_PAGES_3, LABEL_LARGE, LABEL_CHURNED, LABEL_RHYTHM = 13, 14, 15, 16, 17, 18
 NOTHING, UNKNOWN_VALUES, REGISTERED_ON_CUT, NOT_A_CUSTOMER, HOT = 19, 20, 21, 22, 23
+UNDATED, ONLY_UNDATED = 24, 25
 
 
 def edge_rows() -> Rows:
     rows = Rows()
-    for customer_id in range(1, 24):
+    for customer_id in range(1, 26):
         if customer_id not in (REGISTERED_ON_CUT, NOT_A_CUSTOMER):
             rows.customer(customer_id)
     rows.customer(REGISTERED_ON_CUT, registered=CUT)
@@ -145,6 +146,14 @@ def edge_rows() -> Rows:
         rows.order(customer_id, before(CUT, 30))
         rows.session(customer_id, before(CUT, 30))
 
+    for days in (300, 310, 320):
+        rows.order(UNDATED, before(CUT, days))
+        rows.session(UNDATED, before(CUT, days))
+    for _ in range(4):
+        for customer_id in (UNDATED, ONLY_UNDATED):
+            rows.order(customer_id, None)
+            rows.session(customer_id, None)
+
     # More rows than all others together, many of them on equal days.
     for i in range(400):
         rows.order(HOT, before(LAST, 3 * (i % 40)), lines=[(i % 10, 1 + i % 3, "12.34", 0)])
@@ -173,4 +182,7 @@ def random_rows(seed: int, customers: int = 40) -> Rows:
         for _ in range(rng.randint(0, 12)):
             day = before(LAST, rng.randint(0, reach))
             rows.session(customer_id, day, rng.randint(1, 30), rng.choice(["mobile", "desktop"]))
+        for _ in range(rng.choice([0, 0, 1, 3])):
+            rows.order(customer_id, None, rng.choice(["Completed", "Returned"]), rng.choice([None, before(CUT, 5)]))
+            rows.session(customer_id, None, rng.randint(1, 30))
     return rows

@@ -1,9 +1,11 @@
 """Sources and sinks."""
 
+import csv
 from collections import Counter
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 from shops import CUT, LAST, edge_rows
 
 from tidemark import engagement_target, feature_matrix
@@ -84,14 +86,104 @@ def test_sql_text_with_parameters(spark, shop):
     assert files.run_sql(spark, shop, text, cut=CUT).first().n == expected
 
 
-def test_shared_folder_follows_the_session(tmp_path):
-    configured = {"spark.checkpoint.dir": str(tmp_path)}
-    session = SimpleNamespace(conf=configured, sparkContext=SimpleNamespace(master="yarn"))
-    first, second = sinks.shared_folder(session), sinks.shared_folder(session)
+def test_shared_folder_follows_the_session_or_the_caller(tmp_path):
+    configured = SimpleNamespace(conf={"spark.checkpoint.dir": str(tmp_path)})
+    first, second = sinks.shared_folder(configured), sinks.shared_folder(configured)
     assert first.startswith(str(tmp_path)) and first != second
+    assert sinks.shared_folder(configured, "s3a://other/").startswith("s3a://other/tidemark-")
 
 
-def test_no_local_folder_on_a_cluster():
-    session = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="yarn"))
+@pytest.mark.parametrize("master", ["yarn", "local[2]"])
+def test_no_folder_is_made_up(master):
+    session = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         sinks.shared_folder(session)
+
+
+@pytest.mark.parametrize("change", [lambda df: df.drop("returned"), lambda df: df.withColumn("returned", F.col("returned").cast("string"))])
+def test_parquet_without_a_column_or_of_another_type_is_an_error(spark, shop, tmp_path, change):
+    for name, df in shop.tables().items():
+        sinks.write_parquet(change(df) if name == "order_items" else df, str(tmp_path / f"{name}.parquet"))
+    with pytest.raises(ValueError, match="returned"):
+        files.read_shop(spark, str(tmp_path))
+
+
+def test_append_refuses_other_columns_and_leaves_the_table(spark, shop, tmp_path):
+    path = str(tmp_path / "table")
+    assert sinks.append_table(shop.products, path).ok
+    before = multiset(spark.read.parquet(path))
+    for other in (
+        shop.products.select("product_id"),
+        shop.products.withColumn("other", F.lit(1)),
+        shop.products.withColumn("product_id", F.col("product_id").cast("string")),
+        shop.orders,
+    ):
+        outcome = sinks.append_table(other, path)
+        assert not outcome.ok and "column" in outcome.message or "not bigint" in outcome.message
+    assert multiset(spark.read.parquet(path)) == before
+    assert sinks.append_table(shop.products.select(*reversed(shop.products.columns)), path).ok
+    assert spark.read.parquet(path).count() == 2 * sum(before.values())
+    assert not sinks.append_table(shop.products, str(tmp_path / "new"), ORDERS).ok
+
+
+def test_append_reports_an_error_without_text(monkeypatch, shop, tmp_path):
+    def fail(*_):
+        raise RuntimeError
+
+    monkeypatch.setattr(sinks, "_stored", fail)
+    assert sinks.append_table(shop.orders, str(tmp_path / "x")) == sinks.Outcome(False, f"Error at {tmp_path / 'x'}: RuntimeError")
+
+
+def test_load_into_a_named_table(spark, shop, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS loaded LOCATION '{tmp_path / 'warehouse'}'")
+    try:
+        path = str(tmp_path / "products")
+        sinks.write_csv(shop.products.toDF(*[c.upper() for c in shop.products.columns]), path)
+        for _ in range(2):
+            assert sinks.load_table(spark, "loaded.products", path, TABLES["products"]).ok
+        assert spark.table("loaded.products").schema == TABLES["products"]
+        assert spark.table("loaded.products").count() == 2 * shop.products.count()
+        other = str(tmp_path / "orders")
+        sinks.write_csv(shop.orders, other)
+        assert not sinks.load_table(spark, "loaded.products", other).ok
+        assert not sinks.load_table(spark, "loaded.products", str(tmp_path / "nowhere")).ok
+        assert spark.table("loaded.products").count() == 2 * shop.products.count()
+    finally:
+        spark.sql("DROP DATABASE loaded CASCADE")
+
+
+ODD = [("a \"b\", c", "x"), ("back\\slash\\", " spaces "), ('""', ","), (None, "z"), ("line\nbreak", "y"), ("'", 'end"')]
+
+
+def test_csv_values_round_trip_and_other_readers_agree(spark, tmp_path):
+    ours = str(tmp_path / "ours")
+    sinks.write_csv(spark.createDataFrame(ODD, "a string, b string").coalesce(1), ours)
+    assert multiset(files.read_csv(spark, ours, multi_line=True)) == Counter(ODD)
+    (part,) = [p for p in (tmp_path / "ours").iterdir() if p.suffix == ".csv"]
+    with part.open(newline="") as f:
+        assert list(csv.reader(f))[1:] == [[a or "", b] for a, b in ODD]
+    theirs = tmp_path / "theirs.csv"
+    with theirs.open("w", newline="") as f:
+        csv.writer(f, lineterminator="\n").writerows([["A", "B"], *[[a or "", b] for a, b in ODD]])
+    read = files.read_csv(spark, str(theirs), multi_line=True)
+    assert Counter((a or "", b or "") for a, b in read.collect()) == Counter((a or "", b) for a, b in ODD)
+
+
+def test_files_with_other_headers_in_a_folder_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("brand,category\nx,y\n")
+    (tmp_path / "b.csv").write_text("category,brand\ny,x\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, str(tmp_path), spark.createDataFrame([], "brand string, category string").schema).collect()
+
+
+def test_sql_leaves_the_sessions_views(spark, shop):
+    spark.range(3).createOrReplaceTempView("orders")
+    rows = files.run_sql(spark, shop, "SELECT count(*) AS n FROM orders JOIN customers USING (customer_id)")
+    assert spark.table("orders").count() == 3 and rows.first().n > 3
+    spark.catalog.dropTempView("orders")
+    assert not {"orders", "customers", "products"} & {t.name for t in spark.catalog.listTables() if t.isTemporary}
+
+
+def test_names_that_differ_by_case_only_are_an_error(spark):
+    with pytest.raises(ValueError, match="case"):
+        files.lowercase_columns(spark.range(1).selectExpr("id AS a", "id AS A"))

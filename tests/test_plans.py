@@ -92,5 +92,28 @@ def test_filters_and_columns_reach_the_scan(spark, shop):
     assert "GreaterThanOrEqual(order_date,2000-11-03)" in orders
 
 
+def test_short_windows_narrow_the_lines_before_they_are_summed(spark, shop, shuffled):
+    for name in ("t_successful_orders_30", "f_order_values_90d", "f_sessions_orders_ratio"):
+        lines = plan_of(SHOP_QUERIES[name](spark, shop, CUT, LAST)).splitlines()
+        (semi,) = [i for i, line in enumerate(lines) if "LeftSemi" in line and "order_id" in line]
+        sums = [i for i, line in enumerate(lines) if "HashAggregate(keys=[order_id" in line]
+        assert sums and all(i < semi for i in sums)
+
+
+def test_the_wide_matrix_is_not_rebalanced(spark, shop):
+    plan = plan_of(feature_matrix(shop, CUT)).splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    (at,) = [i for i, line in enumerate(plan) if "REBALANCE" in line]
+    below = next((i for i in range(at + 1, len(plan)) if depth[i] <= depth[at]), len(plan))
+    assert "birth_date" in " ".join(plan) and "birth_date" not in " ".join(plan[at:below])
+
+
+def test_session_settings():
+    from tidemark.session import SETTINGS, build_session  # noqa: F401
+
+    assert float(SETTINGS["spark.sql.sources.fileCompressionFactor"]) >= 3
+    assert int(SETTINGS["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 1000
+
+
 def test_schema_names_all_tables():
     assert set(TABLES) == {"customers", "products", "orders", "order_items", "sessions"}

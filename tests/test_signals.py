@@ -6,9 +6,11 @@ from decimal import Decimal
 
 import pytest
 import shops
+from pyspark.sql import functions as F
 from shops import CUT, LAST, before, edge_rows, random_rows
 
 from tidemark import engagement_target, feature_matrix
+from tidemark.operators import engagement
 from tidemark.operators.facts import as_of, order_facts
 from tidemark.plans.feature_matrix import feature_columns
 from tidemark.schema import CATEGORIES
@@ -127,7 +129,7 @@ def test_labels(labels):
     assert labels[shops.LABEL_CHURNED] == "CHURNED"
     assert labels[shops.LABEL_RHYTHM] == "ACTIVE"
     assert labels[shops.NOTHING] == "AT-RISK"
-    assert set(labels) == set(range(1, 24)) - {shops.REGISTERED_ON_CUT, shops.NOT_A_CUSTOMER}
+    assert set(labels) == set(range(1, 26)) - {shops.REGISTERED_ON_CUT, shops.NOT_A_CUSTOMER}
 
 
 def test_category_columns_add_up_to_kept_items(spark):
@@ -136,14 +138,18 @@ def test_category_columns_add_up_to_kept_items(spark):
     items = " + ".join(names)
     result = feature_matrix(shop, CUT, one_row_per_customer=True)
     got = {r.customer_id: r.n for r in result.selectExpr("customer_id", f"{items} AS n").collect()}
-    known = shop.order_items.where("product_id < 10")
-    facts = as_of(order_facts(shop.orders, known), CUT).where("status <> 'Cancelled' AND n_lines > 0")
-    sums = facts.groupBy("customer_id").sum("kept_qty").toDF("customer_id", "n")
-    want = {r.customer_id: r.n for r in sums.collect()}
+
+    def kept_of(products):
+        facts = as_of(order_facts(shop.orders, shop.order_items.where(products)), CUT)
+        facts = facts.where("status <> 'Cancelled' AND n_lines > 0")
+        return {r.customer_id: r.n for r in facts.groupBy("customer_id").agg(F.sum("kept_qty").alias("n")).collect()}
+
+    # A customer with lines of other categories only has 0 in all columns, one without any line NULL.
+    want = dict.fromkeys(kept_of("product_id <= 10"), 0) | kept_of("product_id < 10")
     customers = {r.customer_id for r in result.select("customer_id").collect()}
+    assert len(want) > 20 and customers - set(want)
     for customer_id in customers:
-        if customer_id in want:
-            assert got[customer_id] == want[customer_id]
+        assert got[customer_id] == want.get(customer_id)
 
 
 def test_last_three_orders_add_up(spark):
@@ -153,7 +159,7 @@ def test_last_three_orders_add_up(spark):
         quantities[item[1]] += item[3]
     orders = defaultdict(list)
     for order_id, customer_id, day, *_ in rows.tables["orders"]:
-        if day < CUT:
+        if day and day < CUT:
             orders[customer_id].append((day, order_id))
     result = feature_matrix(rows.to_shop(spark), CUT, one_row_per_customer=True)
     checked = 0
@@ -205,3 +211,44 @@ def test_amounts_are_exact(spark):
     rows.order(shops.NOTHING, before(CUT, 200), lines=[(1, "0.10", 0)] * 3 + [(1, "0.29", 0)])
     result = feature_matrix(rows.to_shop(spark), CUT).where(f"customer_id = {shops.NOTHING}")
     assert result.first().min_order_value == float(Decimal("0.59"))
+
+
+def test_medians_leave_rows_without_a_date_out(spark):
+    shop = edge_rows().to_shop(spark)
+    facts = order_facts(shop.orders, shop.order_items)
+    orders = {r.customer_id: r.median_interval for r in engagement.median_order_interval(facts, LAST).collect()}
+    sessions = {r.customer_id: r.median_session_interval for r in engagement.median_session_interval(shop.sessions, LAST).collect()}
+    assert orders[shops.UNDATED] == sessions[shops.UNDATED] == 10
+    assert shops.ONLY_UNDATED not in orders and shops.ONLY_UNDATED not in sessions
+    gaps = engagement.session_gaps(shop.sessions).where(f"customer_id = {shops.UNDATED}").collect()
+    assert sum(r.n for r in gaps if r.interval_days is None) == 5 and sum(r.n for r in gaps if r.interval_days == 10) == 2
+
+
+def test_odd_category_names(spark):
+    names = ["Men's", "Home Garden", "R&B `x`", "back\\slash"]
+    rows = random_rows(8)
+
+    def matrix(categories):
+        rows.tables["products"] = [(k, categories[k % 4], "Nova", Decimal("10.00")) for k in range(11)]
+        result = feature_matrix(rows.to_shop(spark), CUT, product_categories=categories, one_row_per_customer=True)
+        return result.columns, sorted(map(tuple, result.collect()))
+
+    (columns, odd), (_, plain) = matrix(names), matrix(["a", "b", "c", "d"])
+    assert odd == plain and any(row[columns.index("men's_items")] for row in odd)
+    shop = rows.to_shop(spark)
+    with pytest.raises(ValueError, match="home_items"):
+        feature_matrix(shop, CUT, product_categories=["Home", "HOME"])
+
+
+def test_windows_and_thresholds_are_arguments(spark):
+    shop = random_rows(5).to_shop(spark)
+    facts = as_of(order_facts(shop.orders, shop.order_items), CUT)
+    matrix = feature_matrix(shop, CUT, recent_days=30, active_days=400, last_orders=2, one_row_per_customer=True)
+    got = {r.customer_id: (r.succ_orders_count_90d, r.total_180days_sessions) for r in matrix.collect()}
+    recent = facts.where(f"is_successful AND n_lines > 0 AND order_date >= DATE'{CUT}' - INTERVAL 30 DAYS").groupBy("customer_id").count()
+    active = shop.sessions.where(f"session_date BETWEEN DATE'{CUT}' - INTERVAL 400 DAYS AND DATE'{CUT}' - INTERVAL 1 DAY").groupBy("customer_id").count()
+    recent, active = ({r.customer_id: r["count"] for r in df.collect()} for df in (recent, active))
+    assert got == {k: (recent.get(k), active.get(k)) for k in got}
+    usual = {r.customer_id: r.target for r in engagement_target(shop, CUT, LAST).collect()}
+    other = {r.customer_id: r.target for r in engagement_target(shop, CUT, LAST, low_pages=0, large_order=1).collect()}
+    assert usual[shops.LABEL_60_PAGES_2] == "AT-RISK" and other[shops.LABEL_60_PAGES_2] == "ACTIVE"

@@ -62,8 +62,8 @@ def sum_or_zero(condition: str, value: str = "1") -> str:
 def aggregate(df: DataFrame, keys: str | list[str], columns: Mapping[str, str]) -> DataFrame:
     """Group by ``keys``; ``columns`` maps names to aggregate expressions."""
     keys = [keys] if isinstance(keys, str) else keys
-    return df.groupBy(*keys).agg(*[F.expr(f"{sql} AS {name}") for name, sql in columns.items()])
+    return df.groupBy(*keys).agg(*[F.expr(sql).alias(name) for name, sql in columns.items()])
 
 
 def add_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    return df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in columns.items()])
+    return df.select("*", *[F.expr(sql).alias(name) for name, sql in columns.items()])

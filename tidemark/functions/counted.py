@@ -46,14 +46,15 @@ def gap_counts(days: DataFrame, key: str, day: str, gap: str = "interval_days")
     """Days between consecutive rows per key, as counted rows (key, gap, n).
 
     Of the ``n`` rows on one day the first lies a whole gap after the previous
-    day (NULL for the first day); the others follow after 0 days.
+    day (NULL for the first day); the others follow after 0 days. Rows without
+    a day come first; gaps to or from them are NULL.
     """
     by_day = Window.partitionBy(key).orderBy(day)
     steps = days.withColumn("_step", F.datediff(day, F.lag(day).over(by_day)))
     one = F.lit(1).cast("bigint")
     pieces = F.array(
         F.struct(F.col("_step").alias(gap), one.alias("n")),
-        F.struct(F.lit(0).alias(gap), (F.col("n") - 1).alias("n")),
+        F.struct(F.when(F.col(day).isNotNull(), F.lit(0)).alias(gap), (F.col("n") - 1).alias("n")),
     )
     return steps.select(key, F.inline(pieces)).where(F.col("n") > 0)
 
@@ -72,11 +73,11 @@ def add_gap_median(df: DataFrame, days: str, rows: str, name: str) -> DataFrame:
     """Add the lower median of the days between consecutive rows of a key.
 
     ``days`` is an array of the key's distinct days, at most one per calendar
-    day; ``rows`` its number of rows. Rows sharing a day are 0 days apart;
+    day; ``rows`` its number of rows that have a day. Rows sharing a day are 0 days apart;
     those zeros sort before every gap between two days, so only their number
     matters.
     """
-    gaps = "sort_array(transform(slice(_days, 2, size(_days) - 1), (day, i) -> datediff(day, _days[i])))"
+    gaps = "sort_array(transform(slice(_days, 2, greatest(size(_days) - 1, 0)), (day, i) -> datediff(day, _days[i])))"
     zeros, middle = f"({rows} - size(_days))", f"({rows} div 2)"
     return (
         df.selectExpr("*", f"sort_array({days}) AS _days")

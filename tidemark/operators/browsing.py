@@ -94,7 +94,7 @@ def sessions_orders_ratio(sessions: DataFrame, facts: DataFrame, cut: date) -> D
     )
 
 
-def last_day_sessions(sessions: DataFrame, cut: date) -> DataFrame:
+def last_day_sessions(sessions: DataFrame, cut: date, active_days: int = ACTIVE_DAYS) -> DataFrame:
     """Sessions on the customer's last day within 180 days, as counted rows
     (customer_id, days_from_last_session, last_session_pages_viewed, n).
 
@@ -102,7 +102,7 @@ def last_day_sessions(sessions: DataFrame, cut: date) -> DataFrame:
     day with very many sessions reaches the ranking as few rows.
     """
     counted = (
-        sessions.where(within_last("session_date", cut, ACTIVE_DAYS))
+        sessions.where(within_last("session_date", cut, active_days))
         .groupBy("customer_id", "session_date", "pages_viewed")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -119,9 +119,9 @@ def last_day_sessions(sessions: DataFrame, cut: date) -> DataFrame:
     )
 
 
-def last_single_session(sessions: DataFrame, cut: date) -> DataFrame:
+def last_single_session(sessions: DataFrame, cut: date, active_days: int = ACTIVE_DAYS) -> DataFrame:
     """As ``last_day_sessions``, with only the highest session id of that day."""
-    active = sessions.where(within_last("session_date", cut, ACTIVE_DAYS))
+    active = sessions.where(within_last("session_date", cut, active_days))
     newest = [F.col("session_date").desc(), F.col("session_id").desc()]
     return top_rows(active, "customer_id", newest, 1).selectExpr(
         "customer_id",

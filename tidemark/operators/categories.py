@@ -24,6 +24,23 @@ def returned_names(category: str) -> tuple[str, str]:
     return f"{category.lower()}_items_returned", f"{category.lower()}_returned_total"
 
 
+def check_names(categories: Sequence[str]) -> None:
+    """Categories whose columns would have equal names are an error."""
+    names = [name for c in categories for name in (*kept_names(c), *returned_names(c))]
+    twice = sorted({name for name in names if names.count(name) > 1})
+    if twice:
+        raise ValueError(f"categories with equal column names: {twice}")
+
+
+def quoted(name: str) -> str:
+    """A column name as SQL, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def by_category(orders: DataFrame, items: DataFrame, products: DataFrame, cut: date) -> DataFrame:
     """Totals per (customer, category) over lines of known products.
 
@@ -81,13 +98,14 @@ def profile(totals: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFr
     Categories not in ``categories`` get no columns but their discounts count.
     The narrow rows are repartitioned before they become wide ones.
     """
+    check_names(categories)
     columns = {
         "return_lines": "sum(return_lines)",
         "discounted_items_total": "sum(discounted_lines)",
     }
     output = ["customer_id", "discounted_items_total"]
     for category in categories:
-        here = f"category = '{category}'"
+        here = f"category = {text_literal(category)}"
         items, spent = kept_names(category)
         back_items, back_total = returned_names(category)
         columns |= {
@@ -97,10 +115,10 @@ def profile(totals: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFr
             back_total: sum_or_zero(here, "back_cents"),
         }
         output += [
-            items,
-            f"{money(spent)} AS {spent}",
-            f"CASE WHEN return_lines > 0 THEN {back_items} END AS {back_items}",
-            f"CASE WHEN return_lines > 0 THEN {money(back_total)} END AS {back_total}",
+            quoted(items),
+            f"{money(quoted(spent))} AS {quoted(spent)}",
+            f"CASE WHEN return_lines > 0 THEN {quoted(back_items)} END AS {quoted(back_items)}",
+            f"CASE WHEN return_lines > 0 THEN {money(quoted(back_total))} END AS {quoted(back_total)}",
         ]
     return aggregate(totals.repartition("customer_id"), "customer_id", columns).selectExpr(*output)
 
@@ -108,14 +126,14 @@ def profile(totals: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFr
 def category_counts(totals: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
     """Kept items and spend per category over completed and returned orders."""
     names = [name for c in categories for name in kept_names(c)]
-    return profile(totals, categories).select("customer_id", *names)
+    return profile(totals, categories).select("customer_id", *map(quoted, names))
 
 
 def category_returns(totals: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
     """Returned items and value per category over returned orders."""
     names = [name for c in categories for name in returned_names(c)]
     returning = totals.where("return_lines > 0")
-    return profile(returning, categories).select("customer_id", *names)
+    return profile(returning, categories).select("customer_id", *map(quoted, names))
 
 
 def discount_stats(totals: DataFrame) -> DataFrame:

@@ -125,11 +125,14 @@ def order_profile(facts: DataFrame, last: date) -> DataFrame:
         counts
         | {
             "total_30_60": money(sum_if(f"n_lined > 0 AND {middle}", "kept_cents")),
-            "last_suc_order_total": money("max_by(last_cents, order_date)"),
+            # A customer with undated orders only has its last order among them.
+            "last_suc_order_total": money(
+                "CASE WHEN max(order_date) IS NULL THEN max(last_cents) ELSE max_by(last_cents, order_date) END"
+            ),
             "last_suc_date": "max(order_date)",
-            "earlier_value": money("sum(kept_cents) - max_by(kept_cents, order_date)"),
-            "earlier_orders": "sum(n_lined) - max_by(n_lined, order_date)",
-            "orders": "sum(n)",
+            "earlier_value": money("sum(kept_cents) - coalesce(max_by(kept_cents, order_date), 0)"),
+            "earlier_orders": "sum(n_lined) - coalesce(max_by(n_lined, order_date), 0)",
+            "orders": sum_if("order_date IS NOT NULL", "n"),
             "days": "collect_list(order_date)",
         },
     )
@@ -188,7 +191,7 @@ def session_profile(sessions: DataFrame, last: date) -> DataFrame:
         {
             "pages_last_60": sum_if(within_last("session_date", last, MIDDLE_DAYS), "pages_viewed"),
             "last_session_date": "max(session_date)",
-            "n_sessions": "count(1)",
+            "n_sessions": "count(session_date)",
             "days": "collect_set(session_date)",
         },
     )

@@ -13,7 +13,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from tidemark.functions.columns import add_columns, aggregate, line_cents, sum_or_zero
+from tidemark.functions.columns import add_columns, aggregate, day_literal, line_cents, sum_or_zero
 from tidemark.operators import asof
 from tidemark.schema import COMPLETED, RETURNED
 
@@ -43,14 +43,21 @@ def line_totals(items: DataFrame) -> DataFrame:
     )
 
 
-def order_facts(orders: DataFrame, items: DataFrame) -> DataFrame:
+def order_facts(orders: DataFrame, items: DataFrame, since: date | None = None) -> DataFrame:
     """One row per order: header, line totals and whether it was successful.
 
+    ``since``: only orders placed on or after this day, and only their lines;
+    Spark then keeps the others out of the scan's shuffle by a Bloom filter
+    where the tables are large.
+
     Statuses and return flags are as recorded, so that one such relation, kept
     as a table, serves every cut-off date and the label. Orders without lines
     stay, with ``n_lines`` 0. An order is successful if it is completed, or
     returned with at least one line kept.
     """
+    if since is not None:
+        orders = orders.where(f"order_date >= {day_literal(since)}")
+        items = items.join(orders.select("order_id"), "order_id", "left_semi")
     joined = orders.select(*HEADER).join(line_totals(items), "order_id", "left")
     sums = [f"coalesce({name}, 0) AS {name}" for pair in TOTALS.items() for name in pair]
     return add_columns(joined.selectExpr(*HEADER, *sums), {"is_successful": SUCCESSFUL})

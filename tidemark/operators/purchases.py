@@ -100,9 +100,11 @@ def derived() -> dict[str, str]:
     return columns
 
 
-def profile(facts: DataFrame, cut: date, recent_days: int = RECENT_DAYS) -> DataFrame:
+def profile(
+    facts: DataFrame, cut: date, recent_days: int = RECENT_DAYS, active_days: int = ACTIVE_DAYS
+) -> DataFrame:
     """All purchase signals, one row per customer with an order."""
-    flagged = add_columns(facts, flags(cut, recent_days))
+    flagged = add_columns(facts, flags(cut, recent_days, active_days))
     return add_columns(aggregate(flagged, "customer_id", aggregates()), derived())
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.functions.columns import day_literal, ratio
 from tidemark.functions.counted import expand_rows
@@ -83,6 +84,9 @@ def feature_matrix(
     per_line_days: bool = True,
     one_row_per_customer: bool = False,
     facts: DataFrame | None = None,
+    recent_days: int = purchases.RECENT_DAYS,
+    active_days: int = purchases.ACTIVE_DAYS,
+    last_orders: int = recent.LAST_K,
 ) -> DataFrame:
     """One row per customer registered before ``cut``, 98 columns by default.
 
@@ -90,7 +94,9 @@ def feature_matrix(
     cancellation once per line of that order. ``one_row_per_customer``: of
     several sessions on the last day keep the highest session id; otherwise
     the customer gets a row for each. ``facts``: order facts
-    kept as a table; without, lines are aggregated here.
+    kept as a table; without, lines are aggregated here. ``recent_days``,
+    ``active_days``, ``last_orders``: the windows and the number of last orders;
+    column names keep the usual 90, 180 and 3.
 
     Customers' orders and sessions are not semi-joined to the customers first:
     the final left joins drop what belongs to nobody.
@@ -101,23 +107,29 @@ def feature_matrix(
         facts = order_facts(shop.orders, shop.order_items)
     known = as_of(facts, cut)
 
-    totals = purchases.profile(known, cut)
+    totals = purchases.profile(known, cut, recent_days, active_days)
     spending = categories.profile(
         categories.by_category(
             asof.orders_before(shop.orders, cut), shop.order_items, shop.products, cut
         ),
         product_categories,
     )
-    newest = recent.profile(known, cut, per_line_days=per_line_days)
-    visits = browsing.profile(sessions, cut)
+    newest = recent.profile(known, cut, k=last_orders, per_line_days=per_line_days)
+    visits = browsing.profile(sessions, cut, active_days, recent_days)
     if one_row_per_customer:
-        last_visits = browsing.last_single_session(sessions, cut)
+        last_visits = browsing.last_single_session(sessions, cut, active_days)
     else:
-        last_visits = browsing.last_day_sessions(sessions, cut)
+        last_visits = browsing.last_day_sessions(sessions, cut, active_days)
 
-    joined = customers
-    for part in (totals, spending, newest, visits, last_visits):
-        joined = joined.join(part, "customer_id", "left")
+    wide = customers
+    for part in (totals, spending, newest, visits):
+        wide = wide.join(part, "customer_id", "left")
+    # Only the narrow rows of the last visits are multiplied and travel for it. They are the left side, which
+    # AQE can split where one customer has very many.
+    narrow = customers.select("customer_id").join(last_visits, "customer_id", "left")
+    if not one_row_per_customer:
+        narrow = expand_rows(narrow.withColumn("n", F.coalesce("n", F.lit(1))), "n")
+    joined = narrow.join(wide, "customer_id", "left")
     computed = {
         "account_age_days": f"datediff({day_literal(cut)}, registration_date)",
         "shopping_frequency": "1 / nullif(avg_interval, 0)",
@@ -126,10 +138,9 @@ def feature_matrix(
         "unsuccessful_orders_count_90d": "return_cancel_orders_count_90d",
         "sessions_to_succ_orders_180days": ratio("successful_orders_180", "total_180days_sessions"),
     }
-    columns = [
-        f"{computed[name]} AS {name}" if name in computed else name
-        for name in feature_columns(product_categories)
-    ]
-    if one_row_per_customer:
-        return joined.selectExpr(*columns)
-    return expand_rows(joined.selectExpr(*columns, "coalesce(n, 1) AS n_rows"), "n_rows")
+    return joined.selectExpr(
+        *[
+            f"{computed[name]} AS {name}" if name in computed else categories.quoted(name)
+            for name in feature_columns(product_categories)
+        ]
+    )

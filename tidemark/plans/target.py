@@ -36,11 +36,18 @@ def label(
 
 
 def engagement_target(
-    shop: Shop, cut: date, last: date, facts: DataFrame | None = None
+    shop: Shop,
+    cut: date,
+    last: date,
+    facts: DataFrame | None = None,
+    low_pages: int = LOW_PAGES,
+    large_order: int = LARGE_ORDER,
+    usual_days: int = USUAL_DAYS,
 ) -> DataFrame:
     """(customer_id, target) for customers registered before ``cut``, as of ``last``.
 
     ``facts``: order facts kept as a table; without, lines are aggregated here.
+    The thresholds are those of ``label``.
     """
     customers = asof.customers_before(shop.customers, cut).select("customer_id")
     if facts is None:
@@ -48,5 +55,5 @@ def engagement_target(
     return (
         customers.join(engagement.order_profile(facts, last), "customer_id", "left")
         .join(engagement.session_profile(shop.sessions, last), "customer_id", "left")
-        .selectExpr("customer_id", f"{label()} AS target")
+        .selectExpr("customer_id", f"{label(low_pages, large_order, usual_days)} AS target")
     )

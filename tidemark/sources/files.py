@@ -9,32 +9,55 @@ from pyspark.sql.types import StructType
 from tidemark.schema import TABLES
 from tidemark.shop import Shop
 
+#: Quotes inside a value are doubled, as most CSV readers and writers do.
+CSV_DIALECT = {"header": True, "quote": '"', "escape": '"'}
+
 
 def lowercase_columns(df: DataFrame) -> DataFrame:
-    return df.toDF(*[name.lower() for name in df.columns])
+    names = [name.lower() for name in df.columns]
+    if len(set(names)) < len(names):
+        raise ValueError(f"columns that differ by case only: {sorted(df.columns)}")
+    return df.toDF(*names)
+
 
+def mismatch(found: StructType, wanted: StructType) -> str | None:
+    """How the columns differ by name or type; None if they are the same in any order."""
+    have = {f.name: f.dataType.simpleString() for f in found.fields}
+    want = {f.name: f.dataType.simpleString() for f in wanted.fields}
+    wrong = [f"missing column {name}" for name in want if name not in have]
+    wrong += [f"unknown column {name}" for name in have if name not in want]
+    wrong += [f"{name} is {have[name]}, not {want[name]}" for name in want if name in have and have[name] != want[name]]
+    return "; ".join(wrong) or None
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, multi_line: bool = False) -> DataFrame:
     """CSV with a header row; column names become lower-case.
 
-    With a schema, columns are matched by name, in any order, and cast; a
-    missing column or an unreadable value is an error. Without, types are inferred,
-    which reads the data twice.
+    With a schema, columns are matched by name and cast; a missing column or an
+    unreadable value is an error. Without, types are inferred, which reads the
+    data twice. The columns may stand in any order, but all files of a folder
+    must have the same header; another one is an error. ``multi_line`` reads
+    values with line breaks; files can't be split then, so each is one task.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.options(**CSV_DIALECT, enforceSchema=False, multiLine=multi_line)
     if schema is None:
         return lowercase_columns(reader.option("inferSchema", True).csv(path))
     text = lowercase_columns(reader.csv(path))
     return text.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A Parquet table whose own columns are checked: one that is missing or of another type is an error."""
+    df = spark.read.parquet(path)
+    wrong = mismatch(df.select(*[c for c in df.columns if c in schema.names]).schema, schema)
+    if wrong:
+        raise ValueError(f"{path}: {wrong}")
+    return df.select(*schema.names)
+
+
 def read_shop(spark: SparkSession, root: str) -> Shop:
     """The five tables as Parquet below ``root``, one file or folder each."""
-    tables = {
-        name: spark.read.schema(schema).parquet(f"{root}/{name}.parquet")
-        for name, schema in TABLES.items()
-    }
-    return Shop(**tables)
+    return Shop(**{name: read_table(spark, f"{root}/{name}.parquet", schema) for name, schema in TABLES.items()})
 
 
 def read_shop_csv(spark: SparkSession, root: str) -> Shop:
@@ -47,7 +70,17 @@ def read_shop_csv(spark: SparkSession, root: str) -> Shop:
 
 def run_sql(spark: SparkSession, shop: Shop, text: str, **parameters) -> DataFrame:
     """Run a SQL text over the shop tables, with ``:name`` parameters (dates as
-    ``datetime.date``)."""
-    for name, df in shop.tables().items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text, args=parameters)
+    ``datetime.date``). Names are resolved at once; views that the session has by
+    the tables' names are put back afterwards."""
+    tables = shop.tables()
+    mine = {t.name for t in spark.catalog.listTables() if t.isTemporary and t.name in tables}
+    before = {name: spark.table(name) for name in mine}
+    try:
+        for name, df in tables.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(text, args=parameters)
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)
+        for name, df in before.items():
+            df.createOrReplaceTempView(name)

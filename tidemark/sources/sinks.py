@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from tidemark.sources.files import CSV_DIALECT, lowercase_columns, mismatch, read_csv
 
 
 @dataclass(frozen=True)
@@ -17,34 +20,83 @@ class Outcome:
     message: str
 
 
-def append_table(df: DataFrame, path: str) -> Outcome:
-    """Append to the Parquet table at ``path``; errors are reported, not raised."""
+def _failed(target: str, error: Exception) -> Outcome:
+    return Outcome(False, f"Error at {target}: {str(error) or type(error).__name__}")
+
+
+def _stored(spark: SparkSession, path: str) -> StructType | None:
+    """The schema of the Parquet table at ``path``; None if there is none yet."""
+    try:
+        return spark.read.parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def append_table(df: DataFrame, path: str, schema: StructType | None = None) -> Outcome:
+    """Append to the Parquet table at ``path``; errors are reported, not raised.
+
+    The columns must be those of the table (or, for a new one, of ``schema`` if
+    given) by name and type; otherwise nothing is written.
+    """
     try:
+        wanted = _stored(df.sparkSession, path) or schema
+        if wanted is not None:
+            wrong = mismatch(df.schema, wanted)
+            if wrong:
+                return Outcome(False, f"Error at {path}: {wrong}")
+            df = df.select(*wanted.names)
         df.write.mode("append").parquet(path)
     except Exception as error:  # whatever the storage or the query raises
-        reason = str(error).splitlines()[0]
-        return Outcome(False, f"Error at {path}: {reason}")
+        return _failed(path, error)
     return Outcome(True, f"Appended to {path}")
 
 
+def load_table(spark: SparkSession, name: str, csv_path: str, schema: StructType | None = None, multi_line: bool = False) -> Outcome:
+    """Append a CSV file or folder to a named table of the catalog, which is made if it doesn't exist.
+
+    Column names become lower-case. With a table or a ``schema`` columns are
+    matched by name and read by its types. Errors are reported, not raised.
+    """
+    try:
+        exists = spark.catalog.tableExists(name)
+        wanted = spark.table(name).schema if exists else schema
+        if wanted is not None:
+            text = lowercase_columns(spark.read.options(**CSV_DIALECT, multiLine=multi_line).csv(csv_path))
+            unknown = sorted(set(text.columns) - set(wanted.names))
+            if unknown:
+                return Outcome(False, f"Error at {name}: unknown columns {unknown}")
+        rows = read_csv(spark, csv_path, wanted, multi_line)
+        rows.write.mode("append").format("parquet").saveAsTable(name)
+    except Exception as error:  # whatever the storage, the catalog or a value raises
+        return _failed(name, error)
+    return Outcome(True, f"Loaded {csv_path} into {name}")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV files with a header, written in parallel by the executors."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV files with a header, written in parallel by the executors.
+
+    Values are kept as they are; only an empty text reads back as NULL.
+    """
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**CSV_DIALECT, **spaces).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's ``spark.checkpoint.dir``.
-
-    A machine-local folder is used only where the setting is missing and Spark
-    runs on one machine.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession, root: str | None = None) -> str:
+    """The name of a new folder below ``root``, or below the cluster's ``spark.checkpoint.dir``."""
+    root = root or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="tidemark-")
+        raise ValueError("name a folder that the whole cluster shares, or set spark.checkpoint.dir")
     return f"{root.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder by Spark's own file systems."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
