@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 from shops import CUT, LAST, edge_rows
 
-from tidemark import engagement_target, feature_matrix
+from tidemark import engagement_target, feature_matrix, job
+from tidemark.operators.facts import as_of, order_facts
 from tidemark.schema import ORDERS, SESSIONS, TABLES
-from tidemark.sources import files, sinks
+from tidemark.sources import facts_table, files, sinks
 
 
 def multiset(df):
@@ -187,3 +188,29 @@ def test_sql_leaves_the_sessions_views(spark, shop):
 def test_names_that_differ_by_case_only_are_an_error(spark):
     with pytest.raises(ValueError, match="case"):
         files.lowercase_columns(spark.range(1).selectExpr("id AS a", "id AS A"))
+
+
+def test_facts_table_is_read_by_month_and_checked(spark, shop, tmp_path):
+    facts = order_facts(shop.orders, shop.order_items)
+    path = str(tmp_path / "facts")
+    facts_table.write_facts(facts, path)
+    assert multiset(facts_table.read_facts(spark, path)) == multiset(facts)
+    early = facts_table.read_facts(spark, path, until=CUT)
+    assert multiset(as_of(early, CUT)) == multiset(as_of(facts, CUT))
+    assert early.count() < facts.count()
+    sinks.write_parquet(spark.read.parquet(path).drop("kept_cents"), str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="kept_cents"):
+        facts_table.read_facts(spark, str(tmp_path / "other"))
+
+
+@pytest.mark.parametrize("kind", ["parquet", "csv"])
+def test_job_writes_both_results(spark, shop, tmp_path, kind):
+    for name, df in shop.tables().items():
+        (sinks.write_csv if kind == "csv" else sinks.write_parquet)(df, str(tmp_path / "shop" / f"{name}.{kind}"))
+    out = str(tmp_path / "out")
+    given = ["--shop", str(tmp_path / "shop"), "--out", out, "--cut", CUT.isoformat(), "--last", LAST.isoformat()]
+    job.main([*given, *(["--csv"] if kind == "csv" else ["--facts", str(tmp_path / "facts")])])
+    matrix, target = feature_matrix(shop, CUT), engagement_target(shop, CUT, LAST)
+    read = (lambda path, df: files.read_csv(spark, path, df.schema)) if kind == "csv" else (lambda path, df: spark.read.parquet(path))
+    assert multiset(read(f"{out}/features", matrix)) == multiset(matrix)
+    assert multiset(read(f"{out}/target", target)) == multiset(target)
