@@ -2,28 +2,47 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Where spark.checkpoint.dir is unset (tests on one machine): one folder per process.
-_own: list[str] = []
+#: Folders of the applications this process has had, by their roots.
+_folders: dict[tuple[str, str], str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _own_root(spark: SparkSession) -> str:
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+    return tempfile.mkdtemp(prefix="tidemark-llm-")
+
+
 def folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not _own:
-            _own.append(tempfile.mkdtemp(prefix="tidemark-llm-"))
-        root = _own[0]
+    """A new folder below the cluster's ``spark.checkpoint.dir``.
+
+    All folders of an application lie in one, which goes when the process ends.
+    Only on one machine, as in tests, may the setting be missing.
+    """
     application = spark.sparkContext.applicationId
-    return f"{root.rstrip('/')}/tidemark-{application}/{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or ""
+    if (root, application) not in _folders:
+        path = f"{(root or _own_root(spark)).rstrip('/')}/tidemark-{application}"
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+        def remove() -> None:
+            with contextlib.suppress(Exception):  # the gateway may have ended before
+                files.delete(place, True)
+
+        atexit.register(remove)
+        _folders[root, application] = path
+    return f"{_folders[root, application]}/{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame) -> DataFrame:
