@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-_WORDS = r"""list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), x -> x <> '')"""
+_WORDS = r"""list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _OP5 = f"""
@@ -25,6 +25,31 @@ FROM documents d LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = d.doc_id
 """
 
+_OP8 = """
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+cuts AS (
+  SELECT doc_id, c, substr(h, 2 * c + 1, 1398) AS s, least(500, len(h) // 2 - 199 - c) AS n
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 199, 0), 500)) AS c FROM bytes)),
+strings AS (
+  SELECT doc_id, c + j AS i, hash(substr(s, 2 * j + 1, 400)) AS g FROM (SELECT doc_id, c, s, unnest(range(0, n)) AS j FROM cuts)),
+twice AS (SELECT g FROM strings GROUP BY g HAVING count(*) > 1),
+hits AS (SELECT doc_id, i FROM strings JOIN twice USING (g)),
+begun AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS new FROM hits),
+numbered AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM begun),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY doc_id, run),
+kept AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs),
+rest AS (
+  SELECT k.doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS ending,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+  FROM kept k JOIN bytes USING (doc_id) GROUP BY k.doc_id)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head || substr(h, 2 * ending + 1), h))) AS kept_sha256
+FROM bytes d LEFT JOIN rest USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op5_ngram_join": _OP5,
+    "op8_repeats": _OP8,
 }
