@@ -209,7 +209,7 @@ def test_job_writes_both_results(spark, shop, tmp_path, kind):
         (sinks.write_csv if kind == "csv" else sinks.write_parquet)(df, str(tmp_path / "shop" / f"{name}.{kind}"))
     out = str(tmp_path / "out")
     given = ["--shop", str(tmp_path / "shop"), "--out", out, "--cut", CUT.isoformat(), "--last", LAST.isoformat()]
-    job.main([*given, *(["--csv"] if kind == "csv" else ["--facts", str(tmp_path / "facts")])])
+    job.main([*given, *(["--csv"] if kind == "csv" else ["--facts", str(tmp_path / "facts")])], spark)
     matrix, target = feature_matrix(shop, CUT), engagement_target(shop, CUT, LAST)
     read = (lambda path, df: files.read_csv(spark, path, df.schema)) if kind == "csv" else (lambda path, df: spark.read.parquet(path))
     assert multiset(read(f"{out}/features", matrix)) == multiset(matrix)

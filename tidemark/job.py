@@ -13,13 +13,15 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from pyspark.sql import SparkSession  # noqa: E402
+
 from tidemark import engagement_target, feature_matrix  # noqa: E402
 from tidemark.operators.facts import order_facts  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 from tidemark.sources import facts_table, files, sinks  # noqa: E402
 
 
-def main(arguments: list[str] | None = None) -> None:
+def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--shop", required=True, help="folder of the five tables")
     parser.add_argument("--out", required=True, help="folder of the results")
@@ -29,7 +31,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--facts", help="folder to keep the order facts in, for further days")
     given = parser.parse_args(arguments)
 
-    spark = build_session("customer signals")
+    spark = spark or build_session("customer signals")
     shop = (files.read_shop_csv if given.csv else files.read_shop)(spark, given.shop)
     write = sinks.write_csv if given.csv else sinks.write_parquet
     facts = None
