@@ -33,9 +33,9 @@ from tidemark.llm.trees import Trees, fit_isotonic, fit_trees
 #: Most labelled rows read for learning.
 SAMPLE = 40_000
 #: Most entries of the lexicon, its least support in distinct toxic texts, and its least log odds ratio.
-LEXICON, SUPPORT, ODDS = 20_000, 8, 2.5
+LEXICON, SUPPORT, ODDS = 20_000, 4, 2.5
 #: Lengths in bytes of the word beginnings that the lexicon holds besides whole words.
-BEGINNINGS = (4, 5)
+BEGINNINGS = (4, 6, 8)
 #: Words between a lexicon word and a second-person word that count as near.
 NEAR = 5
 #: Of this many parts of the labelled rows one calibrates; the others fit the trees.
