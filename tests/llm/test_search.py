@@ -57,6 +57,34 @@ def test_edited_passages_by_similarity():
     assert set(found) == {(0, 8)} and found[0, 8][0] == pytest.approx((146 - 5) / (146 + 5))
 
 
+def brute_best(item: str, doc: str) -> float:
+    """Weighted Jaccard similarity of the best of all windows of the item's length, one by one."""
+    cut = lambda t: [tuple(w[k : k + 5]) for w in [t.lower().split()] for k in range(max(len(w) - 4, 1))]
+    mine, theirs = cut(item), cut(doc)
+    best = 0.0
+    for k in range(max(len(theirs) - len(mine), 0) + 1):
+        a, b = Counter(mine), Counter(theirs[k : k + len(mine)])
+        best = max(best, (a & b).total() / (a | b).total())
+    return best
+
+
+def test_no_passage_from_the_bound_on_is_lost():
+    draw = random.Random(5)
+    items, docs = [], []
+    for k in range(300):
+        words = text(20_000 + k, draw.choice([9, 16, 25, 49, 50, 58, 59, 70, 100])).split()
+        if k % 10 == 0:
+            words = (words[:6] * 12)[:50]  # shingles that occur again and again
+        items.append(" ".join(words))
+        for _ in range(draw.choice([0, 1, 1, 1, 2])):
+            words[draw.randrange(len(words))] = "edited"
+        docs.append(" ".join([text(1, draw.randrange(40)), *words[draw.choice([0, 0, 0, 4]) :], text(2, draw.randrange(40))]))
+    expected = {(k, k): brute_best(i, d) for k, (i, d) in enumerate(zip(items, docs, strict=True))}
+    found = decontaminate.Index(items).matches(pa.array(docs))
+    assert {p: s for p, (s, _) in found.items()} == pytest.approx({p: s for p, s in expected.items() if s >= decontaminate.LINK})
+    assert sum(0.8 <= s < 0.87 for s in expected.values()) > 30 and sum(s < 0.8 for s in expected.values()) > 30
+
+
 def test_matches_and_clean_documents(spark, benchmark, odd, nothing, clashing, monkeypatch):
     docs = spark.createDataFrame([(k, f"{text(k, 40)} {t} {text(k + 50, 9)}") for k, t in ITEMS] + [(100 + k, text(k, 60)) for k in range(30)], "doc_id long, text string")
     expected = [(k, k) for k in range(1, len(ITEMS))]

@@ -1,4 +1,4 @@
-"""Benchmark passages in documents: SimHash of item-sized windows, then an exact check.
+"""Benchmark passages in documents: SimHash of item-sized windows and rare shingles, then an exact check.
 
 Each benchmark item gives fingerprints of a window that covers most of it, one
 for each of the ``stride`` first places where the window can begin. Documents are
@@ -6,10 +6,16 @@ read at every ``stride``-th place with the same window, so a passage that holds
 the item is met at one of these places by the very same words. A fingerprint
 has 64 bits in four blocks of 16: two fingerprints that differ in at most
 ``RADIUS`` bits differ in at most ``RADIUS // 4`` bits of some block, so looking
-up each block's near values finds all pairs within the radius. Pairs found are
-verified: the window of the item's whole length, moved by a few words, must reach
-a weighted Jaccard similarity of ``LINK`` on shingles, each weighted by how
-often it occurs.
+up each block's near values finds all pairs within the radius.
+
+Edits move fingerprints further apart, and a window covers only a part of a long
+item, so each item is also looked up by shingles: a text with a similarity of
+``LINK`` lacks at most 1 - LINK of the item's shingles, and any one more than that, here
+those that fewest items have, hold one that the text has. No passage is lost.
+
+Documents and items found are verified: of all the document's windows of the
+item's whole length the best one must reach a weighted Jaccard similarity of
+``LINK`` on shingles, each weighted by how often it occurs.
 
 Documents are never shuffled. The benchmark is broadcast in blocks of bounded
 size; a larger one takes one pass over the documents for each block.
@@ -37,8 +43,6 @@ WORDS = 5
 LINK = 0.8
 #: Differing bits up to which all pairs of fingerprints are found.
 RADIUS = 11
-#: Words by which a verified window may be moved against the place found.
-SHIFT = 3
 #: Longest window in shingles; of longer items a window covers a part.
 LONGEST = 255
 #: Most items, and characters of items, that are broadcast at once (a longer item alone).
@@ -129,11 +133,15 @@ class Index:
     """The items of one block, ready for look-up."""
 
     def __init__(self, texts: list[str | None]) -> None:
-        self.shingles = []
         values, begin = flat.shingles(*flat.words(pa.array(texts, pa.string()), lower=True), WORDS)
+        #: All shingles of the items; an item's distinct ones are places in it, with their number and first place in the item.
+        self.known, place = np.unique(values, return_inverse=True)
+        self.items = [np.unique(place[a:b], return_index=True, return_counts=True) for a, b in zip(begin[:-1], begin[1:], strict=True)]
+        self.some = np.zeros(1 << 22, bool)
+        self.some[self.known >> np.uint64(42)] = True
+        self._anchor()
         sizes: dict[int, _Size] = {}
         for item, (a, b) in enumerate(zip(begin[:-1], begin[1:], strict=True)):
-            self.shingles.append(np.unique(values[a:b], return_counts=True))
             if a == b:
                 continue
             length, stride = window_of(b - a)
@@ -144,13 +152,76 @@ class Index:
         for size in self.sizes:
             size.close()
 
-    def similarity(self, item: int, window: np.ndarray) -> float:
-        """Weighted Jaccard similarity of an item and a window, shingles weighted by their number."""
-        mine, count = self.shingles[item]
-        theirs, others = np.unique(window, return_counts=True)
-        _, i, j = np.intersect1d(mine, theirs, assume_unique=True, return_indices=True)
-        both = np.minimum(count[i], others[j]).sum()
-        return float(both / (count.sum() + others.sum() - both))
+    def _anchor(self) -> None:
+        """The items that each known shingle leads to: of each item so many shingles that no match lacks them all."""
+        holders = np.bincount(np.concatenate([np.zeros(0, np.int64), *[places for places, _, _ in self.items]]), minlength=len(self.known))
+        leads, items = [], []
+        for item, (places, _, count) in enumerate(self.items):
+            order = np.lexsort((places, holders[places]))
+            n = int(count.sum())
+            spare = n - math.ceil(LINK * n - 1e-9)
+            taken = order[: np.searchsorted(np.cumsum(count[order]), spare, "right") + 1]
+            leads.append(places[taken])
+            items.append(np.full(len(taken), item))
+        lead = np.concatenate([np.zeros(0, np.int64), *leads])
+        order = np.argsort(lead, kind="stable")
+        self.lead = np.searchsorted(lead[order], np.arange(len(self.known) + 1))
+        self.led = np.concatenate([np.zeros(0, np.int64), *items])[order]
+
+    def _led(self, row: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """row * items + item, for the items that these known shingles of the rows lead to."""
+        pairs = np.unique(row * len(self.known) + place)
+        row, place = pairs // len(self.known), pairs % len(self.known)
+        count = self.lead[place + 1] - self.lead[place]
+        out = [np.zeros(0, np.int64)]
+        for part in np.array_split(np.flatnonzero(count), max(1, int(count.sum()) >> 20)):
+            total = count[part]
+            at = np.repeat(self.lead[place[part]] - (np.cumsum(total) - total), total) + np.arange(total.sum())
+            out.append(np.unique(np.repeat(row[part], total) * len(self.items) + self.led[at]))
+        return np.concatenate(out)
+
+    def _near(self, values: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """row * items + item, for all windows and fingerprints within the radius."""
+        counts, sizes = _bits(values), np.diff(begin)
+        out = [np.zeros(0, np.int64)]
+        for size in self.sizes:
+            places = np.maximum((sizes - size.length) // size.stride + 1, 0) * (sizes >= size.length)
+            row = np.repeat(np.arange(len(sizes)), places)
+            at = begin[:-1][row] + (np.arange(len(row)) - np.repeat(np.cumsum(places) - places, places)) * size.stride
+            window, other = size.found(_fingerprints(counts, at, size.length))
+            out.append(row[window] * len(self.items) + size.item[other])
+        return np.concatenate(out)
+
+    def best(self, item: int, at: np.ndarray, place: np.ndarray, size: int) -> tuple[float, int]:
+        """Best weighted Jaccard similarity of an item and a window of its length, and where the window begins.
+
+        The text has ``size`` shingles, the known ones among them ``at`` these places.
+        A text that is shorter than the item is one window.
+        """
+        mine, first, count = self.items[item]
+        length = int(count.sum())
+        k = np.minimum(np.searchsorted(mine, place), len(mine) - 1)
+        at, k = at[mine[k] == place], k[mine[k] == place]
+        if not len(at):
+            return 0.0, 0
+        # An occurrence counts in windows that hold it and fewer than ``count`` earlier ones of its shingle.
+        order = np.lexsort((at, k))
+        at, k = at[order], k[order]
+        back = np.arange(len(at)) - count[k]
+        after = np.where((back >= 0) & (k[back] == k), at[back] + 1, 0)
+        low, high = np.maximum(after, at - length + 1), np.minimum(at, max(size - length, 0))
+        low, high = np.maximum(low[low <= high], 0), high[low <= high]
+        starts, which = np.unique(np.concatenate([low, high + 1]), return_inverse=True)
+        both = np.cumsum(np.bincount(which[: len(low)], minlength=len(starts)) - np.bincount(which[len(low) :], minlength=len(starts)))
+        top = int(both.argmax())
+        share = float(both[top] / (length + min(length, size) - both[top]))
+        last = top
+        while both[last + 1] == both[top]:
+            last += 1
+        # Of equally good windows the one that the first common shingle stands in as it does in the item.
+        inside = np.flatnonzero(at >= starts[top])
+        lead = inside[at[inside].argmin()]
+        return share, int(min(max(at[lead] - first[k[lead]], starts[top]), starts[last + 1] - 1))
 
     def matches(self, column: pa.Array) -> dict[tuple[int, int], tuple[float, int]]:
         """(row, item): best similarity of at least LINK, and the window's first word."""
@@ -158,22 +229,17 @@ class Index:
         best: dict[tuple[int, int], tuple[float, int]] = {}
         if not len(values) or not self.sizes:
             return best
-        counts, sizes = _bits(values), np.diff(begin)
-        for size in self.sizes:
-            places = np.maximum((sizes - size.length) // size.stride + 1, 0) * (sizes >= size.length)
-            row = np.repeat(np.arange(len(sizes)), places)
-            at = begin[:-1][row] + (np.arange(len(row)) - np.repeat(np.cumsum(places) - places, places)) * size.stride
-            window, other = size.found(_fingerprints(counts, at, size.length))
-            seen = {(int(row[w]), int(size.item[o]), int(at[w] - size.offset[o])) for w, o in zip(window, other, strict=True)}
-            for r, item, start in sorted(seen):
-                if best.get((r, item), (0.0, 0))[0] >= 1.0:
-                    continue
-                length = int(self.shingles[item][1].sum())
-                for move in sorted(range(-SHIFT, SHIFT + 1), key=abs):
-                    first = min(max(start + move, int(begin[r])), max(int(begin[r + 1]) - length, int(begin[r])))
-                    share = self.similarity(item, values[first : min(first + length, int(begin[r + 1]))])
-                    if share >= LINK and share > best.get((r, item), (0.0, 0))[0]:
-                        best[r, item] = (share, first - int(begin[r]))
+        at = np.flatnonzero(self.some[values >> np.uint64(42)])
+        place = np.minimum(np.searchsorted(self.known, values[at]), len(self.known) - 1)
+        same = self.known[place] == values[at]
+        at, place = at[same], place[same]
+        row = np.searchsorted(begin, at, "right") - 1
+        for pair in np.unique(np.concatenate([self._led(row, place), self._near(values, begin)])).tolist():
+            r, item = divmod(pair, len(self.items))
+            a, b = np.searchsorted(row, [r, r + 1])
+            share, start = self.best(item, at[a:b] - begin[r], place[a:b], int(begin[r + 1] - begin[r]))
+            if share >= LINK:
+                best[r, item] = (share, start)
         return best
 
 
