@@ -85,6 +85,19 @@ def test_no_passage_from_the_bound_on_is_lost():
     assert sum(0.8 <= s < 0.87 for s in expected.values()) > 30 and sum(s < 0.8 for s in expected.values()) > 30
 
 
+def test_long_items_are_met_by_any_of_their_parts():
+    items, docs = [], []
+    for k in range(40):
+        words = text(60_000 + k, 604).split()
+        items.append(" ".join(words))
+        at, n = 59 + k, (58, 45, 30, 20)[k % 4]
+        edited = [*words[:at], *(f"other{k}x{i}" for i in range(n)), *words[at + n :]]
+        docs.append(" ".join([text(1, k), *edited, text(2, 40)]) if k < 20 else " ".join(words[100:]))  # or a copy without its beginning
+    found = decontaminate.Index(items).matches(pa.array(docs))
+    assert set(found) == {(k, k) for k in range(40)}
+    assert all(found[k, k][0] == pytest.approx(brute_best(items[k], docs[k])) for k in range(0, 40, 7))
+
+
 def test_matches_and_clean_documents(spark, benchmark, odd, nothing, clashing, monkeypatch):
     docs = spark.createDataFrame([(k, f"{text(k, 40)} {t} {text(k + 50, 9)}") for k, t in ITEMS] + [(100 + k, text(k, 60)) for k in range(30)], "doc_id long, text string")
     expected = [(k, k) for k in range(1, len(ITEMS))]
