@@ -122,6 +122,22 @@ def test_terms_that_give_an_entity_away(spark):
     assert clean[100] == docs[6][1] and "[EMAIL]" in clean[203]
 
 
+def test_terms_are_looked_for_in_whole_texts(spark):
+    docs = [(k, f"Zorvax {text(k, 60)} mail ann@example.org {text(k + 500, 60)} zorvax, ZORVAX") for k in range(4)]
+    # All with the same surroundings of the address.
+    docs += [(50 + k, f"{text(k + 300, 30)} Quillon {text(77, 20)} bob@example.com {text(78, 20)}") for k in range(4)]
+    docs += [(100 + k, f"{text(k + 900, 40)} mail ") for k in range(60)] + [(99, f"zorva xzorvax {text(990, 9)}"), (98, "eve@example.net Quark"), (97, "eve@example.net Quark 1")]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    found = pii.find(rows)
+    no_python(found)
+    cut = {r["doc_id"]: [dict(docs)[r["doc_id"]][s["start"] : s["end"]] for s in sorted(r["more"])] for r in found.collect()}
+    assert all(cut[k] == ["Zorvax", "zorvax", "ZORVAX"] for k in range(4))
+    assert all("Quillon" in cut[50 + k] for k in range(4))
+    assert all(cut[k] == [] for k in (*range(97, 160),))
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitised(rows).collect()}
+    assert "zorvax" not in clean[0].lower() and "[EMAIL]" in clean[0] and clean[99] == dict(docs)[99]
+
+
 def test_sanitised_on_odd_rows(odd, nothing, clashing):
     texts = lambda df: sorted(str((r["doc_id"], r["text"])) for r in df.collect())
     assert texts(pii.sanitised(odd)) == texts(odd)

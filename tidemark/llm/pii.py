@@ -1,16 +1,17 @@
 """Personal data, and the terms that give it away.
 
 Entities are found by pattern: mail addresses, IP addresses, payment cards
-that pass the Luhn check, and phone numbers in international form. Terms near
-an entity are then judged by what the corpus knows: a term discloses an entity
-if their pointwise mutual information reaches a share of the entity's own
-information, log2(N / texts with the entity), and if enough different
-contexts show them together. Disclosing terms are spans of kind ``term``; in the
-sanitised text they are generalised, or removed where they reveal nearly all.
-
-Equal surroundings count once, so copies of a text are no evidence. All work on
-texts is DataFrame expressions; terms are counted over all documents, summed
-before they are shuffled.
+that pass the Luhn check, and phone numbers in international form. Terms of
+the texts that hold an entity are then judged by what the corpus knows: a term
+discloses an entity if their pointwise mutual information reaches a share of the
+entity's own information, log2(N / texts with the entity), and if at least
+``SUPPORT`` different texts hold both. Disclosing terms are spans of kind ``term``,
+at each of their places in the texts that hold the entity; in the sanitised text they
+are generalised, or removed where they reveal nearly all.
+
+Entities, terms, both together and N are counted over different texts, so copies
+of a text are no evidence and hide none. All work on texts is DataFrame
+expressions; terms are counted over all documents, summed before they are shuffled.
 
 Defined cases: null and empty texts have no spans (a null text stays null);
 rows with equal id and text get equal results; an id may be null.
@@ -18,7 +19,7 @@ rows with equal id and text get equal results; an id may be null.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.spans import listed, matches, replaced, sha256, tagged
@@ -32,9 +33,7 @@ CARD = r"[0-9](?:[\x20-]?[0-9]){13,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 TERM = r"[\p{L}\p{N}]{3,}"
-#: Characters on either side of an entity in which terms are looked for.
-CONTEXT = 60
-#: Different contexts that must show a term with an entity.
+#: Different texts that must hold a term and an entity.
 SUPPORT = 3
 #: Shares of the entity's information from which a term is generalised, and removed.
 DISCLOSES, REVEALS = 0.8, 0.95
@@ -55,31 +54,22 @@ def entities(text: Column) -> Column:
     return F.concat(tagged(matches(text, EMAIL), "email", 0), tagged(ip, "ip", 1), tagged(card, "card", 2), tagged(phone, "phone", 3))
 
 
-def _near(rows: DataFrame) -> DataFrame:
-    """(id, key, entity, context, term, start, end) for every term near an entity."""
-    text, span = F.col("text"), F.col("span")
-    left = F.greatest(span["start"] - CONTEXT, F.lit(0))
-    sides = rows.select(
-        "id", "key", F.xxhash64(span["kind"], span["value"]).alias("entity"),
-        F.struct(left.alias("at"), F.substring(text, left + 1, span["start"] - left).alias("text")).alias("left"),
-        F.struct(span["end"].alias("at"), F.substring(text, span["end"] + 1, F.lit(CONTEXT)).alias("text")).alias("right"),
-    )
-    sides = sides.withColumn("context", F.xxhash64("left.text", "right.text")).select("id", "key", "entity", "context", F.explode(F.array("left", "right")).alias("side"))
-    terms = sides.select("id", "key", "entity", "context", "side.at", F.explode(matches(F.col("side.text"), TERM)).alias("m"))
-    return terms.select(
-        "id", "key", "entity", "context", F.lower("m.value").alias("term"), (F.col("at") + F.col("m.start")).alias("start"), (F.col("at") + F.col("m.end")).alias("end")
-    )
+def _terms(text: Column) -> Column:
+    """The different terms of a text, in small letters."""
+    return F.array_distinct(F.transform(F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: F.char_length(w) >= 3), F.lower))
+
 
+def _together(held: DataFrame) -> DataFrame:
+    """(key, entity, term) for all terms of the texts (key, text, entities)."""
+    return held.select("key", F.explode("entities").alias("entity"), _terms(F.col("text")).alias("terms")).select("key", "entity", F.explode("terms").alias("term"))
 
-def _disclosing(docs: DataFrame, near: DataFrame) -> DataFrame:
-    """(entity, term, share) of the terms that disclose an entity."""
-    together = (
-        near.groupBy("entity", "term", "context").agg(F.lit(1).alias("one"))
-        .groupBy("entity", "term").agg(F.count("one").alias("both")).where(F.col("both") >= SUPPORT)
-    )
-    with_entity = near.groupBy("entity", "context").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("one").alias("n_entity"))
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("term"))
-    with_term = words.where(F.char_length("term") >= 3).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+
+def _disclosing(docs: DataFrame, held: DataFrame) -> DataFrame:
+    """(entity, term, share) of the terms that disclose an entity; ``held`` are texts with entities that enough texts hold."""
+    together = _together(held).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= SUPPORT)
+    with_entity = held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    words = docs.select(F.explode(_terms(F.col("text"))).alias("term"))
+    with_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     total = docs.count()
     joined = together.join(with_entity, "entity").join(with_term, "term")
     own = F.log2(F.lit(float(max(total, 2))) / F.col("n_entity"))
@@ -87,6 +77,17 @@ def _disclosing(docs: DataFrame, near: DataFrame) -> DataFrame:
     return joined.where(own > 0).select("entity", "term", (shared / own).alias("share")).where(F.col("share") >= DISCLOSES)
 
 
+def _places(held: DataFrame, told: DataFrame) -> DataFrame:
+    """(key, start, end, share) for every place of the terms ``told`` (key, term, share) in their texts."""
+    texts = held.join(told.select("key").distinct(), "key", "left_semi")
+    parts = F.arrays_zip(F.split("text", TERM, -1).alias("between"), F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("value"))
+    parts = texts.select("key", F.posexplode(parts).alias("at", "part")).select("key", "at", "part.between", "part.value")
+    size = F.char_length("between") + F.coalesce(F.char_length("value"), F.lit(0))
+    ends = parts.withColumn("end", F.sum(size).over(Window.partitionBy("key").orderBy("at")).cast("int"))
+    found = ends.withColumn("term", F.lower("value")).join(told, ["key", "term"])
+    return found.select("key", (F.col("end") - F.char_length("value")).alias("start"), "end", "share")
+
+
 def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, key, base, more): entities, and disclosing terms with their share; one row for each row of ``docs``.
 
@@ -94,16 +95,25 @@ def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     """
     plain = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     found = plain.select("id", F.xxhash64("text").alias("key"), entities(F.col("text")).alias("base"), "text")
-    # Texts are kept only where an entity was found, for the terms around it.
+    # Texts are kept only where an entity was found, for their terms.
     rows = written(found.withColumn("text", F.when(F.size("base") > 0, F.col("text"))))
-    held = rows.where(F.size("base") > 0).select("id", "key", "text", F.explode("base").alias("span"))
-    near = written(_near(held))
-    shares = _disclosing(plain, near)
+    names = F.array_distinct(F.transform("base", lambda s: F.xxhash64(s["kind"], s["value"])))
+    held = rows.where(F.size("base") > 0).groupBy("key").agg(F.first("text").alias("text"), F.first(names).alias("entities"))
+    # Only entities that enough texts hold can have a disclosing term.
+    known = written(held.select("key", F.explode("entities").alias("entity")))
+    enough = known.groupBy("entity").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SUPPORT).select("entity")
+    known = known.join(enough, "entity").groupBy("key").agg(F.collect_list("entity").alias("entities"))
+    held = written(held.drop("entities").join(known, "key"))
+    shares = written(_disclosing(plain, held))
+    told = _together(held).join(shares, ["entity", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
+    places = _places(held, written(told))
     term = F.struct(F.col("start"), F.lit(len(KINDS)).alias("order"), F.col("end"), F.lit("term").alias("kind"), F.col("share"))
-    more = near.join(shares, ["entity", "term"]).groupBy("id", "key").agg(F.collect_set(term).alias("more"))
-    joined = rows.drop("text").alias("r").join(more.alias("m"), F.col("r.id").eqNullSafe(F.col("m.id")) & (F.col("r.key") == F.col("m.key")), "left")
+    more = places.groupBy("key").agg(F.collect_list(term).alias("more"))
+    joined = rows.drop("text").join(more, "key", "left")
+    # A term inside an entity goes with it.
+    apart = F.filter("more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
     empty = F.array().cast(more.schema["more"].dataType)
-    return joined.select(F.col("r.id").alias(id_column), F.col("r.key").alias("key"), "base", F.coalesce("more", empty).alias("more"))
+    return joined.select(F.col("id").alias(id_column), "key", "base", F.coalesce(apart, empty).alias("more"))
 
 
 def _plain(spans: Column | str) -> Column:
