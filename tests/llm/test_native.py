@@ -138,6 +138,14 @@ def test_terms_are_looked_for_in_whole_texts(spark):
     assert "zorvax" not in clean[0].lower() and "[EMAIL]" in clean[0] and clean[99] == dict(docs)[99]
 
 
+def test_copies_hide_no_disclosing_term(spark):
+    docs = [f"{text(k, 30)} Zorvax mail ann@example.org {text(k + 500, 30)}" for k in range(5)] * 20
+    docs += [f"{text(k + 900, 20)} mail" for k in range(300)]
+    found = pii.find(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()
+    cut = {r["doc_id"]: {docs[r["doc_id"]][s["start"] : s["end"]]: s["share"] for s in r["more"]} for r in found}
+    assert len(found) == len(docs) and all(cut[k] == {"Zorvax": pytest.approx(1.0)} for k in range(100))
+
+
 def test_sanitised_on_odd_rows(odd, nothing, clashing):
     texts = lambda df: sorted(str((r["doc_id"], r["text"])) for r in df.collect())
     assert texts(pii.sanitised(odd)) == texts(odd)

@@ -65,12 +65,13 @@ def _together(held: DataFrame) -> DataFrame:
 
 
 def _disclosing(docs: DataFrame, held: DataFrame) -> DataFrame:
-    """(entity, term, share) of the terms that disclose an entity; ``held`` are texts with entities that enough texts hold."""
+    """(entity, term, share) of the terms that disclose an entity, over the different ones of ``docs`` (key, text); ``held`` are texts with entities that enough texts hold."""
     together = _together(held).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= SUPPORT)
     with_entity = held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    words = docs.select(F.explode(_terms(F.col("text"))).alias("term"))
-    with_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = docs.count()
+    # Copies of a text are one before their terms are counted.
+    different = docs.groupBy("key").agg(F.first(_terms(F.col("text"))).alias("terms"))
+    with_term = different.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    total = docs.select("key").distinct().count()
     joined = together.join(with_entity, "entity").join(with_term, "term")
     own = F.log2(F.lit(float(max(total, 2))) / F.col("n_entity"))
     shared = F.log2(F.col("both") * float(max(total, 2)) / (F.col("n_entity") * F.greatest("n_term", "both")))
@@ -104,7 +105,7 @@ def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     enough = known.groupBy("entity").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SUPPORT).select("entity")
     known = known.join(enough, "entity").groupBy("key").agg(F.collect_list("entity").alias("entities"))
     held = written(held.drop("entities").join(known, "key"))
-    shares = written(_disclosing(plain, held))
+    shares = written(_disclosing(plain.select(F.xxhash64("text").alias("key"), "text"), held))
     told = _together(held).join(shares, ["entity", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
     places = _places(held, written(told))
     term = F.struct(F.col("start"), F.lit(len(KINDS)).alias("order"), F.col("end"), F.lit("term").alias("kind"), F.col("share"))
