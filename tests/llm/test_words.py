@@ -73,6 +73,27 @@ def test_similar_documents_with_all_groups_compared_blockwise(spark, monkeypatch
     check_similar(spark, near_copies(2, groups=6))
 
 
+def test_blocks_of_short_texts_hold_few_classes_and_only_sizes_that_can_link(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 50)
+    sizes = [5 + k % 60 for k in range(600)]
+    groups = spark.createDataFrame([(7, k, n) for k, n in enumerate(sizes)], "token long, cls long, n int")
+    texts = spark.createDataFrame([(k, f"text {k}") for k in range(600)], "cls long, text string")
+    met = {}
+    for r in ngram_join._dealt(groups, texts, (85, 100)).collect():
+        met.setdefault((r["low"], r["high"]), set()).add(r["cls"])
+    assert max(len(m) for m in met.values()) <= 200
+    together = {(a, b) for m in met.values() for a in m for b in m}
+    assert all((a, b) in together for a in range(600) for b in range(600) if 100 * min(sizes[a], sizes[b]) >= 85 * max(sizes[a], sizes[b]))
+    assert (0, 59) not in together and sum(len(m) for m in met.values()) < 600 * 12
+
+
+def test_similar_documents_in_blocks_of_few_classes(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "MOST_PAIRS", 0)
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 4)
+    monkeypatch.setattr(ngram_join, "STRIP", 3)
+    check_similar(spark, near_copies(3, groups=6))
+
+
 def test_similar_documents_on_odd_rows(odd, nothing, clashing):
     rows = ngram_join.similar_documents(odd).collect()
     assert len(rows) == odd.count()

@@ -49,8 +49,10 @@ VERIFY_COST = 0.1
 
 #: Pairs up to which the classes of a shingle's group are paired one by one.
 MOST_PAIRS = 4096
-#: Bytes of text in a block of a hot cluster.
-BLOCK_BYTES = 1 << 21
+#: Bytes of text, and classes, in a block of a hot cluster.
+BLOCK_BYTES, BLOCK_CLASSES = 1 << 21, 2000
+#: Rows of a matrix that are worked on at once.
+STRIP = 512
 
 
 def least_overlap(n: int | np.ndarray, link: tuple[int, int]):
@@ -278,25 +280,43 @@ def _remaining(rows: DataFrame, texts: DataFrame, words: int, link: tuple[int, i
         .select("a", "b")
     )
     found = _links(written(pairs), texts, words, link)
-    groups = tagged.where("hot").select("token", "cls").distinct()
+    groups = tagged.where("hot").select("token", "cls", "n").distinct()
     return found if groups.isEmpty() else found.union(_blockwise(groups, texts, words, link))
 
 
 def _blockwise(groups: DataFrame, texts: DataFrame, words: int, link: tuple[int, int]) -> DataFrame:
-    """Links that connect what all links among the classes of hot groups (token, cls) connect.
+    """Links that connect what all links among the classes of hot groups (token, cls, n) connect.
 
-    Groups that share classes form a cluster. A cluster's texts are dealt into
-    blocks of bounded size, and every two blocks of it meet in a task of their
-    own, which compares their sets as matrices and gives a spanning forest.
+    Every two blocks that meet do so in a task of their own, which compares
+    their sets as matrices and gives a spanning forest.
+    """
+    return _dealt(groups, texts, link).groupBy("cluster", "low", "high").applyInArrow(_forest(words, link), "a long, b long")
+
+
+def _dealt(groups: DataFrame, texts: DataFrame, link: tuple[int, int]) -> DataFrame:
+    """(cluster, low, high, cls, text): the classes of each two blocks that must meet.
+
+    Groups that share classes form a cluster. A cluster of several blocks is split into
+    bands of set sizes, each so wide that only sets of the same or of neighbouring bands
+    can link; a band's texts are dealt into blocks of bounded size.
     """
     star = groups.join(groups.groupBy("token").agg(F.min("cls").alias("b")), "token").select(F.col("cls").alias("a"), "b")
     clusters = components(star).select(F.col("node").alias("cls"), F.col("root").alias("cluster"))
-    members = clusters.join(texts, "cls")
-    blocks = members.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES).cast("int").alias("blocks"))
-    dealt = members.join(blocks.withColumn("blocks", F.greatest("blocks", F.lit(1))), "cluster").withColumn("own", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = dealt.select("cluster", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "cls", "text")
-    return keyed.groupBy("cluster", "low", "high").applyInArrow(_forest(words, link), "a long, b long")
+    members = clusters.join(groups.groupBy("cls").agg(F.max("n").alias("n")), "cls").join(texts, "cls")
+    size = F.greatest(F.sum(F.octet_length("text")) / BLOCK_BYTES, F.count(F.lit(1)) / BLOCK_CLASSES)
+    blocks = F.greatest(F.ceil(size).cast("int"), F.lit(1))
+    # A little wider than needed, for what rounding may do to the logarithms.
+    width = float(np.log(1.001 * link[1] / link[0]))
+    band = F.when(F.col("whole") > 1, F.floor(F.log("n") / width).cast("long")).otherwise(F.lit(0).cast("long"))
+    members = members.join(members.groupBy("cluster").agg(blocks.alias("whole")), "cluster").withColumn("band", band)
+    bands = members.groupBy("cluster", "band").agg(blocks.alias("blocks"))
+    beside = bands.select("cluster", F.col("band").alias("other"), F.col("blocks").alias("others"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    beside = bands.join(beside, ["cluster", "band"]).groupBy("cluster", "band", "blocks").agg(F.collect_list(F.struct("other", "others")).alias("beside"))
+    name = lambda band, block: band * F.lit(1 << 32) + block
+    met = F.flatten(F.transform("beside", lambda o: F.transform(F.sequence(F.lit(0), o["others"] - 1), lambda k: name(o["other"], k))))
+    dealt = members.join(beside, ["cluster", "band"]).withColumn("own", name(F.col("band"), F.pmod(F.xxhash64("cls"), "blocks")))
+    dealt = dealt.select("cluster", "own", F.explode(met).alias("met"), "cls", "text")
+    return dealt.select("cluster", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high"), "cls", "text")
 
 
 def _forest(words: int, link: tuple[int, int]):
@@ -321,11 +341,16 @@ def _forest(words: int, link: tuple[int, int]):
             a, b = np.searchsorted(column, [first, first + 2048])
             part = np.zeros((len(sets), 2048), np.float32)
             part[row[a:b], column[a:b] - first] = 1
-            both += part @ part.T
-        linked = link[1] * both >= link[0] * (sizes[:, None] + sizes[None, :] - both)
+            for k in range(0, len(sets), STRIP):
+                both[k : k + STRIP] += part[k : k + STRIP] @ part.T
+        linked = np.empty(both.shape, bool)
+        strips = [slice(k, k + STRIP) for k in range(0, len(sets), STRIP)]
+        for rows in strips:
+            linked[rows] = link[1] * both[rows] >= link[0] * (sizes[rows, None] + sizes[None, :] - both[rows])
+        del both
         label = np.arange(len(sets))
         while True:
-            least = np.where(linked, label[None, :], len(sets)).min(axis=1)
+            least = np.concatenate([np.where(linked[rows], label[None, :], len(sets)).min(axis=1) for rows in strips])
             least = np.minimum(label, least)
             if (least == label).all():
                 break
