@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -106,3 +107,50 @@ def repeats(docs: list[tuple[int, str | None]], size: int = 200) -> dict[int, tu
         rest = bytes(x for x, g in zip(b, gone, strict=True) if not g)
         out[i] = (len(b), sum(gone), len(re.findall(b"\x01+", bytes(gone))), hashlib.sha256(rest).hexdigest())
     return out
+
+
+def windows(docs: list[tuple[int, str | None]], size: int = 35) -> list[tuple]:
+    """(id, words, words covered by repeated windows, hash of the rest) of each row."""
+    every = [words(t) for _, t in docs]
+    found = Counter(tuple(w[k : k + size]) for w in every for k in range(len(w) - size + 1))
+    out = []
+    for (i, _), w in zip(docs, every, strict=True):
+        gone = [False] * len(w)
+        for k in range(len(w) - size + 1):
+            if found[tuple(w[k : k + size])] > 1:
+                gone[k : k + size] = [True] * size
+        rest = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        out.append((i, len(w), sum(gone), hashlib.sha256(rest.encode()).hexdigest()))
+    return out
+
+
+def runs(w: list, least: int = 24, repeats: int = 3) -> list[tuple[int, int, int]]:
+    """(start, length, smallest period) of every run, by start and period."""
+    found = {}
+    for p in range(1, len(w) // repeats + 1):
+        i = 0
+        while i + p < len(w):
+            j = i
+            while j + p < len(w) and w[j] == w[j + p]:
+                j += 1
+            if j > i and j + p - i >= max(least, repeats * p):
+                found.setdefault((i, j + p), p)
+            i = j + 1
+    return sorted((a, b - a, p) for (a, b), p in found.items())
+
+
+def hard_negatives(rows: list[tuple], is_anchor, positives: int = 5, negatives: int = 10, scale: int = 256) -> list[tuple]:
+    """(anchor, positive, rank, negative, both scores) of rows (id, label, vector)."""
+    sound = {}
+    for i, label, v in rows:
+        if i is not None and label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            whole = [max(-(1 << 26), min(1 << 26, math.floor(scale * x))) for x in v]
+            sound[i] = min(sound.get(i, (str(label), whole)), (str(label), whole))
+    out = []
+    for i, (label, v) in sound.items():
+        if is_anchor(i):
+            scored = sorted((-sum(x * y for x, y in zip(v, u, strict=False)), j, name) for j, (name, u) in sound.items() if j != i)
+            for s, j, _ in [x for x in scored if x[2] == label][:positives]:
+                fit = [x for x in scored if x[2] != label and 30 * -s <= 100 * -x[0] <= 90 * -s][:negatives]
+                out += [(i, j, k + 1, n, -s, -t) for k, (t, n, _) in enumerate(fit)]
+    return sorted(out)

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_extract, ngram_join, packing, pii, quality_classifier, quality_rules, repeats, secrets, toxicity
+from tidemark.llm import (
+    decontaminate,
+    html_extract,
+    negatives,
+    ngram_join,
+    packing,
+    periods,
+    pii,
+    quality_classifier,
+    quality_rules,
+    repeats,
+    secrets,
+    substring,
+    toxicity,
+)
 from tidemark.llm.tables import table
 
 
@@ -68,6 +82,31 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id is divisible by 7 take the next label first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), anchor="id % 100 = 0")
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """Texts of which one in ten, by the checksum h of the id, repeats a piece from word a on to its end."""
+    words = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string")))
+    words = words.withColumn("w", F.expr(r"""IF(h % 10 = 0, filter(split(text, '[\\x20\\x09-\\x0D]+'), x -> x <> ''), NULL)"""))
+    words = words.withColumn("g", F.expr("h div 10")).withColumn("n", F.expr("size(w)"))
+    words = words.withColumn("a", F.expr("IF(n > 0, CAST(g % n AS INT), NULL)"))
+    words = words.withColumn("p", F.expr("1 + CAST((n - a) div (3 + g % 8) AS INT)"))
+    tail = "transform(sequence(0, n - 1), i -> w[IF(i < a, i, a + (i - a) % p)])"
+    return words.select("doc_id", F.expr(f"IF(n > 0 AND h % 10 = 0, array_join({tail}, ' '), text)").alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.periodic_runs(with_periodic_tails(table(spark, sf_dir, "documents"))).drop("runs")
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_windows_removed(table(spark, sf_dir, "documents")).drop("removed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontaminate": op2_decontaminate,
@@ -79,4 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeats": op8_repeats,
     "op9_secrets": op9_secrets,
     "op10_pii": op10_pii,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_substring_dedup": op13_substring_dedup,
 }
