@@ -15,7 +15,7 @@ from pyspark.sql.types import DecimalType
 from tidemark import Shop, engagement_target, feature_matrix
 from tidemark.functions.counted import expand_rows
 from tidemark.operators import asof, browsing, categories, engagement, purchases, recent
-from tidemark.operators.facts import as_of, order_facts
+from tidemark.operators.facts import as_of, category_totals, order_facts
 from tidemark.operators.purchases import HISTORY, RECENT
 from tidemark.schema import ORDER_ITEMS
 from tidemark.sources import files, sinks
@@ -72,7 +72,7 @@ def _facts(shop, cut, days=None):
 
 def _by_category(shop, cut):
     orders = asof.orders_before(shop.orders, cut)
-    return categories.by_category(orders, shop.order_items, shop.products, cut)
+    return categories.by_category(orders, category_totals(shop.order_items, shop.products), cut)
 
 
 # --- sources and sinks --------------------------------------------------------

@@ -11,7 +11,7 @@ from shops import CUT, LAST, before, edge_rows, random_rows
 
 from tidemark import engagement_target, feature_matrix
 from tidemark.operators import engagement
-from tidemark.operators.facts import as_of, order_facts
+from tidemark.operators.facts import as_of, category_totals, order_facts, totals_of_orders
 from tidemark.plans.feature_matrix import feature_columns
 from tidemark.schema import CATEGORIES
 
@@ -252,3 +252,18 @@ def test_windows_and_thresholds_are_arguments(spark):
     usual = {r.customer_id: r.target for r in engagement_target(shop, CUT, LAST).collect()}
     other = {r.customer_id: r.target for r in engagement_target(shop, CUT, LAST, low_pages=0, large_order=1).collect()}
     assert usual[shops.LABEL_60_PAGES_2] == "AT-RISK" and other[shops.LABEL_60_PAGES_2] == "ACTIVE"
+
+
+def test_totals_by_order_from_totals_by_category(spark):
+    """Unknown products, lines without product or category, orders without lines."""
+    rows = random_rows(seed=3)
+    rows.tables["products"].append((11, None, "Nova", Decimal("3.00")))
+    rows.tables["order_items"] += [(70001, 1, 11, 2, Decimal("2.00"), 0), (70002, 1, None, 1, Decimal("5.00"), 0), (70003, 1, 999, 1, Decimal("5.00"), 0)]
+    shop = rows.to_shop(spark)
+    by_category = category_totals(shop.order_items, shop.products)
+    one = order_facts(shop.orders, shop.order_items)
+    two = order_facts(shop.orders, None, totals=totals_of_orders(by_category))
+    assert one.schema == two.schema
+    assert sorted(one.collect(), key=str) == sorted(two.collect(), key=str)
+    mine = {(r.known, r.category): (r.n_lines, r.discounted_lines) for r in by_category.where("order_id = 1").collect()}
+    assert mine[False, None] == (2, 0) and mine[True, None] == (1, 1)

@@ -67,3 +67,15 @@ def aggregate(df: DataFrame, keys: str | list[str], columns: Mapping[str, str])
 
 def add_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.select("*", *[F.expr(sql).alias(name) for name, sql in columns.items()])
+
+
+def fenced(df: DataFrame, key: str) -> DataFrame:
+    """The same rows; what lies below is planned alike for readers of different columns.
+
+    Spark prunes columns and moves conditions down to below a shuffle, for each reader on
+    its own, after which two readers no longer share the shuffle. An expansion of
+    one entry per row takes all columns and lets only conditions on ``key`` through.
+    """
+    others = [name for name in df.columns if name != key]
+    fields = ", ".join(f"'{name}', {name}" for name in others)
+    return df.selectExpr(key, f"inline(array(named_struct({fields})))").select(*df.columns)

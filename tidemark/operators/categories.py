@@ -1,7 +1,7 @@
 """Spending, returns and discounts by product category.
 
-Lines are summed by (customer, category) first, which Spark begins map-side;
-the pivot into columns then reads at most one row per category of a customer.
+Lines come summed by (order, category), are masked by their order's status and summed by
+(customer, category); the pivot into columns then reads at most one row per category of a customer.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from tidemark.functions.columns import aggregate, line_cents, money, sum_or_zero
+from tidemark.functions.columns import aggregate, money, sum_or_zero
 from tidemark.operators import asof
 from tidemark.schema import CATEGORIES, COMPLETED, RETURNED
 
@@ -41,11 +41,13 @@ def text_literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def by_category(orders: DataFrame, items: DataFrame, products: DataFrame, cut: date) -> DataFrame:
+def by_category(orders: DataFrame, totals: DataFrame, cut: date) -> DataFrame:
     """Totals per (customer, category) over lines of known products.
 
-    ``orders`` are raw headers placed before the cut. Bought lines are those of
-    completed and returned orders, returned ones are of returned orders only.
+    ``orders`` are raw headers placed before the cut, ``totals`` those of
+    ``facts.category_totals``. Bought lines are those of completed and returned
+    orders, returned ones are of returned orders only. An order's lines are masked
+    alike, so totals by (order, category) serve as well as lines.
     """
     headers = orders.selectExpr(
         "order_id",
@@ -53,42 +55,22 @@ def by_category(orders: DataFrame, items: DataFrame, products: DataFrame, cut: d
         f"{asof.status_as_of(cut)} AS status",
         f"coalesce({asof.returns_unknown(cut)}, false) AS unknown",
     ).where(f"status IN ('{COMPLETED}', '{RETURNED}')")
-    lines = items.selectExpr(
-        "order_id", "product_id", "quantity", "price_at_purchase", "returned", f"{line_cents()} AS cents"
-    ).join(products.select("product_id", "category", "base_price"), "product_id")
     flagged = (
-        lines.selectExpr(
-            "order_id",
-            "category",
-            "quantity",
-            "cents",
-            "returned",
-            "price_at_purchase < base_price AS discounted",
-        )
+        totals.where("known")
         .join(headers, "order_id")
         .selectExpr(
             "customer_id",
             "category",
-            "quantity",
-            "cents",
-            "discounted",
-            f"status = '{RETURNED}' AS in_return",
-            "unknown OR returned = 0 AS kept",
-            f"status = '{RETURNED}' AND NOT unknown AND returned = 1 AS sent_back",
+            "discounted_lines",
+            f"CASE WHEN status = '{RETURNED}' THEN n_lines ELSE 0 END AS return_lines",
+            "CASE WHEN unknown THEN qty ELSE kept_qty END AS kept_qty",
+            "CASE WHEN unknown THEN cents ELSE kept_cents END AS kept_cents",
+            f"CASE WHEN status = '{RETURNED}' AND NOT unknown THEN qty - kept_qty ELSE 0 END AS back_qty",
+            f"CASE WHEN status = '{RETURNED}' AND NOT unknown THEN cents - kept_cents ELSE 0 END AS back_cents",
         )
     )
-    return aggregate(
-        flagged,
-        ["customer_id", "category"],
-        {
-            "return_lines": sum_or_zero("in_return"),
-            "kept_qty": sum_or_zero("kept", "quantity"),
-            "kept_cents": sum_or_zero("kept", "cents"),
-            "back_qty": sum_or_zero("sent_back", "quantity"),
-            "back_cents": sum_or_zero("sent_back", "cents"),
-            "discounted_lines": sum_or_zero("discounted"),
-        },
-    )
+    names = ["return_lines", "kept_qty", "kept_cents", "back_qty", "back_cents", "discounted_lines"]
+    return aggregate(flagged, ["customer_id", "category"], {name: f"sum({name})" for name in names})
 
 
 def profile(totals: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:

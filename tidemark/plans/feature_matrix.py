@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import day_literal, ratio
 from tidemark.functions.counted import expand_rows
 from tidemark.operators import asof, browsing, categories, purchases, recent
-from tidemark.operators.facts import as_of, order_facts
+from tidemark.operators.facts import as_of, category_totals, order_facts, totals_of_orders
 from tidemark.schema import CATEGORIES
 from tidemark.shop import Shop
 
@@ -103,15 +103,14 @@ def feature_matrix(
     """
     customers = asof.customers_before(shop.customers, cut)
     sessions = asof.sessions_before(shop.sessions, cut)
+    totals_by_category = category_totals(shop.order_items, shop.products)
     if facts is None:
-        facts = order_facts(shop.orders, shop.order_items)
+        facts = order_facts(shop.orders, None, totals=totals_of_orders(totals_by_category))
     known = as_of(facts, cut)
 
     totals = purchases.profile(known, cut, recent_days, active_days)
     spending = categories.profile(
-        categories.by_category(
-            asof.orders_before(shop.orders, cut), shop.order_items, shop.products, cut
-        ),
+        categories.by_category(asof.orders_before(shop.orders, cut), totals_by_category, cut),
         product_categories,
     )
     newest = recent.profile(known, cut, k=last_orders, per_line_days=per_line_days)
