@@ -53,7 +53,7 @@ def test_matrix_reads_lines_once_for_totals_top_k_and_categories(spark, shop, sh
     lines = plan_of(feature_matrix(shop, CUT)).splitlines()
     assert sum("FileScan parquet" in line and "quantity" in line for line in lines) == 1
     # The totals by order and category are dealt once, for the totals by order (twice) and the categories.
-    dealt = [line for line in lines if "REPARTITION_BY_COL" in line and "order_id" in line]
+    dealt = [line for line in lines if "REPARTITION_BY_COL" in line and "(order_id" in line and "Reused" not in line]
     reused = [line for line in lines if "ReusedExchange" in line and "discounted_lines" in line]
     assert len(dealt) == 1 and len(reused) == 2
     # An order with very many lines is summed before it is dealt by order.
@@ -65,11 +65,34 @@ def test_top_k_is_cut_before_the_shuffle(spark, shop, shuffled):
     assert "Partial" in plan and plan.count("WindowGroupLimit") == 2
 
 
-def test_label_needs_no_window(spark, shop, shuffled):
-    plan = plan_of(engagement_target(shop, CUT, LAST))
-    assert "Window" not in plan
-    sessions = next(line for line in plan.splitlines() if "partial_collect_set" in line)
-    assert "partial_count" in sessions
+@pytest.fixture
+def defaults(spark, shuffled):
+    """Settings as Spark has them, not as ``build_session`` sets them."""
+    key = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    old = spark.conf.get(key)
+    spark.conf.unset(key)
+    yield
+    spark.conf.set(key, old)
+
+
+@pytest.mark.parametrize("name", ["target", "t_median_session_interval", "t_median_interval"])
+def test_medians_need_plain_hash_aggregations_only(spark, shop, defaults, name):
+    plan = plan_of(SHOP_QUERIES[name](spark, shop, CUT, LAST))
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    assert name == "t_median_interval" or "partial_bit_or" in plan
+
+
+def test_label_reads_each_table_once(spark, shop, shuffled):
+    plan = plan_of(engagement_target(shop, CUT, LAST)).splitlines()
+    assert sum("FileScan" in line for line in plan) == 4
+    assert sum("partial_bit_or" in line for line in plan) == 1
+
+
+def test_matrix_reads_sessions_once(spark, shop, shuffled):
+    for single in (False, True):
+        lines = plan_of(feature_matrix(shop, CUT, one_row_per_customer=single)).splitlines()
+        assert sum("FileScan" in line and "session_date" in line for line in lines) == 1
+        assert sum("ReusedExchange" in line and "of_day" in line for line in lines) == 1
 
 
 def test_windows_over_gaps_read_days_not_rows(spark, shop, shuffled):

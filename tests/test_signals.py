@@ -9,9 +9,10 @@ import shops
 from pyspark.sql import functions as F
 from shops import CUT, LAST, before, edge_rows, random_rows
 
-from tidemark import engagement_target, feature_matrix
+from tidemark import Shop, engagement_target, feature_matrix
 from tidemark.operators import engagement
 from tidemark.operators.facts import as_of, category_totals, order_facts, totals_of_orders
+from tidemark.operators.session_days import session_days
 from tidemark.plans.feature_matrix import feature_columns
 from tidemark.schema import CATEGORIES
 
@@ -267,3 +268,18 @@ def test_totals_by_order_from_totals_by_category(spark):
     assert sorted(one.collect(), key=str) == sorted(two.collect(), key=str)
     mine = {(r.known, r.category): (r.n_lines, r.discounted_lines) for r in by_category.where("order_id = 1").collect()}
     assert mine[False, None] == (2, 0) and mine[True, None] == (1, 1)
+
+
+def test_kept_session_days_give_the_same_signals(spark, tmp_path):
+    rows = random_rows(seed=5)
+    rows.tables["sessions"] += [(s[0] + 10_000, *s[1:]) for s in rows.tables["sessions"][::3]]
+    shop = rows.to_shop(spark)
+    path = str(tmp_path / "days")
+    session_days(shop.sessions).write.parquet(path)
+    kept = Shop(**{**shop.tables(), "sessions": spark.read.parquet(path)})
+    assert kept.sessions.count() < shop.sessions.count()
+    for single in (False, True):
+        one, two = (feature_matrix(s, CUT, one_row_per_customer=single) for s in (shop, kept))
+        assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    assert sorted(engagement_target(shop, CUT, LAST).collect()) == sorted(engagement_target(kept, CUT, LAST).collect())
+    assert sorted(session_days(kept.sessions).collect(), key=repr) == sorted(kept.sessions.collect(), key=repr)

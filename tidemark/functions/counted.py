@@ -8,15 +8,20 @@ however many rows the customer has. ``expand_rows`` turns counts back into rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import aggregate
+
 # A count is split into parts of these sizes, the smallest being what one row
 # is expanded to after the shuffle.
 PARTS = (1_000_000, 1_000)
 
+# Days of a block of ``day_blocks``: 16 words of 64 bits.
+BLOCK_DAYS = 1024
+
 
 def expand_rows(
     df: DataFrame, count: str, index: str | None = None, parts: Sequence[int] = PARTS
@@ -69,26 +74,65 @@ def rank_counts(counts: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def add_gap_median(df: DataFrame, days: str, rows: str, name: str) -> DataFrame:
-    """Add the lower median of the days between consecutive rows of a key.
+def gap_median(gaps: DataFrame, key: str, name: str, gap: str = "interval_days") -> DataFrame:
+    """The lower median of a key's known counted gaps, as (key, name)."""
+    counts = gaps.where(f"{gap} IS NOT NULL").groupBy(key, gap).agg(F.sum("n").alias("n"))
+    middle = "(cnt + 1) div 2"
+    ranked = rank_counts(counts, key, gap).where(f"before < {middle} AND {middle} <= before + n")
+    return ranked.select(key, F.col(gap).alias(name))
+
 
-    ``days`` is an array of the key's distinct days, at most one per calendar
-    day; ``rows`` its number of rows that have a day. Rows sharing a day are 0 days apart;
-    those zeros sort before every gap between two days, so only their number
-    matters.
+def day_blocks(df: DataFrame, key: str, day: str, count: str, columns: Mapping[str, str]) -> DataFrame:
+    """One row per key and BLOCK_DAYS days: ``block`` (their number), ``bits0`` to ``bits15`` (one bit
+    for each day with rows), ``n_rows`` (rows with a day) and the aggregates ``columns``.
+
+    All states are of fixed width, so rows are combined map-side in a plain hash
+    aggregation, and at most one row per block of a key is shuffled per map task.
+    Rows without a day have the block NULL and no bits.
+    """
+    number = f"unix_date({day})"
+    bits = {
+        f"bits{i}": f"bit_or(CASE WHEN shiftright({number}, 6) & 15 = {i} THEN shiftleft(1L, {number} & 63) END)"
+        for i in range(BLOCK_DAYS // 64)
+    }
+    dated = df.selectExpr("*", f"shiftright({number}, 10) AS block")
+    rows = {"n_rows": f"sum(CASE WHEN {day} IS NOT NULL THEN {count} ELSE 0 END)"}
+    return aggregate(dated, [key, "block"], bits | rows | dict(columns))
+
+
+def block_medians(blocks: DataFrame, key: str, name: str, columns: Mapping[str, str]) -> DataFrame:
+    """One row per key: the lower median of the days between its consecutive rows, and ``columns``.
+
+    ``columns`` are aggregates of the blocks. A key's blocks (one for each BLOCK_DAYS days, however many
+    rows it has) meet in a window. As binary text a block is its days as ones, and the zeros between
+    two ones are the days between; only the first day's gap needs the block before. Rows sharing a day are 0 days
+    apart; those zeros sort before every gap between two days, so only their number matters.
     """
-    gaps = "sort_array(transform(slice(_days, 2, greatest(size(_days) - 1, 0)), (day, i) -> datediff(day, _days[i])))"
-    zeros, middle = f"({rows} - size(_days))", f"({rows} div 2)"
-    return (
-        df.selectExpr("*", f"sort_array({days}) AS _days")
-        .selectExpr("*", f"{gaps} AS _gaps")
-        .selectExpr(
-            "*",
-            f"""CASE WHEN {rows} > 1 AND {middle} <= {zeros} THEN 0
-                     WHEN {rows} > 1 THEN _gaps[CAST({middle} - {zeros} - 1 AS INT)] END AS {name}""",
-        )
-        .drop("_days", "_gaps")
+    parts = [f"lpad(bin(coalesce(bits{i}, 0L)), 64, '0')" for i in reversed(range(BLOCK_DAYS // 64))]
+    pieces = blocks.selectExpr("*", f"split(concat({', '.join(parts)}), '1') AS zeros").selectExpr(
+        "*",
+        "size(zeros) - 1 AS n_days",
+        f"block * {BLOCK_DAYS} + length(element_at(zeros, -1)) AS first_day",
+        f"block * {BLOCK_DAYS} + {BLOCK_DAYS - 1} - length(zeros[0]) AS last_day",
+        "transform(slice(zeros, 2, greatest(size(zeros) - 2, 0)), z -> length(z) + 1) AS inner_gaps",
+    )
+    of_key = Window.partitionBy(key)
+    in_order = of_key.orderBy("block")
+    steps = pieces.withColumns({"before": F.lag("last_day").over(in_order), "after": F.lead("block").over(in_order)})
+    gaps = F.expr("IF(before IS NULL, inner_gaps, concat(array(first_day - before), inner_gaps))")
+    whole = steps.withColumn("gaps", gaps).withColumns(
+        {
+            "all_gaps": F.flatten(F.collect_list("gaps").over(of_key)),
+            "total": F.sum("n_rows").over(of_key),
+            "days": F.sum("n_days").over(of_key),
+            **{column: F.expr(sql).over(of_key) for column, sql in columns.items()},
+        }
     )
+    middle = "total div 2"
+    median = f"""
+        CASE WHEN total > 1 AND {middle} <= total - days THEN 0
+             WHEN total > 1 THEN sort_array(all_gaps)[CAST({middle} - (total - days) - 1 AS INT)] END"""
+    return whole.where("after IS NULL").selectExpr(key, *columns, f"{median} AS {name}")
 
 
 def top_rows(df: DataFrame, key: str | list[str], order: list[Column], k: int) -> DataFrame:

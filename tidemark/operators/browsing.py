@@ -11,47 +11,101 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import add_columns, aggregate, day_literal, ratio, sum_if, within_last
+from tidemark.functions.columns import (
+    add_columns,
+    aggregate,
+    day_literal,
+    fenced,
+    ratio,
+    sum_if,
+    sum_or_zero,
+    within_last,
+)
 from tidemark.functions.counted import top_rows
 from tidemark.operators.purchases import ACTIVE_DAYS, RECENT_DAYS, successful_orders_in
+from tidemark.operators.session_days import counted_sessions
 from tidemark.schema import DESKTOP, MOBILE
 
 
 def _on(device: str) -> str:
     """Sessions on a device; 0 if there are only others, NULL if there are none."""
-    return sum_if("active", f"CASE WHEN device = '{device}' THEN 1 ELSE 0 END")
+    return sum_if("active", f"CASE WHEN device = '{device}' THEN n ELSE 0 END")
+
+
+def _mean_pages(condition: str) -> str:
+    return ratio(sum_if(condition, "pages_viewed * n"), sum_if(f"{condition} AND pages_viewed IS NOT NULL", "n"))
 
 
 AGGREGATES = {
     "session_date": "max(CASE WHEN active THEN day END)",
-    "total_180days_sessions": sum_if("active"),
-    "avg_pages_viewed_180": "avg(CASE WHEN active THEN pages_viewed END)",
+    "total_180days_sessions": sum_if("active", "n"),
+    "avg_pages_viewed_180": _mean_pages("active"),
     "min_pages_viewed_180": "min(CASE WHEN active THEN pages_viewed END)",
     "mobile_sessions_count_180": _on(MOBILE),
     "desktop_sessions_count_180": _on(DESKTOP),
-    "sessions_90d": sum_if("recent"),
-    "avg_pages_90d": "avg(CASE WHEN recent THEN pages_viewed END)",
+    "sessions_90d": sum_if("recent", "n"),
+    "avg_pages_90d": _mean_pages("recent"),
     "all_days": "datediff(max(day), min(day))",
-    "all_sessions": "count(day)",
+    "all_sessions": sum_or_zero("day IS NOT NULL", "n"),
 }
 
 
-def profile(
-    sessions: DataFrame, cut: date, active_days: int = ACTIVE_DAYS, recent_days: int = RECENT_DAYS
-) -> DataFrame:
-    """All signals from counts of sessions before the cut, one row per customer."""
-    flagged = sessions.selectExpr(
+def _flagged(sessions: DataFrame, cut: date, active_days: int, recent_days: int) -> DataFrame:
+    return counted_sessions(sessions).selectExpr(
         "customer_id",
         "session_date AS day",
         "device",
         "pages_viewed",
+        "n",
+        "last_id",
         f"{within_last('session_date', cut, active_days)} AS active",
         f"{within_last('session_date', cut, recent_days)} AS recent",
     )
-    totals = aggregate(flagged, "customer_id", AGGREGATES)
+
+
+def _with_interval(totals: DataFrame) -> DataFrame:
     return add_columns(totals, {"avg_session_interval": ratio("all_days", "all_sessions - 1")})
 
 
+def profile(
+    sessions: DataFrame, cut: date, active_days: int = ACTIVE_DAYS, recent_days: int = RECENT_DAYS
+) -> DataFrame:
+    """All signals from counts of sessions before the cut, one row per customer."""
+    return _with_interval(aggregate(_flagged(sessions, cut, active_days, recent_days), "customer_id", AGGREGATES))
+
+
+def profile_and_last_day(
+    sessions: DataFrame,
+    cut: date,
+    active_days: int = ACTIVE_DAYS,
+    recent_days: int = RECENT_DAYS,
+    single: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """``profile`` and ``last_day_sessions`` (or ``last_single_session``) from one scan and one shuffle of sessions.
+
+    Each session counts for its customer and, if it is active, also for its customer,
+    day and number of pages; both kinds of groups are summed in one aggregation.
+    """
+    rows = _flagged(sessions, cut, active_days, recent_days).selectExpr(
+        "*", "explode(IF(active, array(false, true), array(false))) AS of_day"
+    )
+    rows = rows.selectExpr(
+        "*", "CASE WHEN of_day THEN day END AS group_day", "CASE WHEN of_day THEN pages_viewed END AS group_pages"
+    )
+    highest = {"last_id": "max(last_id)"} if single else {}
+    groups = aggregate(rows, ["customer_id", "of_day", "group_day", "group_pages"], AGGREGATES | highest)
+    groups = fenced(groups, "customer_id")
+    totals = groups.where("NOT of_day").select("customer_id", *AGGREGATES)
+    counted = groups.where("of_day").selectExpr(
+        "customer_id",
+        "group_day AS session_date",
+        "group_pages AS pages_viewed",
+        "total_180days_sessions AS n",
+        *highest,
+    )
+    return _with_interval(totals), _newest_single(counted, cut) if single else _newest_day(counted, cut)
+
+
 def _profile_of_last(sessions: DataFrame, cut: date, days: int) -> DataFrame:
     """``profile`` over the sessions of the last ``days`` days only."""
     return profile(sessions.where(within_last("session_date", cut, days)), cut)
@@ -101,31 +155,32 @@ def last_day_sessions(sessions: DataFrame, cut: date, active_days: int = ACTIVE_
     Sessions are counted by (customer, day, pages) before they are ranked, so a
     day with very many sessions reaches the ranking as few rows.
     """
-    counted = (
-        sessions.where(within_last("session_date", cut, active_days))
-        .groupBy("customer_id", "session_date", "pages_viewed")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    newest = Window.partitionBy("customer_id").orderBy(F.col("session_date").desc())
-    return (
-        counted.withColumn("_rank", F.rank().over(newest))
-        .where(F.col("_rank") == 1)
-        .selectExpr(
-            "customer_id",
-            f"datediff({day_literal(cut)}, session_date) AS days_from_last_session",
-            "pages_viewed AS last_session_pages_viewed",
-            "n",
-        )
-    )
+    active = counted_sessions(sessions).where(within_last("session_date", cut, active_days))
+    keys = ["customer_id", "session_date", "pages_viewed"]
+    return _newest_day(aggregate(active, keys, {"n": "sum(n)"}), cut)
 
 
 def last_single_session(sessions: DataFrame, cut: date, active_days: int = ACTIVE_DAYS) -> DataFrame:
     """As ``last_day_sessions``, with only the highest session id of that day."""
-    active = sessions.where(within_last("session_date", cut, active_days))
-    newest = [F.col("session_date").desc(), F.col("session_id").desc()]
-    return top_rows(active, "customer_id", newest, 1).selectExpr(
+    active = counted_sessions(sessions).where(within_last("session_date", cut, active_days))
+    return _newest_single(active, cut)
+
+
+def _newest_day(counted: DataFrame, cut: date) -> DataFrame:
+    newest = Window.partitionBy("customer_id").orderBy(F.col("session_date").desc())
+    ranked = counted.withColumn("_rank", F.rank().over(newest)).where(F.col("_rank") == 1)
+    return _last_visit(ranked, cut, "n")
+
+
+def _newest_single(counted: DataFrame, cut: date) -> DataFrame:
+    newest = [F.col("session_date").desc(), F.col("last_id").desc()]
+    return _last_visit(top_rows(counted, "customer_id", newest, 1), cut, "1L AS n")
+
+
+def _last_visit(rows: DataFrame, cut: date, count: str) -> DataFrame:
+    return rows.selectExpr(
         "customer_id",
         f"datediff({day_literal(cut)}, session_date) AS days_from_last_session",
         "pages_viewed AS last_session_pages_viewed",
-        "1L AS n",
+        count,
     )

@@ -15,6 +15,7 @@ from tidemark.functions.columns import (
     add_columns,
     aggregate,
     day_literal,
+    fenced,
     money,
     ratio,
     sum_if,
@@ -22,14 +23,17 @@ from tidemark.functions.columns import (
     within_last,
 )
 from tidemark.functions.counted import (
-    add_gap_median,
+    block_medians,
+    day_blocks,
     day_counts,
     expand_rows,
     gap_counts,
+    gap_median,
     rank_counts,
     top_rows,
 )
 from tidemark.operators.purchases import successful_orders_in
+from tidemark.operators.session_days import counted_sessions
 
 SHORT_DAYS = 30
 MIDDLE_DAYS = 60
@@ -113,14 +117,19 @@ def order_days(facts: DataFrame) -> DataFrame:
 
 
 def order_profile(facts: DataFrame, last: date) -> DataFrame:
-    """All order signals of the label, one row per customer with a successful order."""
+    """All order signals of the label, one row per customer with a successful order.
+
+    Totals and the median both read the orders summed by day, dealt by customer once.
+    """
+    named = facts.where("customer_id IS NOT NULL")
+    by_day = fenced(order_days(named).repartition("customer_id"), "customer_id")
     middle = within_last("order_date", last, MIDDLE_DAYS, SHORT_DAYS)
     counts = {
         f"successful_orders_{n}": sum_if(within_last("order_date", last, n), "n")
         for n in (SHORT_DAYS, MIDDLE_DAYS, LONG_DAYS)
     }
     totals = aggregate(
-        order_days(facts),
+        by_day,
         "customer_id",
         counts
         | {
@@ -132,8 +141,6 @@ def order_profile(facts: DataFrame, last: date) -> DataFrame:
             "last_suc_date": "max(order_date)",
             "earlier_value": money("sum(kept_cents) - coalesce(max_by(kept_cents, order_date), 0)"),
             "earlier_orders": "sum(n_lined) - coalesce(max_by(n_lined, order_date), 0)",
-            "orders": sum_if("order_date IS NOT NULL", "n"),
-            "days": "collect_list(order_date)",
         },
     )
     signals = add_columns(
@@ -143,7 +150,8 @@ def order_profile(facts: DataFrame, last: date) -> DataFrame:
             "days_since_last_successful_order": f"datediff({day_literal(last)}, last_suc_date)",
         },
     )
-    return add_gap_median(signals, "days", "orders", "median_interval").drop("days", "orders")
+    gaps = gap_counts(by_day.where("order_date IS NOT NULL"), "customer_id", "order_date")
+    return signals.join(gap_median(gaps, "customer_id", "median_interval"), "customer_id", "left")
 
 
 def average_excluding_last(facts: DataFrame, last: date) -> DataFrame:
@@ -160,7 +168,8 @@ def order_gaps(facts: DataFrame) -> DataFrame:
 
 def session_gaps(sessions: DataFrame) -> DataFrame:
     """Days between consecutive sessions, as counted rows."""
-    return gap_counts(day_counts(sessions, "customer_id", "session_date"), "customer_id", "session_date")
+    days = day_counts(counted_sessions(sessions), "customer_id", "session_date", "n")
+    return gap_counts(days, "customer_id", "session_date")
 
 
 def known_gaps(gaps: DataFrame) -> DataFrame:
@@ -183,28 +192,21 @@ def median_order_interval(facts: DataFrame, last: date) -> DataFrame:
 def session_profile(sessions: DataFrame, last: date) -> DataFrame:
     """All session signals of the label, one row per customer with a session.
 
-    The set of days is built map-side, so one shuffle of sets suffices.
+    Sessions are summed by customer and block of days, their days as bits, in a plain
+    hash aggregation; the few blocks of a customer then give the totals and the median.
     """
-    totals = aggregate(
-        sessions,
-        "customer_id",
-        {
-            "pages_last_60": sum_if(within_last("session_date", last, MIDDLE_DAYS), "pages_viewed"),
-            "last_session_date": "max(session_date)",
-            "n_sessions": "count(session_date)",
-            "days": "collect_set(session_date)",
-        },
-    )
+    recent = within_last("session_date", last, MIDDLE_DAYS)
+    sums = {"pages_last_60": sum_if(recent, "pages_viewed * n"), "last_session_date": "max(session_date)"}
+    blocks = day_blocks(counted_sessions(sessions), "customer_id", "session_date", "n", sums)
+    totals = {"pages_last_60": "sum(pages_last_60)", "last_session_date": "max(last_session_date)"}
+    signals = block_medians(blocks, "customer_id", "median_session_interval", totals)
     since = f"datediff({day_literal(last)}, last_session_date)"
-    signals = add_columns(totals, {"days_since_last_session": since})
-    return add_gap_median(signals, "days", "n_sessions", "median_session_interval").drop(
-        "days", "n_sessions"
-    )
+    return add_columns(signals, {"days_since_last_session": since})
 
 
 def pages_last_60(sessions: DataFrame, last: date) -> DataFrame:
-    recent = sessions.where(within_last("session_date", last, MIDDLE_DAYS))
-    return aggregate(recent, "customer_id", {"pages_last_60": "sum(pages_viewed)"})
+    recent = counted_sessions(sessions).where(within_last("session_date", last, MIDDLE_DAYS))
+    return aggregate(recent, "customer_id", {"pages_last_60": "sum(pages_viewed * n)"})
 
 
 def last_session(sessions: DataFrame) -> DataFrame:

@@ -114,11 +114,9 @@ def feature_matrix(
         product_categories,
     )
     newest = recent.profile(known, cut, k=last_orders, per_line_days=per_line_days)
-    visits = browsing.profile(sessions, cut, active_days, recent_days)
-    if one_row_per_customer:
-        last_visits = browsing.last_single_session(sessions, cut, active_days)
-    else:
-        last_visits = browsing.last_day_sessions(sessions, cut, active_days)
+    visits, last_visits = browsing.profile_and_last_day(
+        sessions, cut, active_days, recent_days, single=one_row_per_customer
+    )
 
     wide = customers
     for part in (totals, spending, newest, visits):
