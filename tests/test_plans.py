@@ -144,3 +144,19 @@ def test_session_settings():
 
 def test_schema_names_all_tables():
     assert set(TABLES) == {"customers", "products", "orders", "order_items", "sessions"}
+
+
+def test_few_registered_customers_are_sorted_out_before_the_first_shuffle(spark, shop):
+    for result in (feature_matrix(shop, CUT, few_registered=True), engagement_target(shop, CUT, LAST, few_registered=True)):
+        lines = plan_of(result).splitlines()
+        depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+        for column in ("session_date", "quantity", "order_date"):
+            for at in (i for i, line in enumerate(lines) if "FileScan" in line and column in line):
+                # The nodes from the scan upwards.
+                above, level = [], depth[at]
+                for i in range(at - 1, -1, -1):
+                    if depth[i] < level:
+                        above.append(lines[i])
+                        level = depth[i]
+                first = next(i for i, line in enumerate(above) if "Exchange" in line)
+                assert any("BroadcastHashJoin" in line and "LeftSemi" in line and "key_mask" in line for line in above[:first])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shops import CUT, LAST, before, edge_rows, random_rows
 
 from tidemark import Shop, engagement_target, feature_matrix
-from tidemark.operators import engagement
+from tidemark.operators import asof, engagement
 from tidemark.operators.facts import as_of, category_totals, order_facts, totals_of_orders
 from tidemark.operators.session_days import session_days
 from tidemark.plans.feature_matrix import feature_columns
@@ -283,3 +283,23 @@ def test_kept_session_days_give_the_same_signals(spark, tmp_path):
         assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
     assert sorted(engagement_target(shop, CUT, LAST).collect()) == sorted(engagement_target(kept, CUT, LAST).collect())
     assert sorted(session_days(kept.sessions).collect(), key=repr) == sorted(kept.sessions.collect(), key=repr)
+
+
+def test_a_filter_of_keys_loses_no_wanted_row(spark):
+    keys = spark.range(0, 5000, 7).withColumnRenamed("id", "k")
+    rows = spark.range(5000).withColumnRenamed("id", "k").union(spark.createDataFrame([(None,)], "k long"))
+    few = asof.key_bits(keys, "k", bits=16)
+    assert few.count() <= 1024
+    found = {r.k for r in asof.likely_of(rows, few, "k", bits=16).collect()}
+    assert {r.k for r in keys.collect()} <= found and len(found) < 1000
+
+
+def test_few_registered_customers_give_the_same_results(spark):
+    shop = random_rows(seed=9).to_shop(spark)
+    few = Shop(**{**shop.tables(), "customers": shop.customers.where("customer_id % 10 = 3")})
+    facts = order_facts(shop.orders, shop.order_items)
+    for options in ({}, {"facts": facts}):
+        one, two = (feature_matrix(few, CUT, few_registered=f, **options) for f in (False, True))
+        assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect())) and one.count() > 0
+        one, two = (engagement_target(few, CUT, LAST, few_registered=f, **options) for f in (False, True))
+        assert sorted(one.collect()) == sorted(two.collect())

@@ -12,6 +12,7 @@ from tidemark.functions.columns import day_literal, ratio
 from tidemark.functions.counted import expand_rows
 from tidemark.operators import asof, browsing, categories, purchases, recent
 from tidemark.operators.facts import as_of, category_totals, order_facts, totals_of_orders
+from tidemark.plans.narrow import of_few
 from tidemark.schema import CATEGORIES
 from tidemark.shop import Shop
 
@@ -87,6 +88,7 @@ def feature_matrix(
     recent_days: int = purchases.RECENT_DAYS,
     active_days: int = purchases.ACTIVE_DAYS,
     last_orders: int = recent.LAST_K,
+    few_registered: bool = False,
 ) -> DataFrame:
     """One row per customer registered before ``cut``, 98 columns by default.
 
@@ -96,12 +98,16 @@ def feature_matrix(
     the customer gets a row for each. ``facts``: order facts
     kept as a table; without, lines are aggregated here. ``recent_days``,
     ``active_days``, ``last_orders``: the windows and the number of last orders;
-    column names keep the usual 90, 180 and 3.
+    column names keep the usual 90, 180 and 3. ``few_registered``: few of the
+    customers with orders or sessions are registered before the cut; the others' rows
+    are dropped by a broadcast filter of keys where they are read.
 
     Customers' orders and sessions are not semi-joined to the customers first:
     the final left joins drop what belongs to nobody.
     """
     customers = asof.customers_before(shop.customers, cut)
+    if few_registered:
+        shop, facts = of_few(shop, customers, facts)
     sessions = asof.sessions_before(shop.sessions, cut)
     totals_by_category = category_totals(shop.order_items, shop.products)
     if facts is None:

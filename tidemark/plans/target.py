@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.operators import asof, engagement
 from tidemark.operators.facts import order_facts
+from tidemark.plans.narrow import of_few
 from tidemark.schema import ACTIVE, AT_RISK, CHURNED
 from tidemark.shop import Shop
 
@@ -43,13 +44,17 @@ def engagement_target(
     low_pages: int = LOW_PAGES,
     large_order: int = LARGE_ORDER,
     usual_days: int = USUAL_DAYS,
+    few_registered: bool = False,
 ) -> DataFrame:
     """(customer_id, target) for customers registered before ``cut``, as of ``last``.
 
     ``facts``: order facts kept as a table; without, lines are aggregated here.
-    The thresholds are those of ``label``.
+    The thresholds are those of ``label``. ``few_registered``: few of the customers
+    with orders or sessions are registered before the cut.
     """
     customers = asof.customers_before(shop.customers, cut).select("customer_id")
+    if few_registered:
+        shop, facts = of_few(shop, customers, facts)
     if facts is None:
         facts = order_facts(shop.orders, shop.order_items)
     return (

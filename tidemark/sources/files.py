@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -69,18 +71,19 @@ def read_shop_csv(spark: SparkSession, root: str) -> Shop:
 
 
 def run_sql(spark: SparkSession, shop: Shop, text: str, **parameters) -> DataFrame:
-    """Run a SQL text over the shop tables, with ``:name`` parameters (dates as
-    ``datetime.date``). Names are resolved at once; views that the session has by
-    the tables' names are put back afterwards."""
+    """Run a SQL query over the shop tables, with ``:name`` parameters (dates as ``datetime.date``).
+
+    Each call binds the tables' names inside its own query, to views with names of
+    their own, which go once the names are resolved. The session's views are neither
+    changed nor hidden from others, so that queries of several threads, over several shops, don't meet.
+    """
+    own = f"shop_{uuid.uuid4().hex}"
     tables = shop.tables()
-    mine = {t.name for t in spark.catalog.listTables() if t.isTemporary and t.name in tables}
-    before = {name: spark.table(name) for name in mine}
+    bound = ", ".join(f"{name} AS (SELECT * FROM {own}_{name})" for name in tables)
     try:
         for name, df in tables.items():
-            df.createOrReplaceTempView(name)
-        return spark.sql(text, args=parameters)
+            df.createTempView(f"{own}_{name}")
+        return spark.sql(f"WITH {bound} SELECT * FROM (\n{text.strip().rstrip(';')}\n)", args=parameters)
     finally:
         for name in tables:
-            spark.catalog.dropTempView(name)
-        for name, df in before.items():
-            df.createOrReplaceTempView(name)
+            spark.catalog.dropTempView(f"{own}_{name}")

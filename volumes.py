@@ -14,7 +14,7 @@ import argparse
 import json
 import os
 import time
-from datetime import timedelta
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +86,7 @@ def main() -> None:
     parser.add_argument("--folder", help="where the tables go; kept if given")
     parser.add_argument("--made", action="store_true", help="the folder has the tables already")
     parser.add_argument("--hot", type=float, default=0)
+    parser.add_argument("--registered", type=float, default=1, help="share of the customers that the results are for")
     parser.add_argument("--runs", type=int, default=4)
     given = parser.parse_args()
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -95,13 +96,16 @@ def main() -> None:
     folder = given.folder or shared_folder(spark)
     try:
         shop = read_shop(spark, folder) if given.made else made_shop(spark, given.sf, folder, given.hot)
+        if given.registered < 1:
+            chosen = F.pmod(F.xxhash64("customer_id"), F.lit(1000)) < int(1000 * given.registered)
+            shop = replace(shop, customers=shop.customers.where(chosen))
+        few = {"few_registered": given.registered < 1}
         rows = {name: df.count() for name, df in shop.tables().items()}
         results = {
-            "feature_matrix": measured(spark, lambda: feature_matrix(shop, CUT), given.runs),
-            "target": measured(spark, lambda: engagement_target(shop, CUT, LAST), given.runs),
-            "target_later": measured(spark, lambda: engagement_target(shop, CUT, LAST + timedelta(days=30)), 1),
+            "feature_matrix": measured(spark, lambda: feature_matrix(shop, CUT, **few), given.runs),
+            "target": measured(spark, lambda: engagement_target(shop, CUT, LAST, **few), given.runs),
         }
-        print(json.dumps({"rows": rows, "hot": given.hot, **results}))
+        print(json.dumps({"rows": rows, "hot": given.hot, "registered": given.registered, **results}))
     finally:
         if not given.folder:
             remove_folder(spark, folder)
