@@ -92,7 +92,7 @@ def test_matrix_reads_sessions_once(spark, shop, shuffled):
     for single in (False, True):
         lines = plan_of(feature_matrix(shop, CUT, one_row_per_customer=single)).splitlines()
         assert sum("FileScan" in line and "session_date" in line for line in lines) == 1
-        assert sum("ReusedExchange" in line and "of_day" in line for line in lines) == 1
+        assert sum("ReusedExchange" in line and "near_day" in line for line in lines) == 1
 
 
 def test_windows_over_gaps_read_days_not_rows(spark, shop, shuffled):

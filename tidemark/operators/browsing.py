@@ -49,6 +49,15 @@ AGGREGATES = {
     "all_sessions": sum_or_zero("day IS NOT NULL", "n"),
 }
 
+# The same from sessions summed by day and pages (``profile_and_last_day``).
+AGGREGATES_OF_GROUPS = AGGREGATES | {
+    "session_date": "max(CASE WHEN active THEN near_day END)",
+    "mobile_sessions_count_180": sum_if("active", "n_mobile"),
+    "desktop_sessions_count_180": sum_if("active", "n_desktop"),
+    "all_days": "datediff(max(last_day), min(first_day))",
+    "all_sessions": "sum(n_dated)",
+}
+
 
 def _flagged(sessions: DataFrame, cut: date, active_days: int, recent_days: int) -> DataFrame:
     return counted_sessions(sessions).selectExpr(
@@ -81,28 +90,33 @@ def profile_and_last_day(
     recent_days: int = RECENT_DAYS,
     single: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """``profile`` and ``last_day_sessions`` (or ``last_single_session``) from one scan and one shuffle of sessions.
+    """``profile`` and ``last_day_sessions`` (or ``last_single_session``) from one scan of sessions.
 
-    Each session counts for its customer and, if it is active, also for its customer,
-    day and number of pages; both kinds of groups are summed in one aggregation.
+    Sessions of the longer window are summed by customer, day and number of pages, all
+    earlier ones of a customer as one group; day and pages being known, a few counts per
+    group give every signal. Groups are dealt by customer once, for both results.
     """
-    rows = _flagged(sessions, cut, active_days, recent_days).selectExpr(
-        "*", "explode(IF(active, array(false, true), array(false))) AS of_day"
+    near = within_last("session_date", cut, max(active_days, recent_days))
+    rows = counted_sessions(sessions).where("customer_id IS NOT NULL").selectExpr(
+        "*", f"CASE WHEN {near} THEN session_date END AS near_day", f"CASE WHEN {near} THEN pages_viewed END AS near_pages"
     )
-    rows = rows.selectExpr(
-        "*", "CASE WHEN of_day THEN day END AS group_day", "CASE WHEN of_day THEN pages_viewed END AS group_pages"
-    )
-    highest = {"last_id": "max(last_id)"} if single else {}
-    groups = aggregate(rows, ["customer_id", "of_day", "group_day", "group_pages"], AGGREGATES | highest)
-    groups = fenced(groups, "customer_id")
-    totals = groups.where("NOT of_day").select("customer_id", *AGGREGATES)
-    counted = groups.where("of_day").selectExpr(
-        "customer_id",
-        "group_day AS session_date",
-        "group_pages AS pages_viewed",
-        "total_180days_sessions AS n",
-        *highest,
+    counts = {
+        "n": "sum(n)",
+        "n_mobile": sum_or_zero(f"device = '{MOBILE}'", "n"),
+        "n_desktop": sum_or_zero(f"device = '{DESKTOP}'", "n"),
+        "n_dated": sum_or_zero("session_date IS NOT NULL", "n"),
+        "first_day": "min(session_date)",
+        "last_day": "max(session_date)",
+        **({"last_id": "max(last_id)"} if single else {}),
+    }
+    groups = aggregate(rows, ["customer_id", "near_day", "near_pages"], counts)
+    groups = fenced(groups.repartition("customer_id"), "customer_id").selectExpr(
+        "*",
+        f"{within_last('near_day', cut, active_days)} AS active",
+        f"{within_last('near_day', cut, recent_days)} AS recent",
     )
+    totals = aggregate(groups.withColumnsRenamed({"near_pages": "pages_viewed"}), "customer_id", AGGREGATES_OF_GROUPS)
+    counted = groups.where("active").withColumnsRenamed({"near_day": "session_date", "near_pages": "pages_viewed"})
     return _with_interval(totals), _newest_single(counted, cut) if single else _newest_day(counted, cut)
 
 
