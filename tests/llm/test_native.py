@@ -157,3 +157,20 @@ def test_sanitised_on_odd_rows(odd, nothing, clashing):
 def test_replaced_spans_may_overlap(spark):
     row = spark.createDataFrame([("0123456789",)], "t string").withColumn("s", F.expr("array(named_struct('start', 2, 'end', 5, 'new', 'A'), named_struct('start', 4, 'end', 7, 'new', 'B'), named_struct('start', 8, 'end', 9, 'new', ''))"))
     assert row.select(spans.replaced(F.col("t"), F.col("s"))).first()[0] == "01A79"
+
+
+def test_a_token_may_follow_an_equals_sign(spark):
+    """NAME=value credentials whose name is no word of the base pattern; spans of the base pattern add nothing."""
+    value = "Ab9dEf3hIj5lMn7pQr1t"
+    texts = [f"secret_key={value}", f"secret_key: {value}", f"export ACCESS_KEY={value}x;", f"sig={value}y==", f"token={value}z"]
+    rows = spark.createDataFrame([(i, t, f"o{i % 2}", "r") for i, t in enumerate(texts)], "doc_id long, text string, owner string, repository string")
+    found = {r["doc_id"]: r["spans"] for r in secrets.digest(secrets.scan(rows)).collect()}
+    assert found == {0: "token:11:31", 1: "token:12:32", 2: "token:18:39", 3: "token:4:27", 4: "assign:0:27"}
+
+
+def test_one_owners_repositories_make_no_example(spark):
+    value, shared = "Zq8Rt5Yu2Io9Pa6Sd3Fg", "Mn4Bv7Cx1Zl8Kj5Hg2Fd"
+    rows = [(k, f"key {value}", "solo", f"r{k}") for k in range(6)] + [(10 + k, f"key {shared}", f"o{k}", "r") for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, owner string, repository string")
+    found = {r["doc_id"]: r["spans"] for r in secrets.digest(secrets.scan(df)).collect()}
+    assert found == {**{k: "token:4:24" for k in range(6)}, **{10 + k: "" for k in range(3)}}

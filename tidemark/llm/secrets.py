@@ -4,7 +4,7 @@ Candidates are found by pattern: assignments to names like ``password``, access
 keys, long hexadecimal runs, and tokens that mix letters and digits. For each
 distinct value the corpus tells how many repositories and owners have it. A
 value that many owners have is a copied example; one that a single owner has
-and that looks like no placeholder is taken for live. Tokens count as secrets
+(or two), in however many repositories, and that looks like no placeholder is taken for live. Tokens count as secrets
 only if they are live in this sense; the other kinds are reported always.
 
 All work on texts is one pass of DataFrame expressions. Only hashes of values
@@ -30,13 +30,13 @@ ASSIGNED = r"""(?i)^(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*
 #: Maximal runs that are too short match nowhere else inside, so the least length can stand in the pattern.
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-TOKEN = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/-]*[0-9])(?=[0-9_+/-]*[A-Za-z])[A-Za-z0-9_+/-]{20,}={0,2}"
+TOKEN = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*[0-9])(?=[0-9_+/-]*[A-Za-z])[A-Za-z0-9_+/-]{20,}={0,2}"
 KINDS = ("assign", "access", "hex", "token")
 LEAST_ASSIGNED = 6
 #: Different characters that a token needs at least.
 LEAST_VARIETY = 10
-#: Owners or repositories from which on a value counts as a copied example.
-COPIED_OWNERS, COPIED_REPOSITORIES = 3, 4
+#: Owners from which on a value counts as a copied example. One owner's own repositories make it no example, however many.
+COPIED_OWNERS = 3
 PLACEHOLDER = r"(?i)example|changeme|placeholder|dummy|sample|your|xxxx|\*\*\*\*|0000000|1234567"
 
 
@@ -88,7 +88,7 @@ def scan(
     verdict = by_owner.groupBy("hash").agg(
         F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"), F.max("placeholder").alias("placeholder")
     )
-    live = (F.col("owners") < COPIED_OWNERS) & (F.col("repositories") < COPIED_REPOSITORIES) & ~F.col("placeholder")
+    live = (F.col("owners") < COPIED_OWNERS) & ~F.col("placeholder")
     judged = values.join(verdict.select("hash", live.alias("is_live")), "hash")
     spans = judged.groupBy("row").agg(
         F.collect_list(F.when(F.col("is_live"), F.col("span"))).alias("live"), F.collect_list(F.when(~F.col("is_live"), F.col("span"))).alias("copied")
