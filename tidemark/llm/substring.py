@@ -50,7 +50,7 @@ SKETCH_BITS = 17
 #: Two-byte codes: both bytes lie below 254; 255 and 254 enclose a word in full.
 OPEN, CLOSE, BYTE = 255, 254, 254
 DICTIONARY = BYTE * BYTE
-#: A word is counted for the dictionary where it makes up 1 / SHARE of a task's words.
+#: A word comes into the dictionary by the tasks of whose words it makes up 1 / SHARE; what a run of texts holds once isn't counted.
 SHARE = 1 << 18
 #: Strings worked on at once, strings of one minimiser counted in a task, strings a task compares before it sends them.
 CHUNK, GROUP, FLUSH = 20_000, 200_000, 100_000
@@ -175,7 +175,9 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(words):
             np.add(counts, np.bincount((words.grams() >> np.uint64(64 - SKETCH_BITS)).view(np.int64), minlength=len(counts)), out=counts)
             seen = words.binary().dictionary_encode()
-            often.update(dict(zip(seen.dictionary.to_pylist(), np.bincount(seen.indices.to_numpy()).tolist(), strict=True)))
+            n = np.bincount(seen.indices.to_numpy())
+            many = np.flatnonzero(n > 1)
+            often.update(dict(zip(seen.dictionary.take(pa.array(many)).to_pylist(), n[many].tolist(), strict=True)))
             if len(often) > 2 * SHARE:  # lossy counting: what is dropped makes up less than 1 / SHARE
                 lost = total // SHARE
                 often = Counter({w: c for w, c in often.items() if c > lost})
