@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import flat
 from tidemark.llm.repeats import _sliding
-from tidemark.llm.tables import written
+from tidemark.llm.tables import written, written_and_cleared
 
 WINDOW = 35
 #: Words of a minimiser, and most windows of a packed string (bits of a mask).
@@ -374,7 +374,7 @@ def repeated_windows_removed(docs: DataFrame, id_column: str = "doc_id", text_co
     strings = texts.mapInArrow(_strings(shared, False), "minimiser long, packed binary, n long")
     kind = "packed binary, mask long, window binary, n long"
     found = strings.repartition("minimiser").sortWithinPartitions("minimiser").mapInArrow(_counted(group), kind)
-    found = written(found.select(F.unhex(F.md5("packed")).alias("string"), "mask", "window", "n"))
+    found = written_and_cleared(found.select(F.unhex(F.md5("packed")).alias("string"), "mask", "window", "n"))
     again = found.where("window IS NOT NULL").groupBy("window").agg(F.sum("n").alias("m")).where("m > 1").select("window")
     hits = found.where("window IS NULL").select("string", "mask").union(
         found.where("window IS NOT NULL").join(again, "window", "left_semi").select("string", "mask")
@@ -385,7 +385,7 @@ def repeated_windows_removed(docs: DataFrame, id_column: str = "doc_id", text_co
     copied = base.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("key", F.lit(True).alias("copied"))
     places = texts.mapInArrow(_strings(shared, True), "key binary, at long, packed binary").select("key", "at", F.unhex(F.md5("packed")).alias("string"))
     places = places.join(hits, "string").groupBy("key").agg(F.collect_set(F.struct("at", "mask")).alias("found"))
-    places = written(places.join(copied, "key", "left_anti"))
+    places = written_and_cleared(places.join(copied, "key", "left_anti"))
     rests = texts.join(places, "key").mapInArrow(_rests, "key binary, n_removed long, kept_sha256 string, removed array<long>")
 
     rows = rows.join(rests, "key", "left").join(copied, "key", "left")

@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's own setting to remove a query's shuffle files when it ends.
+_CLEARING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Folders of the applications this process has had, by their roots.
 _folders: dict[tuple[str, str], str] = {}
 
@@ -55,3 +57,14 @@ def written(df: DataFrame) -> DataFrame:
     path = folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written_and_cleared(df: DataFrame) -> DataFrame:
+    """As ``written``; the shuffle files of the way there go at once, not when the driver next collects garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEARING, None)
+    conf.set(_CLEARING, "true")
+    try:
+        return written(df)
+    finally:
+        conf.unset(_CLEARING) if before is None else conf.set(_CLEARING, before)
