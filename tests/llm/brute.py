@@ -154,3 +154,33 @@ def hard_negatives(rows: list[tuple], is_anchor, positives: int = 5, negatives:
                 fit = [x for x in scored if x[2] != label and 30 * -s <= 100 * -x[0] <= 90 * -s][:negatives]
                 out += [(i, j, k + 1, n, -s, -t) for k, (t, n, _) in enumerate(fit)]
     return sorted(out)
+
+
+def template(pages: list[str], module) -> set[int]:
+    """The fixed texts of one host, page by page and token by token."""
+    seen = {}
+    for html in pages:
+        texts, elements = module.pieces(html)
+        story = tuple(" ".join(p.text.split()) for p in module._chosen(module._article(texts)) if p.text.strip())
+        counts = seen.setdefault(story, {})
+        mine = {(module.ROOT, 0, False): 1}
+        for token in [(*e, False) for e in elements] + [(module._token(p), p.element, True) for p in texts if p.text.strip()]:
+            mine[token] = mine.get(token, 0) + 1
+        for token, n in mine.items():
+            counts[token] = max(counts.get(token, 0), n)
+    stories = list(seen.values())
+    if len(stories) < module.PAGES:
+        return set()
+    vector = {}
+    for token in {t for s in stories for t in s}:
+        counts = tuple(s.get(token, 0) for s in stories)
+        if sum(n > 0 for n in counts) >= module.SHARE * len(stories):
+            vector[token] = counts
+    of = {token[0]: v for token, v in vector.items() if not token[2]}
+    fixed = set()
+    for token, v in vector.items():
+        around = of.get(token[1])
+        alike = [t for t, w in vector.items() if w == v and of.get(t[1]) == around]
+        if token[2] and (v in (around, of[module.ROOT]) or len(alike) > 1):
+            fixed.add(token[0])
+    return fixed

@@ -1,12 +1,15 @@
 """Decontamination, packing and page texts."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
+import brute
 import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import text
+from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, html_extract, packing
 
@@ -184,6 +187,69 @@ def test_odd_html_is_read(html):
     assert isinstance(html_extract.main_text(html, set()), str)
 
 
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ('<div id="content" class="article search-history"><p>The article text</p></div><div class="comments">c</div>', "The article text"),
+        ('<article><p>a</p><div class="widget-body"><p>b</p></div><div class="comments-list"><p>c</p></div></article>', "a\n\nb"),
+        ('<div class="sign-up-share-price"><p>price</p></div><div class="site-footer">f</div><div class="ad-box-2">x</div>', "price"),
+        ('<div class="search"><p>all there is</p></div>', "all there is"),
+        ('<div class="header-x header">h</div><article><div class="header">t</div>x</article>', "t\n\nx"),
+    ],
+)
+def test_names_choose_among_slots(html, expected):
+    assert html_extract.main_text(html, set()) == expected
+
+
+@pytest.mark.parametrize("html", ["<div>" * 100_000 + "<p>x", "<span>" * 100_000 + "</b>" * 100_000 + "x", "<p><div>" + "<span>" * 50_000 + "<h1></h1>" * 50_000 + "x"])
+def test_deep_nesting_costs_no_square(html):
+    started = time.monotonic()
+    assert html_extract.main_text(html, set()) == "x"
+    assert time.monotonic() - started < 20
+
+
+def _hosts():
+    """Hosts without any hints: fixed blocks and one short story a page; and pages of every kind beside."""
+    fixed = lambda k: f"<div>{text(900, 25)}</div><div><p>{text(901, 25)}</p></div><table><tr><td>{text(902, 25)}</td></tr></table>"
+    rows = [(k, "http://few.example/", f"<body>{fixed(k)}<div><p>{text(k, 6)}</p></div></body>") for k in range(12)]
+    rows += [(50 + k, "http://four.example/", f"<body>{fixed(k)}<div><p>{text(50 + k, 6)}</p></div></body>") for k in range(4)]
+    rows += [(100 + k, "http://copies.example/", f"<body><div class=ad>ad {k}</div><div><p>{text(100, 40)}</p></div></body>") for k in range(9)]
+    rows += [(150 + k, "http://menu.example/", f"<body><div>{''.join(f'<b>{text(950 + i, 2)}</b>' for i in range(4))}</div><p>{text(150 + k, 7)}</p></body>") for k in range(6)]
+    rows += [(200 + k, "http://mixed.example/", f"<body><ul>{'<li>more</li>' * (k % 3)}</ul>{fixed(k) if k else ''}<p>{text(200 + k // 2, 9)}</p></body>") for k in range(10)]
+    rows += [(300, "http://few.example/empty", f"<body>{fixed(0)}<div><p></p></div></body>")]
+    return rows
+
+
+def test_template_and_its_slots_against_row_by_row_code(spark):
+    rows = _hosts()
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = {r["page_id"]: r["text"] for r in html_extract.extracted(pages).collect()}
+    assert all(found[k] == text(k, 6) for k in (*range(12), *range(50, 54)))
+    assert all(found[150 + k] == text(150 + k, 7) for k in range(6))
+    assert all(found[100 + k] == text(100, 40) for k in range(9))
+    assert all(word in found[300] for word in (text(900, 25), text(901, 25), text(902, 25)))
+    by_host = {}
+    for page, url, html in rows:
+        by_host.setdefault(url.split("/")[2], []).append((page, html))
+    for host in by_host.values():
+        template = brute.template([html for _, html in host], html_extract)
+        assert template or host[0][0] == 100
+        assert all(found[page] == html_extract.main_text(html, template) for page, html in host)
+        assert host[0][0] == 100 or all(html_extract.main_text(html, set()) != found[page] for page, html in host[1:4])
+
+
+def test_a_host_of_many_pages_meets_several_copies_of_its_template(spark, monkeypatch):
+    rows = [r for r in _hosts() if r[0] < 60]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = sorted(tuple(r) for r in html_extract.extracted(pages).collect())
+    monkeypatch.setattr(html_extract, "PART", 3)
+    assert sorted(tuple(r) for r in html_extract.extracted(pages).collect()) == whole
+    plain = pages.select(F.col("page_id").alias("id"), "url", "html", F.col("url").alias("host"))
+    dealt, copies = html_extract._dealt(plain, spark.createDataFrame([("http://few.example/", [1])], "host string, tokens array<long>"))
+    parts = {r["part"] for r in copies.collect()}
+    assert parts == set(range(4)) and {r["part"] for r in dealt.where("host = 'http://few.example/'").collect()} <= parts
+
+
 def test_template_texts_of_a_host_go(spark):
     page = lambda k, extra: f"<body><div class=top>Welcome to us</div><div>{text(k, 30)}<p>{text(k + 50, 20)}</p><span>Read more about us</span></div>{extra}</body>"
     rows = [(k, f"http://u@A.example:80/{k}", page(k, "<p>Open daily</p>")) for k in range(12)]
