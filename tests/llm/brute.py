@@ -184,3 +184,13 @@ def template(pages: list[str], module) -> set[int]:
         if token[2] and (v in (around, of[module.ROOT]) or len(alike) > 1):
             fixed.add(token[0])
     return fixed
+
+
+def replaced(text: str, spans: list[tuple[int, int]], new: str) -> str:
+    """The text with its spans replaced, one by one; what overlaps one before only takes away."""
+    at, out = 0, ""
+    for start, end in sorted(spans, key=lambda s: (s[0], -s[1])):
+        if start >= at:
+            out += text[at:start] + new
+        at = max(at, end)
+    return out + text[at:]

@@ -1,6 +1,7 @@
 """Quality rules, secrets and personal data: DataFrame expressions against row-by-row results."""
 
 import random
+import time
 
 import brute
 import pytest
@@ -174,3 +175,32 @@ def test_one_owners_repositories_make_no_example(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, owner string, repository string")
     found = {r["doc_id"]: r["spans"] for r in secrets.digest(secrets.scan(df)).collect()}
     assert found == {**{k: "token:4:24" for k in range(6)}, **{10 + k: "" for k in range(3)}}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_spans_apart_and_replaced_row_by_row(spark, seed):
+    draw = random.Random(seed)
+    rows = []
+    for k in range(200):
+        size = draw.choice([0, 3, 40, 3000])
+        places = lambda n: [(a, draw.randint(a, min(size, a + 9))) for a in (draw.randint(0, size) for _ in range(n))]
+        rows.append((k, "".join(draw.choice("abé\U0001f600\n") for _ in range(size)), places(draw.choice([0, 1, 5, 600])), places(draw.choice([0, 1, 5, 600]))))
+    df = spark.createDataFrame(rows, "id long, t string, a array<struct<start:int,end:int>>, b array<struct<start:int,end:int>>")
+    news = F.transform("a", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("N").alias("new")))
+    for r in df.select("*", spans.apart(F.col("a"), F.col("b")).alias("left"), spans.replaced(F.col("t"), news).alias("out")).collect():
+        kept = [tuple(s) for s in r["a"] if not any(o["start"] < s["end"] and s["start"] < o["end"] for o in r["b"])]
+        assert sorted(map(tuple, r["left"])) == sorted(kept)
+        assert r["out"] == brute.replaced(r["t"], [tuple(s) for s in r["a"]], "N")
+
+
+def test_one_text_with_very_many_matches(spark):
+    n = 100_000
+    texts = [" ".join(f"u{k}@example.org key Zx81-kQ_97hTe2LmPw{5_000_000 + k}" for k in range(n))]
+    df = rows_of(spark, texts)
+    started = time.monotonic()
+    row = df.select(F.size(spans.matches(F.col("text"), pii.EMAIL)).alias("n"), spans.matches(F.col("text"), pii.EMAIL)[n - 1].alias("last")).first()
+    assert row["n"] == n and texts[0][row["last"]["start"] : row["last"]["end"]] == f"u{n - 1}@example.org"
+    assert secrets.digest(secrets.scan(df, repository=F.col("source"), owner=F.col("source"))).first()["spans"].count("token") == n
+    clean = pii.sanitised(df).first()["text"]
+    assert clean.count("[EMAIL]") == n and "@" not in clean
+    assert time.monotonic() - started < 120

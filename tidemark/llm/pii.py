@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.spans import listed, matches, replaced, sha256, tagged
+from tidemark.llm.spans import apart, listed, matches, replaced, sha256, tagged
 from tidemark.llm.tables import written
 
 #: A match starts where a run of its characters starts, or where the match before ended.
@@ -112,9 +112,8 @@ def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     more = places.groupBy("key").agg(F.collect_list(term).alias("more"))
     joined = rows.drop("text").join(more, "key", "left")
     # A term inside an entity goes with it.
-    apart = F.filter("more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
     empty = F.array().cast(more.schema["more"].dataType)
-    return joined.select(F.col("id").alias(id_column), "key", "base", F.coalesce(apart, empty).alias("more"))
+    return joined.select(F.col("id").alias(id_column), "key", "base", apart(F.coalesce("more", empty), F.col("base")).alias("more"))
 
 
 def _plain(spans: Column | str) -> Column:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.spans import listed, matches, sha256, tagged
+from tidemark.llm.spans import apart, listed, matches, sha256, tagged
 from tidemark.llm.tables import written
 
 ASSIGN = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
@@ -78,7 +78,7 @@ def scan(
         "repository",
         F.col("found.base").alias("base"),
         # A token inside a span of another kind adds nothing.
-        F.filter("found.more", lambda m: ~F.exists("found.base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))).alias("more"),
+        apart(F.col("found.more"), F.col("found.base")).alias("more"),
     )
     rows = written(found.select(*found.columns, F.concat("base", "more").alias("spans")))
     values = rows.where(F.size("spans") > 0).select("row", "owner", "repository", F.explode("spans").alias("span"))
