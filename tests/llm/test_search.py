@@ -156,6 +156,18 @@ def test_each_piece_takes_the_tightest_bin_without_conflict():
         bins[number]["clusters"].add(cluster)
 
 
+def test_packing_does_not_depend_on_partitions(spark):
+    draw = random.Random(5)
+    docs = [(draw.choice([None, k // 2]), draw.choice(["a", "b", None]), draw.choice([None, 1, k]), draw.choice([1, 30, 30, 99, 250])) for k in range(600)]
+    docs += [(7, "hot", None, 40)] * 300
+    found = []
+    for parts in (1, 5, 9):
+        draw.shuffle(docs)
+        df = spark.createDataFrame(docs, "id long, source string, cluster long, length long").repartition(parts)
+        found.append(Counter(map(tuple, packing.packed(df, capacity=100, per_source=2, shard=250).collect())))
+    assert found[0] == found[1] == found[2] and sum(found[0].values()) > 900
+
+
 def test_packing_on_odd_rows(odd, nothing, clashing):
     rows = packing.packed_documents(odd).collect()
     assert sum(r["n_words"] for r in rows) == sum(r["length"] for r in rows if r["piece"] == 0)

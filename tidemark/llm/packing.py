@@ -11,10 +11,12 @@ several equally tight ones the oldest is taken.
 Pieces are placed longest first. Texts longer than a bin are cut into full
 pieces and a rest; nothing is dropped.
 
-Texts are dealt over shards by a hash of their key, so that each shard holds a
+Texts are dealt over shards by a hash of all their columns, so that each shard holds a
 like mix of sources and clusters, about ``SHARD`` texts; only keys and lengths
 are dealt, never texts. A hot source or cluster is spread over all shards like
-any other. Each shard is packed by itself, with bins of its own.
+any other. Each shard is packed by itself, with bins of its own. Rows that are
+equal in all columns are counted and numbered, and the order in a shard rests on columns and
+numbers only, so the bins don't depend on how the input is partitioned.
 
 Defined cases: null and empty texts have length 0 and one empty piece; a null
 source or cluster is one of its own and never conflicts; repeated rows are
@@ -31,6 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.counted import expand_rows
 from tidemark.llm.tables import written
 
 CAPACITY = 2048
@@ -95,7 +98,7 @@ class Shelf:
 
 def _packed(capacity: int, per_source: int):
     def work(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "key", "piece"], ascending=[False, True, True], kind="stable")
+        rows = rows.sort_values(["length", "key", "tie", "piece"], ascending=[False, True, True, True], kind="stable")
         shelf = Shelf(capacity, per_source)
         optional = lambda name: [None if missing else value for value, missing in zip(rows[name].tolist(), rows[name].isna(), strict=True)]
         places = [shelf.place(*piece) for piece in zip(rows["length"].tolist(), optional("source"), optional("cluster"), strict=True)]
@@ -109,19 +112,25 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOUR
     """One row for each piece of ``docs`` (id, source, cluster, length), with all its columns.
 
     Adds piece, first_word and n_words of the piece, shard and bin, and begin,
-    its place in the bin.
+    its place in the bin. Columns must be of types that can be grouped.
     """
     names = docs.columns
     plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
     of = {name: F.col(f"c{k}") for k, name in enumerate(names)}
+    counted = plain.groupBy(*plain.columns).agg(F.count(F.lit(1)).alias("n_equal"))
+    single = expand_rows(counted, "n_equal", "copy")
+    # Hashes pass over nulls, so which columns are null is hashed too.
+    whole = [*[F.col(c).isNull() for c in plain.columns], *plain.columns, "copy"]
     rows = written(
-        plain.withColumn("row", F.monotonically_increasing_id()).withColumn("key", F.xxhash64(of["id"], of["length"], "row"))
+        single.select(
+            *plain.columns, F.monotonically_increasing_id().alias("row"), F.xxhash64(*whole).alias("key"), F.xxhash64(F.lit("tie"), *whole).alias("tie")
+        )
     )
     shards = max(1, math.ceil(rows.count() / shard))
     pieces = F.greatest(F.ceil(of["length"] / capacity), F.lit(1)).cast("int")
     long = (
         rows.select(
-            "row", "key", F.pmod("key", F.lit(shards)).cast("int").alias("shard"),
+            "row", "key", "tie", F.pmod("key", F.lit(shards)).cast("int").alias("shard"),
             of["source"].cast("string").alias("source"), of["cluster"].cast("string").alias("cluster"), of["length"].alias("all"),
             F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"),
         )
@@ -132,7 +141,7 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOUR
     done = long.groupBy("shard").applyInPandas(
         _packed(capacity, per_source), "row long, shard int, piece int, first long, length long, bin long, begin long"
     )
-    return done.join(rows.drop("key"), "row").select(
+    return done.join(rows.drop("key", "tie"), "row").select(
         *[of[name].alias(name) for name in names], "piece", F.col("first").alias("first_word"), F.col("length").alias("n_words"), "shard", "bin", "begin"
     )
 
