@@ -325,8 +325,9 @@ def extracted(pages: DataFrame, id_column: str = "page_id", url_column: str = "u
     """One row for each row of ``pages``: id, url, text."""
     plain = pages.select(F.col(id_column).alias("id"), F.col(url_column).alias("url"), F.col(html_column).alias("html"))
     plain = plain.withColumn("host", F.xxhash64(host_of(F.col("url"))))
+    dealt, copies = _dealt(plain, written(templates(plain)))
     # Written first, so that Spark knows the templates' size and broadcasts them only if they are small.
-    dealt, known = _dealt(plain, written(templates(plain)))
+    known = written(copies)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in flat.runs(batches, "html"):
