@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import flat
-from tidemark.llm.tables import written
+from tidemark.llm.tables import hot_keys, spread_join, written
 
 LENGTH = 200
 #: Bytes of an anchor.
@@ -216,9 +216,9 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     texts = plain.where(F.octet_length("text") >= LENGTH)
     known = texts.mapInArrow(_found(False), "anchor long, context long")
     counts = known.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("a"), F.max("context").alias("b"))
-    shared = written(counts.where("n > 1").select("anchor", (F.col("a") != F.col("b")).alias("several")))
+    shared = written(counts.where("n > 1").select("anchor", "n", (F.col("a") != F.col("b")).alias("several")))
     occurrences = texts.mapInArrow(_found(True), "anchor long, context long, key long, at long, before short, after short")
-    occurrences = written(occurrences.join(shared, "anchor"))
+    occurrences = written(spread_join(occurrences, shared.drop("n"), ["anchor"], ["key", "at"], hot_keys(shared, ["anchor"])))
 
     groups = occurrences.groupBy("anchor", "context", "several").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at", "before", "after")).alias("one")
@@ -239,7 +239,9 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     rest = windows.join(twice, same, "left_semi").groupBy("anchor", "context").agg(F.min("low").alias("low"), (F.max("low") + LENGTH).alias("high"))
     covered = whole.union(some).union(rest).groupBy("anchor", "context").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
-    spans = occurrences.join(covered, ["anchor", "context"]).select("key", F.struct((F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high")).alias("span"))
+    same = ["anchor", "context"]
+    met = spread_join(occurrences, covered, same, ["key", "at"], hot_keys(groups, same))
+    spans = met.select("key", F.struct((F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high")).alias("span"))
     spans = spans.groupBy("key").agg(F.collect_set("span").alias("spans"))
     rests = involved.join(spans, "key").mapInArrow(_rests, "key long, n_removed long, n_spans long, kept_sha256 string, removed array<long>")
 

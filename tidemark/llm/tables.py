@@ -8,9 +8,12 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Spark's own setting to remove a query's shuffle files when it ends.
 _CLEARING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: A key is hot that more than one in ``HOT`` of all rows have, so fewer than ``HOT`` keys are; their rows are dealt to ``PARTS`` tasks.
+HOT, PARTS = 1000, 64
 #: Folders of the applications this process has had, by their roots.
 _folders: dict[tuple[str, str], str] = {}
 
@@ -68,3 +71,23 @@ def written_and_cleared(df: DataFrame) -> DataFrame:
         return written(df)
     finally:
         conf.unset(_CLEARING) if before is None else conf.set(_CLEARING, before)
+
+
+def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """The hot ones of the keys in ``counts``, which has a row for each key with its number of rows ``n``: fewer than ``HOT``."""
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    return counts.where(F.col(n) * HOT > total).select(*keys)
+
+
+def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], by: list[str], hot: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` joined by ``keys`` with ``table``, which has a row for each key.
+
+    Rows of the keys in ``hot`` (see ``hot_keys``) are dealt by the columns ``by``, and copies of
+    the table's row meet them, so no task takes all rows of such a key.
+    """
+    often = F.broadcast(hot.withColumn("often", F.lit(True)))
+    part = F.when(F.col("often"), F.pmod(F.xxhash64(*by), F.lit(PARTS)).cast("int")).otherwise(0)
+    parts = F.when(F.col("often"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    dealt = rows.join(often, keys, "left").withColumn("part", part).drop("often")
+    copies = table.join(often, keys, "left").withColumn("part", F.explode(parts)).drop("often")
+    return dealt.join(copies, [*keys, "part"], how).drop("part")
