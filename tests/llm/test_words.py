@@ -7,8 +7,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import DOCS
+from pyspark.sql import functions as F
 
-from tidemark.llm import flat, ngram_join, repeats
+from tidemark.llm import flat, ngram_join, repeats, tables
 from tidemark.llm.graph import components
 
 
@@ -94,6 +95,43 @@ def test_similar_documents_in_blocks_of_few_classes(spark, monkeypatch):
     check_similar(spark, near_copies(3, groups=6))
 
 
+def test_similar_documents_with_all_shingles_and_classes_split(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FREQUENT", 1)
+    monkeypatch.setattr(tables, "HOT", 10**6)
+    check_similar(spark, near_copies(4))
+
+
+def test_leaders_of_frequent_shingles_are_those_of_all_rows(spark):
+    draw = random.Random(5)
+    rows = sorted({(draw.randrange(40), draw.randrange(300)) for _ in range(2000)} | {(99, 1), (98, 2), (98, 2)})
+    rows = [(t, c, 10 + c, 1, 1, t % 2 == 0) for t, c in rows]
+    led = ngram_join._led(spark.createDataFrame(rows * 2, "token long, cls long, n int, level byte, matches byte, frequent boolean").repartition(7)).collect()
+    classes = {}
+    for t, c, *_ in rows:
+        classes.setdefault(t, set()).add(c)
+    expected = {(t, c, min(of), 10 + min(of)) for t, of in classes.items() if len(of) > 1 for c in of}
+    assert len(led) == len(expected) and {(r["token"], r["cls"], r["leader"], r["leader_n"]) for r in led} == expected
+
+
+def test_rows_of_a_hot_key_are_dealt_to_many_tasks(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("key"), F.col("id").alias("at")).repartition(8)
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    hot = tables.hot_keys(counts, ["key"])
+    assert [r["key"] for r in hot.collect()] == [7]
+    for how, few in (("inner", counts.where("key % 3 = 1")), ("left", counts.where("key % 3 = 0"))):
+        joined = tables.spread_join(rows, few, ["key"], ["at"], hot, how)
+        assert sorted(map(tuple, joined.select("at", "n").collect())) == sorted(map(tuple, rows.join(few, "key", how).select("at", "n").collect()))
+    # As with tables too large to broadcast.
+    for name, value in (large := {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}).items():
+        spark.conf.set(name, value)
+    try:
+        parts = tables.spread_join(rows, counts, ["key"], ["at"], hot).where("key = 7").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name in large:
+            spark.conf.unset(name)
+    assert len(parts) >= 4 and max(r["count"] for r in parts) < 5000
+
+
 def test_similar_documents_on_odd_rows(odd, nothing, clashing):
     rows = ngram_join.similar_documents(odd).collect()
     assert len(rows) == odd.count()
@@ -160,6 +198,11 @@ def test_repeats_in_small_chunks(spark, monkeypatch):
     check_repeats(spark, repeating(3))
 
 
+def test_repeats_with_all_keys_split(spark, monkeypatch):
+    monkeypatch.setattr(tables, "HOT", 10**6)
+    check_repeats(spark, repeating(4))
+
+
 def test_repeats_on_odd_rows(odd, nothing, clashing):
     rows = repeats.repeated(odd).collect()
     assert len(rows) == odd.count()

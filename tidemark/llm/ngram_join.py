@@ -35,13 +35,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import flat
 from tidemark.llm.graph import components
-from tidemark.llm.tables import written
+from tidemark.llm.tables import PARTS, hot_keys, spread_join, written
 
 WORDS = 4
 #: Similarity bound as a fraction.
 LINK = (85, 100)
 #: Counters of the frequency sketch, as a power of two: 2 MB, whatever the input.
 SKETCH_BITS = 19
+#: Classes, by its counter, from which on a shingle is frequent: its rows are dealt to several tasks.
+FREQUENT = 10_000
 #: Longest prefix extension considered.
 MOST_MATCHES = 8
 #: Cost of verifying a pair, in lookups for each shingle of the document.
@@ -126,7 +128,7 @@ def _prefixes(words: int, link: tuple[int, int], counts):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = counts.value, set()
         for run in flat.runs(batches):
-            tokens, classes, sizes, levels, chosen = [], [], [], [], []
+            tokens, classes, sizes, levels, chosen, frequent = [], [], [], [], [], []
             for s in flat.shingle_sets(run.column("text"), words):
                 if not len(s) or (c := _class_of(s)) in seen:
                     continue
@@ -137,9 +139,10 @@ def _prefixes(words: int, link: tuple[int, int], counts):
                 sizes.append(np.full(len(part), len(s), np.int32))
                 levels.append(level.astype(np.int8))
                 chosen.append(np.full(len(part), most, np.int8))
+                frequent.append(table[(part >> np.uint64(64 - SKETCH_BITS)).view(np.int64)] >= FREQUENT)
             if tokens:
-                columns = [np.concatenate(x) for x in (classes, sizes, levels, chosen)]
-                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(tokens)), *map(pa.array, columns)], ["token", "cls", "n", "level", "matches"])
+                columns = [np.concatenate(x) for x in (classes, sizes, levels, chosen, frequent)]
+                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(tokens)), *map(pa.array, columns)], ["token", "cls", "n", "level", "matches", "frequent"])
 
     return work
 
@@ -219,17 +222,12 @@ def _components(docs: DataFrame, id_column: str, text_column: str, words: int, l
     counts = np.maximum(counts - int(np.median(counts)), 1)
     table = spark.sparkContext.broadcast(np.minimum(counts, 1 << 30).astype(np.int32))
 
-    rows = plain.mapInArrow(_prefixes(words, link, table), "token long, cls long, n int, level byte, matches byte")
-    group = Window.partitionBy("token")
-    shared = written(
-        rows.withColumn("leader", F.min(F.struct("cls", "n")).over(group))
-        .withColumn("last", F.max("cls").over(group))
-        .where("leader.cls <> last")
-        .dropDuplicates(["token", "cls"])
-        .select("token", "cls", "n", "level", "matches", F.col("leader.cls").alias("leader"), F.col("leader.n").alias("leader_n"))
-    )
+    rows = plain.mapInArrow(_prefixes(words, link, table), "token long, cls long, n int, level byte, matches byte, frequent boolean")
+    shared = _led(rows)
 
-    one = shared.select("cls").distinct().join(members, "cls").groupBy("cls").agg(F.min(F.struct("id", "key")).alias("one"))
+    firsts = members.groupBy("cls").agg(F.min(F.struct("id", "key")).alias("one"), F.count(F.lit(1)).alias("rows"))
+    firsts = written(firsts)
+    one = firsts.join(shared.select("cls").distinct(), "cls", "left_semi").select("cls", "one")
     here = F.col("id").eqNullSafe(F.col("one.id")) & (F.col("key") == F.col("one.key"))
     texts = written(plain.join(one, here).select("cls", "text"))
 
@@ -246,11 +244,29 @@ def _components(docs: DataFrame, id_column: str, text_column: str, words: int, l
     )
     rest = _remaining(joined, texts, words, link)
     roots = components(written(links.union(rest)))
-    return members.join(roots, F.col("cls") == F.col("node"), "left").select(
+    roots = roots.select(F.col("node").alias("cls"), "root")
+    return spread_join(members, roots, ["cls"], ["id", "key"], hot_keys(firsts, ["cls"], "rows"), "left").select(
         "id", "key", "n", F.when(F.col("n") > 0, F.coalesce("root", "cls")).alias("root")
     )
 
 
+def _led(rows: DataFrame) -> DataFrame:
+    """(token, cls, n, level, matches, leader, leader_n) of the prefix shingles that several classes share; the leader is their smallest.
+
+    A frequent shingle's rows are dealt to ``PARTS`` tasks, whose leaders are joined to them.
+    """
+    dealt = rows.withColumn("part", F.when(F.col("frequent"), F.pmod(F.xxhash64("cls"), F.lit(PARTS)).cast("int")).otherwise(0))
+    group = Window.partitionBy("token", "part")
+    dealt = dealt.withColumn("leader", F.min(F.struct("cls", "n")).over(group)).withColumn("last", F.max("cls").over(group))
+    dealt = written(dealt.where("frequent or leader.cls <> last").dropDuplicates(["token", "part", "cls"]))
+    names = ["token", "cls", "n", "level", "matches", "leader"]
+    often = dealt.where("frequent")
+    ends = often.groupBy("token").agg(F.min("leader").alias("leader"), F.max("last").alias("last")).where("leader.cls <> last")
+    ends = ends.select("token", "leader", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    often = written(often.drop("leader", "last").join(ends, ["token", "part"]).select(names))
+    return dealt.where("not frequent").select(names).union(often).select(*names[:-1], F.col("leader.cls").alias("leader"), F.col("leader.n").alias("leader_n"))
+
+
 def _remaining(rows: DataFrame, texts: DataFrame, words: int, link: tuple[int, int]) -> DataFrame:
     """The links (a, b) between classes in different components, or enough of them to connect the same.
 
