@@ -21,7 +21,7 @@ Documents are never shuffled. The benchmark is broadcast in blocks of bounded
 size; a larger one takes one pass over the documents for each block.
 
 Defined cases: null and empty texts or items match nothing; items shorter than
-a shingle are one shingle of all their words; letters A-Z count as a-z;
+a shingle are one shingle of all their words and match only whole texts; letters A-Z count as a-z;
 repeated items or documents match each for itself; ids may be null.
 """
 
