@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import add_columns, aggregate, day_literal, fenced, line_cents, sum_or_zero
+from tidemark.functions.parts import dealt, parts_for
 from tidemark.operators import asof
 from tidemark.schema import COMPLETED, RETURNED
 
@@ -58,7 +59,8 @@ def category_totals(items: DataFrame, products: DataFrame) -> DataFrame:
     ).join(of, "product_id", "left")
     lines = lines.selectExpr("*", "price_at_purchase < base_price AS discounted").withColumn("known", F.coalesce("known", F.lit(False)))
     sums = _totals() | {"discounted_lines": sum_or_zero("discounted")}
-    return fenced(aggregate(lines, ["order_id", "known", "category"], sums).repartition("order_id"), "order_id")
+    summed = aggregate(lines, ["order_id", "known", "category"], sums)
+    return fenced(dealt(summed, "order_id", parts_for(items)), "order_id")
 
 
 def totals_of_orders(totals: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.parts import dealt, parts_for
 from tidemark.schema import CANCELLED, CATEGORIES, COMPLETED, DESKTOP, MOBILE, MONEY, RETURNED
 from tidemark.shop import Shop
 
@@ -53,18 +54,25 @@ def read_star(spark: SparkSession, root: str) -> Shop:
     # Whole cents as DECIMAL(14, 0) times 0.01 stay within 18 digits.
     cents = F.floor(F.expr("l_extendedprice * 100 * (1 - l_discount) / l_quantity"))
     price = cents.cast("decimal(14,0)") * F.lit("0.01").cast("decimal(3,2)")
-    sent_back = (F.col("status") == RETURNED) & F.col("l_returnflag").isin("R", "A")
-    order_items = (
-        scan("lineitem")
-        .join(orders.select("order_id", "status"), F.col("l_orderkey") == F.col("order_id"))
-        .select(
-            F.col("l_linenumber").cast("bigint").alias("order_item_id"),
-            "order_id",
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            price.cast(MONEY).alias("price_at_purchase"),
-            F.when(sent_back, 1).otherwise(0).alias("returned"),
-        )
+    # Dealt by order to partitions of bounded size where lines are many; the join with the orders keeps them.
+    scanned = scan("lineitem")
+    parts = parts_for(scanned)
+    lines = (dealt(scanned, "l_orderkey", parts) if parts else scanned).select(
+        F.col("l_linenumber").cast("bigint").alias("order_item_id"),
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        price.cast(MONEY).alias("price_at_purchase"),
+        F.col("l_returnflag").isin("R", "A").alias("flagged"),
+    )
+    sent_back = (F.col("status") == RETURNED) & F.col("flagged")
+    order_items = lines.join(orders.select("order_id", "status"), "order_id").select(
+        "order_item_id",
+        "order_id",
+        "product_id",
+        "quantity",
+        "price_at_purchase",
+        F.when(sent_back, 1).otherwise(0).alias("returned"),
     )
 
     # Categories in alphabetical order, by the last digit of the part key.
