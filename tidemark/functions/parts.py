@@ -15,15 +15,13 @@ PART_BYTES = 8 * 1024 * 1024
 
 def file_bytes(df: DataFrame) -> int:
     """Size of the files that ``df`` is read from, from one listing of each folder; 0 if there are none."""
-    spark = df.sparkSession
-    hadoop, settings = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
-    wanted = {hadoop.Path(name).toUri().getPath() for name in df.inputFiles()}
-    folders = {name.rpartition("/")[0] for name in df.inputFiles()}
+    context = df.sparkSession.sparkContext
+    wanted = set(df.inputFiles())  # as encoded URIs
     total = 0
-    for folder in folders:
-        place = hadoop.Path(folder)
-        listed = place.getFileSystem(settings).listStatus(place)
-        total += sum(status.getLen() for status in listed if status.getPath().toUri().getPath() in wanted)
+    for folder in {name.rpartition("/")[0] for name in wanted}:
+        place = context._jvm.org.apache.hadoop.fs.Path(context._jvm.java.net.URI(folder))
+        listed = place.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(place)
+        total += sum(status.getLen() for status in listed if status.getPath().toUri().toString() in wanted)
     return total
 
 
