@@ -1,6 +1,8 @@
 """Flat tokens, similarity join and repeats against row-by-row results."""
 
 import random
+import tempfile
+import time
 
 import brute
 import numpy as np
@@ -9,7 +11,7 @@ import pytest
 from conftest import DOCS
 from pyspark.sql import functions as F
 
-from tidemark.llm import flat, ngram_join, repeats, tables
+from tidemark.llm import flat, graph, ngram_join, repeats, tables
 from tidemark.llm.graph import components
 
 
@@ -44,6 +46,21 @@ def test_components_of_chains_and_stars(spark):
     assert found == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 160)}, 400: 400, 500: 400}
 
 
+@pytest.mark.parametrize("few", [0, 1 << 40])
+def test_components_in_rounds_and_in_one_task(spark, monkeypatch, few):
+    monkeypatch.setattr(graph, "FEW", few)
+    draw = random.Random(few)
+    edges = [(draw.randrange(-400, 400), draw.randrange(-400, 400)) for _ in range(300)] + [(1000 + k * 7 % 50, 1000 + (k * 7 + 7) % 50) for k in range(49)] + [(3, 3), (None, 5), (5, None)]
+    root = {x: x for e in edges if None not in e and e[0] != e[1] for x in e}
+    for _ in root:
+        for a, b in edges:
+            if None not in (a, b) and a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    found = components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()
+    assert len(found) == len(root) and dict(map(tuple, found)) == root
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
 def check_similar(spark, docs, **options):
     rows = ngram_join.similar_documents(spark.createDataFrame(docs, "doc_id long, text string"), **options).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == brute.similar(docs)
@@ -113,6 +130,49 @@ def test_leaders_of_frequent_shingles_are_those_of_all_rows(spark):
     assert len(led) == len(expected) and {(r["token"], r["cls"], r["leader"], r["leader_n"]) for r in led} == expected
 
 
+def test_sketches_leave_all_pairs_that_link():
+    draw, dropped = np.random.default_rng(8), 0
+    for n in (1, 2, 3, 17, 63, 64, 65, 130, 900, 5000):
+        for changed in (0, 0.02, 0.06, 0.08, 0.1, 0.5, 0.9):
+            x = np.unique(draw.integers(0, 1 << 63, n, np.uint64))
+            y = np.unique(np.concatenate([x[draw.random(n) >= changed], draw.integers(0, 1 << 63, int(n * changed), np.uint64)]))
+            if not len(y):
+                continue
+            both = len(np.intersect1d(x, y))
+            for link in ((85, 100), (80, 100), (1, 2)):
+                links = link[1] * both >= link[0] * (len(x) + len(y) - both)
+                assert links == (len(x) + len(y) - 2 * both <= ngram_join.most_apart(len(x) + len(y), link))
+                pair = {"a": [1], "b": [2], "n_a": [len(x)], "n_b": [len(y)], "sketch_a": [ngram_join.sketch(x)], "sketch_b": [ngram_join.sketch(y)]}
+                left = next(ngram_join._alike(link)(iter([pa.RecordBatch.from_pydict(pair)]))).num_rows
+                assert left or not links
+                # In blocks, where they only count between components.
+                rows = {"cls": [1, 2], "shingles": [len(x), len(y)], "sketch": [ngram_join.sketch(x), ngram_join.sketch(y)]}
+                assert ngram_join._close(link)(pa.table(rows | {"comp": [1, 2]}))["cls"].to_pylist() == [1, 2] * left
+                assert not ngram_join._close(link)(pa.table(rows | {"comp": [1, 1]})).num_rows
+                dropped += not left
+    assert dropped > 40
+
+
+def test_only_near_pairs_are_verified_and_little_is_left_on_disk(spark, monkeypatch, tmp_path):
+    common = "every text here begins with one and the same common line".split()
+    docs = [(k, " ".join([*common, *(f"d{k % 150}w{j}" for j in range(40)), *["other"] * (k >= 150)])) for k in range(170)]
+    asked, links = [], ngram_join._links
+    monkeypatch.setattr(ngram_join, "_links", lambda pairs, *rest: asked.append(pairs.count()) or links(pairs, *rest))
+    monkeypatch.setattr(tables, "folder", lambda _: tempfile.mkdtemp(dir=tmp_path) + "/table")
+    shuffled = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().endswith(".data") and f.length() > 1000}
+    before = shuffled()
+    rows = ngram_join.similar_documents(spark.createDataFrame(docs, "doc_id long, text string"))
+    for _ in range(50):
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert len(list(tmp_path.glob("*/table"))) == 3
+    assert {r["doc_id"]: r["component_id"] for r in rows.collect()} == {k: k % 150 for k in range(170)}
+    # A pair of copies each, not the pairs that the common line makes.
+    assert 20 <= sum(asked) <= 60
+
+
 def test_rows_of_a_hot_key_are_dealt_to_many_tasks(spark):
     rows = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("key"), F.col("id").alias("at")).repartition(8)
     counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))

@@ -18,6 +18,13 @@ every candidate pair whose classes are still in different components is
 verified, so that no link between components is lost. Shingles that very many
 classes still share are left to a blockwise comparison of these classes.
 
+Texts travel late. Each class has a sketch, the parities of its shingles'
+numbers in as many buckets as it has shingles or more: buckets whose parities
+differ are at most as many as the shingles that only one of two sets has, so
+pairs whose sketches differ too much can't link, and nearly all pairs that
+merely share a common shingle go by 64 bytes or so. Only classes with a pair
+left are read again, and the shuffles of each step go before the next begins.
+
 Defined cases: null or empty texts and texts without words have an empty set
 and link with nothing; a text with fewer words than a shingle is one shingle;
 repeated rows are rows of the same class; rows with a null id count as rows,
@@ -35,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import flat
 from tidemark.llm.graph import components
-from tidemark.llm.tables import PARTS, hot_keys, spread_join, written
+from tidemark.llm.tables import PARTS, dropped, hot_keys, passing, spread_join, written, written_and_cleared
 
 WORDS = 4
 #: Similarity bound as a fraction.
@@ -51,8 +58,10 @@ VERIFY_COST = 0.1
 
 #: Pairs up to which the classes of a shingle's group are paired one by one.
 MOST_PAIRS = 4096
-#: Bytes of text, and classes, in a block of a hot cluster.
+#: Bytes of text or of sketches, and classes, in a block of a hot cluster.
 BLOCK_BYTES, BLOCK_CLASSES = 1 << 21, 2000
+#: Buckets of the smallest sketch.
+LEAST_BUCKETS = 64
 #: Rows of a matrix that are worked on at once.
 STRIP = 512
 
@@ -72,8 +81,28 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
+def sketch(values: np.ndarray) -> bytes:
+    """The parities of a set's numbers of shingles in a power of two of buckets, at least as many as shingles."""
+    buckets = max(LEAST_BUCKETS, 1 << (len(values) - 1).bit_length())
+    counts = np.bincount((values & np.uint64(buckets - 1)).view(np.int64), minlength=buckets)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def folded(parities: bytes, size: int) -> bytes:
+    """A sketch as one of ``size`` bytes, with fewer buckets."""
+    while len(parities) > size:
+        half = len(parities) // 2
+        parities = (int.from_bytes(parities[:half]) ^ int.from_bytes(parities[half:])).to_bytes(half)
+    return parities
+
+
+def most_apart(sizes, link: tuple[int, int]):
+    """The most shingles that only one of two sets has, given the sum of their sizes, if they link."""
+    return sizes - 2 * -(-link[0] * sizes // (link[0] + link[1]))
+
+
 def _scan(words: int):
-    """Of each text its size and class (kind 0); of each task its shingle counts (kind 1).
+    """Of each text its size and class (kind 0), with the class's sketch once a task; of each task its shingle counts (kind 1).
 
     A class counts once a task: further copies change no order that matters.
     """
@@ -81,26 +110,27 @@ def _scan(words: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
         seen = set()
-        names = ["kind", "id", "key", "cls", "n"]
+        names = ["kind", "id", "key", "cls", "n", "sketch"]
         for run in flat.runs(batches):
             sets = flat.shingle_sets(run.column("text"), words)
             classes = [_class_of(s) if len(s) else 0 for s in sets]
-            new = []
-            for s, c in zip(sets, classes, strict=True):
+            new, sketches = [], [None] * len(sets)
+            for i, (s, c) in enumerate(zip(sets, classes, strict=True)):
                 if len(s) and c not in seen:
                     seen.add(c)
                     new.append(s)
+                    sketches[i] = sketch(s)
             if new:
                 counts += np.bincount((np.concatenate(new) >> np.uint64(64 - SKETCH_BITS)).view(np.int64), minlength=len(counts))
             n = run.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(n, np.int8)), run.column("id"), run.column("key"), pa.array(classes, pa.int64()), pa.array([len(s) for s in sets], pa.int64())], names
+                [pa.array(np.zeros(n, np.int8)), run.column("id"), run.column("key"), pa.array(classes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(sketches, pa.binary())], names
             )
         full = np.flatnonzero(counts)
         for at in range(0, len(full), 100_000):
             part = full[at : at + 100_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(part), np.int8)), pa.array(part), *[pa.array(np.zeros(len(part), np.int64))] * 2, pa.array(counts[part])], names
+                [pa.array(np.ones(len(part), np.int8)), pa.array(part), *[pa.array(np.zeros(len(part), np.int64))] * 2, pa.array(counts[part]), pa.nulls(len(part), pa.binary())], names
             )
 
     return work
@@ -164,6 +194,38 @@ def _verified(words: int, link: tuple[int, int]):
     return work
 
 
+def _alike(link: tuple[int, int]):
+    """The pairs whose sketches leave open that they link."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most = most_apart(batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy(), link).tolist()
+            kept = []
+            for x, y, limit in zip(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist(), most, strict=True):
+                size = min(len(x), len(y))
+                kept.append((int.from_bytes(folded(x, size)) ^ int.from_bytes(folded(y, size))).bit_count() <= limit)
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return work
+
+
+def _near(pairs: DataFrame, classes: DataFrame, link: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) of classes that may link, by their sketches; all that link are among them."""
+    side = lambda name: classes.select(F.col("cls").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"sketch_{name}"))
+    return written_and_cleared(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(_alike(link), "a long, b long"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls")))
+
+
+def _texts(plain: DataFrame, classes: DataFrame, some: DataFrame) -> DataFrame:
+    """(cls, text) of the classes in ``some``, written."""
+    one = classes.join(some.distinct(), "cls", "left_semi").select("cls", "one")
+    here = F.col("id").eqNullSafe(F.col("one.id")) & (F.col("key") == F.col("one.key"))
+    return written_and_cleared(plain.join(one, here).select("cls", "text"))
+
+
 def _links(pairs: DataFrame, texts: DataFrame, words: int, link: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) of classes that link, verified on the texts."""
     side = lambda name: texts.select(F.col("cls").alias(name), F.col("text").alias(f"text_{name}"))
@@ -210,11 +272,21 @@ def one_of_each(
 
 def _components(docs: DataFrame, id_column: str, text_column: str, words: int, link: tuple[int, int]) -> DataFrame:
     """(id, key, n, root) for each row; ``key`` is a hash of the text, ``root`` names the component (null: no words)."""
-    spark = docs.sparkSession
     plain = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     plain = plain.withColumn("key", F.xxhash64("text"))
-    scanned = written(plain.mapInArrow(_scan(words), "kind byte, id long, key long, cls long, n long"))
-    members = scanned.where("kind = 0").select("id", "key", "cls", "n")
+    with passing() as kept:
+        members, classes, roots = _roots(plain, words, link)
+        kept += [members, classes, roots]
+    members = members.where("kind = 0").select("id", "key", "cls", "n")
+    return spread_join(members, roots, ["cls"], ["id", "key"], hot_keys(classes, ["cls"], "rows"), "left").select(
+        "id", "key", "n", F.when(F.col("n") > 0, F.coalesce("root", "cls")).alias("root")
+    )
+
+
+def _roots(plain: DataFrame, words: int, link: tuple[int, int]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of ``_scan``, a row for each class (cls, one, rows, n, sketch), and (cls, root) for linked classes; all three written."""
+    spark = plain.sparkSession
+    scanned = written(plain.mapInArrow(_scan(words), "kind byte, id long, key long, cls long, n long, sketch binary"))
     sums = scanned.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     counts[sums.column("id").to_numpy()] = sums.column("n").to_numpy()
@@ -225,11 +297,10 @@ def _components(docs: DataFrame, id_column: str, text_column: str, words: int, l
     rows = plain.mapInArrow(_prefixes(words, link, table), "token long, cls long, n int, level byte, matches byte, frequent boolean")
     shared = _led(rows)
 
-    firsts = members.groupBy("cls").agg(F.min(F.struct("id", "key")).alias("one"), F.count(F.lit(1)).alias("rows"))
-    firsts = written(firsts)
-    one = firsts.join(shared.select("cls").distinct(), "cls", "left_semi").select("cls", "one")
-    here = F.col("id").eqNullSafe(F.col("one.id")) & (F.col("key") == F.col("one.key"))
-    texts = written(plain.join(one, here).select("cls", "text"))
+    classes = scanned.where("kind = 0").groupBy("cls").agg(
+        F.min(F.struct("id", "key")).alias("one"), F.count(F.lit(1)).alias("rows"), F.max("n").alias("n"), F.max("sketch").alias("sketch")
+    )
+    classes = written_and_cleared(classes)
 
     first = (
         shared.where("cls <> leader").where(_fits("n", "leader_n", link))
@@ -237,17 +308,18 @@ def _components(docs: DataFrame, id_column: str, text_column: str, words: int, l
         .groupBy("cls").agg(F.max_by("leader", F.struct("found", "leader")).alias("b"))
         .select(F.col("cls").alias("a"), "b")
     )
-    links = written(_links(first, texts, words, link))
+    near = _near(first, classes, link)
+    texts = _texts(plain, classes, _ends(near))
+    links = written_and_cleared(_links(near, texts, words, link))
+    dropped(near, texts)
 
     joined = shared.join(components(links), F.col("cls") == F.col("node"), "left").select(
         "token", "cls", "n", "level", "matches", F.coalesce("root", "cls").alias("comp")
     )
-    rest = _remaining(joined, texts, words, link)
+    rest = _remaining(joined, plain, classes, words, link)
     roots = components(written(links.union(rest)))
-    roots = roots.select(F.col("node").alias("cls"), "root")
-    return spread_join(members, roots, ["cls"], ["id", "key"], hot_keys(firsts, ["cls"], "rows"), "left").select(
-        "id", "key", "n", F.when(F.col("n") > 0, F.coalesce("root", "cls")).alias("root")
-    )
+    roots = written(roots.select(F.col("node").alias("cls"), "root"))
+    return scanned, classes, roots
 
 
 def _led(rows: DataFrame) -> DataFrame:
@@ -258,68 +330,83 @@ def _led(rows: DataFrame) -> DataFrame:
     dealt = rows.withColumn("part", F.when(F.col("frequent"), F.pmod(F.xxhash64("cls"), F.lit(PARTS)).cast("int")).otherwise(0))
     group = Window.partitionBy("token", "part")
     dealt = dealt.withColumn("leader", F.min(F.struct("cls", "n")).over(group)).withColumn("last", F.max("cls").over(group))
-    dealt = written(dealt.where("frequent or leader.cls <> last").dropDuplicates(["token", "part", "cls"]))
+    dealt = written_and_cleared(dealt.where("frequent or leader.cls <> last").dropDuplicates(["token", "part", "cls"]))
     names = ["token", "cls", "n", "level", "matches", "leader"]
     often = dealt.where("frequent")
     ends = often.groupBy("token").agg(F.min("leader").alias("leader"), F.max("last").alias("last")).where("leader.cls <> last")
     ends = ends.select("token", "leader", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
-    often = written(often.drop("leader", "last").join(ends, ["token", "part"]).select(names))
+    often = written_and_cleared(often.drop("leader", "last").join(ends, ["token", "part"]).select(names))
     return dealt.where("not frequent").select(names).union(often).select(*names[:-1], F.col("leader.cls").alias("leader"), F.col("leader.n").alias("leader_n"))
 
 
-def _remaining(rows: DataFrame, texts: DataFrame, words: int, link: tuple[int, int]) -> DataFrame:
+def _remaining(rows: DataFrame, plain: DataFrame, classes: DataFrame, words: int, link: tuple[int, int]) -> DataFrame:
     """The links (a, b) between classes in different components, or enough of them to connect the same.
 
     In each shingle's group the largest component is set apart: pairs are made
     of the other classes with each other and with it, never within it. Groups
-    that would still make many pairs are compared blockwise instead.
+    that would still make many pairs are compared blockwise instead: first the
+    sketches of their classes, then the texts of those that have a partner left.
     """
     sizes = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("size"))
     major = sizes.groupBy("token").agg(
         F.max_by("comp", F.struct("size", "comp")).alias("major"), F.count(F.lit(1)).alias("comps"), F.sum("size").alias("all"), F.max("size").alias("most")
     ).where("comps > 1")
     hot = (F.col("all") - F.col("most")) * F.col("all") > MOST_PAIRS
-    tagged = written(rows.join(major.select("token", "major", hot.alias("hot")), "token"))
-    # Matches on hot shingles aren't counted for a pair; it has at most as many as either class.
-    uncounted = tagged.where("hot").groupBy("cls").agg(F.count(F.lit(1)).alias("uncounted"))
-    plain = tagged.where("not hot").join(uncounted, "cls", "left").fillna(0, ["uncounted"])
-    names = ("cls", "n", "level", "matches", "comp", "uncounted")
-    both = plain.where("comp <> major").join(plain.select("token", *[F.col(c).alias(f"{c}_b") for c in names]), "token")
+    tagged = written_and_cleared(rows.join(major.select("token", "major", hot.alias("hot")), "token"))
+    few = tagged.where("not hot")
+    names = ("cls", "n", "level", "matches", "comp")
+    both = few.where("comp <> major").join(few.select("token", *[F.col(c).alias(f"{c}_b") for c in names]), "token")
     need = F.least("matches", "matches_b")
     pairs = (
         both.where("comp <> comp_b").where("comp_b = major or cls < cls_b")
         .where(_fits("n", "n_b", link))
         .where(F.greatest("level", "level_b") <= need)
         .groupBy(F.least("cls", "cls_b").alias("a"), F.greatest("cls", "cls_b").alias("b"))
-        .agg(F.count(F.lit(1)).alias("found"), F.max(need).alias("need"), F.max(F.least("uncounted", "uncounted_b")).alias("uncounted"))
-        .where("found + uncounted >= need")
-        .select("a", "b")
+        .agg(F.count(F.lit(1)).alias("found"), F.max(need).alias("need"))
     )
-    found = _links(written(pairs), texts, words, link)
+    # Matches on hot shingles aren't counted for a pair; it has at most as many as either class.
+    uncounted = tagged.where("hot").groupBy("cls").agg(F.count(F.lit(1)).alias("uncounted"))
+    side = lambda name: uncounted.select(F.col("cls").alias(name), F.col("uncounted").alias(f"uncounted_{name}"))
+    unsure = pairs.where("found < need").join(side("a"), "a").join(side("b"), "b").where("found + least(uncounted_a, uncounted_b) >= need")
+    pairs = pairs.where("found >= need").select("a", "b").union(unsure.select("a", "b"))
+    near = _near(written_and_cleared(pairs), classes, link)
     groups = tagged.where("hot").select("token", "cls", "n").distinct()
-    return found if groups.isEmpty() else found.union(_blockwise(groups, texts, words, link))
+    if groups.isEmpty():
+        return written_and_cleared(_links(near, _texts(plain, classes, _ends(near)), words, link))
+    clusters = _clusters(groups)
+    sketches = tagged.where("hot").select("cls", "comp").distinct().join(classes.select("cls", F.col("n").alias("shingles"), "sketch"), "cls")
+    close = _dealt(clusters, sketches, link, "sketch").groupBy("cluster", "low", "high").applyInArrow(_close(link), "cls long")
+    close = written_and_cleared(close.distinct())
+    texts = _texts(plain, classes, _ends(near).union(close))
+    return written_and_cleared(_links(near, texts, words, link).union(_blockwise(clusters.join(close, "cls", "left_semi"), texts, words, link)))
+
+
+def _clusters(groups: DataFrame) -> DataFrame:
+    """(cluster, cls, n), written: groups (token, cls, n) that share classes form a cluster."""
+    star = groups.join(groups.groupBy("token").agg(F.min("cls").alias("b")), "token").select(F.col("cls").alias("a"), "b")
+    clusters = components(star).select(F.col("node").alias("cls"), F.col("root").alias("cluster"))
+    return written_and_cleared(clusters.join(groups.groupBy("cls").agg(F.max("n").alias("n")), "cls").select("cluster", "cls", "n"))
 
 
-def _blockwise(groups: DataFrame, texts: DataFrame, words: int, link: tuple[int, int]) -> DataFrame:
-    """Links that connect what all links among the classes of hot groups (token, cls, n) connect.
+def _blockwise(clusters: DataFrame, texts: DataFrame, words: int, link: tuple[int, int]) -> DataFrame:
+    """Links that connect what all links among the classes of clusters (cluster, cls, n) connect.
 
     Every two blocks that meet do so in a task of their own, which compares
     their sets as matrices and gives a spanning forest.
     """
-    return _dealt(groups, texts, link).groupBy("cluster", "low", "high").applyInArrow(_forest(words, link), "a long, b long")
+    return _dealt(clusters, texts, link).groupBy("cluster", "low", "high").applyInArrow(_forest(words, link), "a long, b long")
 
 
-def _dealt(groups: DataFrame, texts: DataFrame, link: tuple[int, int]) -> DataFrame:
-    """(cluster, low, high, cls, text): the classes of each two blocks that must meet.
+def _dealt(groups: DataFrame, rows: DataFrame, link: tuple[int, int], content: str = "text") -> DataFrame:
+    """(cluster, low, high) and the columns of ``rows``, one for each class with its ``content``: the classes of each two blocks that must meet.
 
-    Groups that share classes form a cluster. A cluster of several blocks is split into
+    ``groups`` are hot groups (token, cls, n) or their clusters. A cluster of several blocks is split into
     bands of set sizes, each so wide that only sets of the same or of neighbouring bands
-    can link; a band's texts are dealt into blocks of bounded size.
+    can link; a band's rows are dealt into blocks of bounded size.
     """
-    star = groups.join(groups.groupBy("token").agg(F.min("cls").alias("b")), "token").select(F.col("cls").alias("a"), "b")
-    clusters = components(star).select(F.col("node").alias("cls"), F.col("root").alias("cluster"))
-    members = clusters.join(groups.groupBy("cls").agg(F.max("n").alias("n")), "cls").join(texts, "cls")
-    size = F.greatest(F.sum(F.octet_length("text")) / BLOCK_BYTES, F.count(F.lit(1)) / BLOCK_CLASSES)
+    clusters = groups if "cluster" in groups.columns else _clusters(groups)
+    members = clusters.join(rows, "cls")
+    size = F.greatest(F.sum(F.octet_length(content)) / BLOCK_BYTES, F.count(F.lit(1)) / BLOCK_CLASSES)
     blocks = F.greatest(F.ceil(size).cast("int"), F.lit(1))
     # A little wider than needed, for what rounding may do to the logarithms.
     width = float(np.log(1.001 * link[1] / link[0]))
@@ -331,8 +418,39 @@ def _dealt(groups: DataFrame, texts: DataFrame, link: tuple[int, int]) -> DataFr
     name = lambda band, block: band * F.lit(1 << 32) + block
     met = F.flatten(F.transform("beside", lambda o: F.transform(F.sequence(F.lit(0), o["others"] - 1), lambda k: name(o["other"], k))))
     dealt = members.join(beside, ["cluster", "band"]).withColumn("own", name(F.col("band"), F.pmod(F.xxhash64("cls"), "blocks")))
-    dealt = dealt.select("cluster", "own", F.explode(met).alias("met"), "cls", "text")
-    return dealt.select("cluster", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high"), "cls", "text")
+    dealt = dealt.select("cluster", "own", F.explode(met).alias("met"), *rows.columns)
+    return dealt.select("cluster", F.least("own", "met").alias("low"), F.greatest("own", "met").alias("high"), *rows.columns)
+
+
+def _close(link: tuple[int, int]):
+    """The classes that may link, by their sketches, with one of another component."""
+
+    def work(table: pa.Table) -> pa.Table:
+        classes, comps, shingles = (table.column(c).to_numpy() for c in ("cls", "comp", "shingles"))
+        sketches = table.column("sketch").to_pylist()
+        lengths = np.array([len(s) for s in sketches])
+        found = np.zeros(len(classes), bool)
+        for size in np.unique(lengths).tolist():
+            # Each pair is compared by as many buckets as its smaller sketch has.
+            left, right = np.flatnonzero(lengths == size), np.flatnonzero(lengths >= size)
+            bits = np.frombuffer(b"".join(folded(sketches[i], size) for i in right), np.uint8).reshape(len(right), size)
+            ours = lengths[right] == size
+            both = np.zeros((len(left), len(right)), np.float32)
+            for at in range(0, size, 256):
+                part = np.unpackbits(bits[:, at : at + 256], axis=1).astype(np.float32)
+                own = part[ours]
+                for k in range(0, len(left), STRIP):
+                    both[k : k + STRIP] += own[k : k + STRIP] @ part.T
+            ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+            for k in range(0, len(left), STRIP):
+                some = left[k : k + STRIP]
+                apart = ones[ours][k : k + STRIP, None] + ones[None, :] - 2 * both[k : k + STRIP]
+                near = (apart <= most_apart(shingles[some, None] + shingles[None, right], link)) & (comps[some, None] != comps[None, right])
+                found[some] |= near.any(axis=1)
+                found[right] |= near.any(axis=0)
+        return pa.table({"cls": classes[found]})
+
+    return work
 
 
 def _forest(words: int, link: tuple[int, int]):

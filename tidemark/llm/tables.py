@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import contextvars
 import tempfile
 import uuid
+import weakref
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +19,10 @@ _CLEARING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 HOT, PARTS = 1000, 64
 #: Folders of the applications this process has had, by their roots.
 _folders: dict[tuple[str, str], str] = {}
+#: Folders of the tables written, as long as these are in use.
+_places: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+#: The tables written since ``passing`` began.
+_passing: contextvars.ContextVar[list[DataFrame] | None] = contextvars.ContextVar("passing", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +66,11 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = folder(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path)
+    _places[rows] = path
+    if (made := _passing.get()) is not None:
+        made.append(rows)
+    return rows
 
 
 def written_and_cleared(df: DataFrame) -> DataFrame:
@@ -73,6 +84,27 @@ def written_and_cleared(df: DataFrame) -> DataFrame:
         conf.unset(_CLEARING) if before is None else conf.set(_CLEARING, before)
 
 
+def dropped(*rows: DataFrame) -> None:
+    """Removes the files of tables from ``written`` that nothing will read again."""
+    for df in rows:
+        place = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(_places.pop(df))
+        place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextlib.contextmanager
+def passing() -> Iterator[list[DataFrame]]:
+    """Tables that are written inside go at its end, except those put into the list it gives."""
+    made, kept, outer = [], [], _passing.get()
+    _passing.set(made)
+    try:
+        yield kept
+    finally:
+        _passing.set(outer)
+    dropped(*[x for x in made if x in _places and not any(x is y for y in kept)])
+    if outer is not None:
+        outer.extend(kept)
+
+
 def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
     """The hot ones of the keys in ``counts``, which has a row for each key with its number of rows ``n``: fewer than ``HOT``."""
     total = counts.agg(F.sum(n)).first()[0] or 0
