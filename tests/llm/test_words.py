@@ -1,6 +1,7 @@
 """Flat tokens, similarity join and repeats against row-by-row results."""
 
 import random
+import re
 import tempfile
 import time
 
@@ -211,6 +212,22 @@ def test_one_of_each_keeps_the_smallest_id_and_all_columns(clashing, nothing):
     assert ngram_join.one_of_each(nothing).collect() == []
 
 
+def test_one_of_each_deals_rows_once(spark):
+    rows = [(7, "one two three four five"), (7, "one two three four five"), (None, "a b c d e"), (None, "a b c d e"), (0, "a b c d e"), (None, "v w x y z"), (3, "")]
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert by_id(kept.collect(), "doc_id", "text") == sorted([(7, rows[0][1]), (0, rows[2][1]), (None, rows[5][1]), (3, "")], key=str)
+    for name, value in (large := {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}).items():
+        spark.conf.set(name, value)
+    try:
+        plan = kept.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in large:
+            spark.conf.unset(name)
+    dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and re.search(r"\bc0#", x)]
+    keyed = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and re.search(r"\bkey#", x)]
+    assert not dealt and len(keyed) == 2, plan  # the documents, and the rows that stay
+
+
 def test_prefixes_of_similar_sets_share_enough():
     draw = np.random.default_rng(3)
     counts = draw.integers(1, 50, 1 << ngram_join.SKETCH_BITS).astype(np.int32)

@@ -259,14 +259,16 @@ def one_of_each(
     """
     members = _components(docs, id_column, text_column, words, link).where("root is not null")
     first = members.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "key")).alias("first"))
-    first = first.select(F.col("first.id").alias("first_id"), F.col("first.key").alias("first_key"))
+    # Joined and freed of repetitions by the same columns, so the rows with their texts are dealt once.
+    first = first.select("first.unknown", F.coalesce("first.id", F.lit(0)).alias("number"), "first.key")
     names = docs.columns
     plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
     number, text = (F.col(f"c{names.index(c)}") for c in (id_column, text_column))
     worded = F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    same = number.cast("long").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key"))
-    kept = plain.where(worded).withColumn("key", F.xxhash64(text)).join(first, same, "left_semi")
-    kept = kept.dropDuplicates([f"c{names.index(id_column)}", "key"]).drop("key")
+    number = number.cast("long")
+    by = {"unknown": number.isNull(), "number": F.coalesce(number, F.lit(0)), "key": F.xxhash64(text)}
+    kept = plain.where(worded).withColumns(by).join(first, list(by), "left_semi")
+    kept = kept.dropDuplicates([f"c{names.index(id_column)}", *by]).drop(*by)
     return kept.union(plain.where(~worded)).toDF(*names)
 
 
